@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.numbers import whole_div
 from ..operators import tokens as tk
 from ..operators import windows as wn
+from ..session import spread
 from .registry import CTX, SQL_TOKENS, joined, query, sql_flat, table
 
 TEXT_TABLE = "documents"
@@ -15,6 +17,10 @@ def documents(spark, folder, where: str = "true"):
     return table(spark, folder, TEXT_TABLE).where(where).select("doc_id", "text")
 
 
+def spread_documents(spark, folder, where: str = "true"):
+    return spread(documents(spark, folder, where), "doc_id")
+
+
 def offsets(spark, folder, where: str = "true"):
     """(doc_id, n_tokens, item, start, pointer) under the byte vocabulary."""
     sizes = documents(spark, folder, where).select(
@@ -27,7 +33,7 @@ def stream(spark, folder, where: str = "true"):
     """(doc_id, start, tokens): ids are made after the join, so texts travel and not arrays."""
     placed = offsets(spark, folder, where).select("doc_id", "start")
     return (
-        documents(spark, folder, where)
+        spread_documents(spark, folder, where)
         .join(placed, "doc_id")
         .select("doc_id", "start", tk.byte_tokens("text").alias("tokens"))
     )
@@ -46,7 +52,7 @@ chars AS (SELECT doc_id, unnest(string_split(text, '')) AS ch,
 
 
 def _char_ids(spark, folder):
-    docs = documents(spark, folder)
+    docs = spread_documents(spark, folder)
     vocab = tk.vocab_list(tk.char_vocab(docs))
     return docs.select("doc_id", "text", tk.char_tokens(F.col("text"), vocab).alias("tokens")), vocab
 
@@ -66,7 +72,7 @@ def decode_corpus(spark, folder):
 
 @query(f"""WITH {SQL_TOKENS} SELECT doc_id, array_to_string(ids, ' ') AS tokens FROM tok""")
 def tokenize_bytes(spark, folder):
-    docs = documents(spark, folder)
+    docs = spread_documents(spark, folder)
     return docs.select("doc_id", joined(tk.byte_tokens("text")).alias("tokens"))
 
 
@@ -91,7 +97,7 @@ def _word_vocabulary(spark, folder, n_words: int = 500) -> dict[bytes, int]:
 def tokenize_corpus(spark, folder):
     """Token counts under a vocabulary of bytes and frequent words, greedy longest match."""
     encode = tk.tokenizer(_word_vocabulary(spark, folder))
-    ids = documents(spark, folder).select("doc_id", encode("text").alias("tokens"))
+    ids = spread_documents(spark, folder).select("doc_id", encode("text").alias("tokens"))
     return ids.select("doc_id", F.size("tokens").alias("n_tokens"))
 
 
@@ -99,7 +105,7 @@ def tokenize_corpus(spark, folder):
 def tokenize_round_trip(spark, folder):
     vocabulary = _word_vocabulary(spark, folder)
     encode, decode = tk.tokenizer(vocabulary), tk.decoder(vocabulary)
-    both = documents(spark, folder).select("text", encode("text").alias("tokens"))
+    both = spread_documents(spark, folder).select("text", encode("text").alias("tokens"))
     return tk.round_trip_report(both.withColumn("back", decode("tokens")), "text", "back")
 
 
@@ -115,7 +121,7 @@ def stream_offsets(spark, folder):
   CAST(sum(len(ids)) * 2 AS BIGINT) AS n_bytes, min(len(ids)) AS min_size, max(len(ids)) AS max_size,
   bool_and(ids[-1] = 0) AS all_ended FROM tok""")
 def stream_totals(spark, folder):
-    return tk.stream_totals(documents(spark, folder).select(tk.byte_tokens("text").alias("tokens")))
+    return tk.stream_totals(spread_documents(spark, folder).select(tk.byte_tokens("text").alias("tokens")))
 
 
 @query("""WITH e AS (SELECT 'first' AS document, arg_min(text, doc_id) AS text FROM documents
@@ -128,8 +134,8 @@ def stream_preview(spark, folder):
 @query(f"""WITH {SQL_TOKENS}, p AS (SELECT doc_id, ids, len(ids) // 4 AS off, len(ids) // 2 AS n FROM tok)
 SELECT doc_id, array_to_string(ids[off + 1 : off + n], ' ') AS part, array_to_string(ids[off + 1 :], ' ') AS rest FROM p""")
 def token_span_get(spark, folder):
-    ids = documents(spark, folder).select("doc_id", tk.byte_tokens("text").alias("tokens"))
-    offset, length = F.expr("size(tokens) div 4"), F.expr("size(tokens) div 2")
+    ids = spread_documents(spark, folder).select("doc_id", tk.byte_tokens("text").alias("tokens"))
+    offset, length = whole_div(F.size("tokens"), 4), whole_div(F.size("tokens"), 2)
     return ids.select(
         "doc_id",
         joined(tk.item_span(F.col("tokens"), offset, length)).alias("part"),

@@ -9,6 +9,7 @@ from ..functions.text import clean_lines as clean
 from ..functions.text import SPACE_CHARS
 from ..functions.vectors import clipped_label
 from ..operators import filters, joins
+from ..session import spread
 from ..sources import crawl as dumps
 from .registry import CRAWL, PAGE_KEYWORDS, crawl, query, sql_any, table
 
@@ -103,7 +104,8 @@ def clip_label(spark, folder):
     f"lambda l: trim(l, '{SPACE_CHARS}')), lambda l: l <> ''), chr(10)) AS text FROM documents"
 )
 def clean_lines(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", clean(F.col("text")).alias("text"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return docs.select("doc_id", clean(F.col("text")).alias("text"))
 
 
 @query(f"""WITH {CRAWL} SELECT 'kept' AS class, count(*) AS n_rows, CAST(sum(token_count) AS BIGINT) AS total_size

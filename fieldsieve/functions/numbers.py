@@ -23,6 +23,11 @@ def sampler_prime(total_tokens: int, ctx_len: int) -> int:
     raise ValueError("too few tokens for a sampling plan")
 
 
+def whole_div(left: Column, right: Column | int) -> Column:
+    """Whole-number quotient of two integer columns, exact for all 64-bit values."""
+    return F.call_function("div", left, F.lit(right) if isinstance(right, int) else right)
+
+
 def product_mod(left: Column, right: Column, modulus: int) -> Column:
     """``left * right mod modulus`` for operands already below ``modulus``, without overflow."""
     if modulus <= _LONG_PRODUCT_LIMIT:

@@ -11,14 +11,9 @@ from pyspark.sql import functions as F
 CODE_POINTS = 0x110000
 
 
-def int_array(values: Sequence[int]) -> Column:
-    """An ``array<int>`` literal, built from one string that the optimizer folds."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
-
-
-def string_array(values: Sequence[str]) -> Column:
-    """An ``array<string>`` literal, built the same way."""
-    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+def literal_array(values: Sequence, element: str) -> Column:
+    """An ``array<element>`` literal, built from one JSON string that the optimizer folds."""
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{element}>")
 
 
 def bounded_rows(df: DataFrame, bound: int, what: str) -> list:

@@ -11,22 +11,17 @@ SPACE_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_SPACE = f"[{SPACE_CHARS}]"
 
 
 def strip_spaces(text: Column) -> Column:
     """``text`` without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, f"\\A{_SPACE}+|{_SPACE}+\\z", "")
+    return F.trim(text, F.lit(SPACE_CHARS))
 
 
 def clean_lines(text: Column) -> Column:
-    """Every line stripped, blank lines gone, one newline in front.
-
-    A run of white space that holds a newline is one line break, so a single replacement does all
-    lines at once.
-    """
-    joined = F.regexp_replace(text, f"{_SPACE}*\n{_SPACE}*", "\n")
-    return F.concat(F.lit("\n"), strip_spaces(joined))
+    """Every line stripped, blank lines gone, one newline in front."""
+    lines = F.transform(F.split(text, "\n"), strip_spaces)
+    return F.concat(F.lit("\n"), F.array_join(F.filter(lines, lambda s: s != ""), "\n"))
 
 
 def characters(text: Column) -> Column:

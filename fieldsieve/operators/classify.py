@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import whole_div
 from ..functions.tables import bounded_rows
 from ..functions.vectors import argmax, squared_distance
 from .numbering import number_by_hash
@@ -27,7 +28,7 @@ def stratified_split(
     """
     ranked = number_by_hash(df, seed, [key], "_rank", by=[label])
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    cutoff = F.expr(f"(_n * {train_tenths} + 9) div 10")
+    cutoff = whole_div(F.col("_n") * train_tenths + 9, 10)
     return (
         ranked.join(F.broadcast(_checked_labels(counts)), label)
         .withColumn("is_train", F.col("_rank") < cutoff)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import whole_div
 from ..functions.tables import bounded_rows
 
 # Fixed value: the mark in front of every answer in a combined text.
@@ -87,7 +88,7 @@ def length_judge(step: int = 100) -> Callable[[Column], Column]:
         _, answers = _prompt_and_answers(text)
 
         def score(answer: Column) -> Column:
-            steps = F.floor(F.length(F.trim(answer)) / step).cast("int")
+            steps = whole_div(F.length(F.trim(answer)), step).cast("int")
             return F.least(F.lit(5), steps + 1)
 
         return F.array_join(F.transform(answers, lambda a: score(a).cast("string")), ", ")
@@ -104,7 +105,7 @@ def overlap_judge() -> Callable[[Column], Column]:
 
         def score(answer: Column) -> Column:
             shared = F.size(F.array_intersect(words, F.split(F.lower(F.trim(answer)), " ")))
-            return F.lit(1) + F.floor(F.lit(4) * shared / F.size(words)).cast("int")
+            return F.lit(1) + whole_div(F.lit(4) * shared, F.size(words)).cast("int")
 
         return F.array_join(F.transform(answers, lambda a: score(a).cast("string")), ", ")
 

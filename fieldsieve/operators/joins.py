@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import whole_div
 from .numbering import number_rows, running_offsets
 
 
@@ -83,12 +84,14 @@ def route_to_mixture(
         "prev",
         "cutoff",
         F.explode(
-            F.sequence(F.expr(f"prev div {cell_width}"), F.expr(f"(cutoff - 1) div {cell_width}"))
+            F.sequence(
+                whole_div(F.col("prev"), cell_width), whole_div(F.col("cutoff") - 1, cell_width)
+            )
         ).alias("_cell"),
     )
     at = F.col(position)
     return (
-        positions.withColumn("_cell", F.expr(f"`{position}` div {cell_width}"))
+        positions.withColumn("_cell", whole_div(F.col(position), cell_width))
         .join(cells, "_cell")
         .where((at >= F.col("prev")) & (at < F.col("cutoff")))
         .select(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keywords as kw
+from ..functions.numbers import whole_div
 from ..functions.text import sentences
 from ..session import pin
 from .joins import keep_listed
@@ -29,7 +30,7 @@ def groups_of(
 ) -> DataFrame:
     """Runs of ``size`` consecutive rows: texts joined without a separator, numbers summed."""
     totals = [F.sum(c).cast("bigint").alias(c) for c in sums]
-    return numbered.groupBy(F.expr(f"`{row}` div {size}").alias("grp")).agg(
+    return numbered.groupBy(whole_div(F.col(row), size).alias("grp")).agg(
         F.expr(f"listagg(`{text}`, '') within group (order by `{row}`)").alias(text), *totals
     )
 
@@ -92,7 +93,7 @@ def accept_by_group(
 ) -> DataFrame:
     """Rows of the groups judged to hold nothing about the topic (label 0)."""
     accepted = judged_groups.where(F.col("response") == NOT_RELATED)
-    grouped = numbered.withColumn("grp", F.expr(f"`{row}` div {size}"))
+    grouped = numbered.withColumn("grp", whole_div(F.col(row), size))
     return keep_listed(grouped, accepted, "grp").drop("grp")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_below
-from ..functions.numbers import product_mod
+from ..functions.numbers import product_mod, whole_div
 from .numbering import number_by_hash
 
 # Fixed value: the number of samples in one mini-epoch; batch sizes must divide it.
@@ -36,8 +36,8 @@ def sample_numbers(
         raise ValueError("the number of ranks must divide the samples of an epoch")
     place = F.col("id") % samples_per_epoch
     return spark.range(n_samples).select(
-        F.expr(f"id div {samples_per_epoch}").alias("epoch"),
-        F.floor(place / world).cast("bigint").alias("idx"),
+        whole_div(F.col("id"), samples_per_epoch).alias("epoch"),
+        whole_div(place, world).alias("idx"),
         (place % world).alias("rank"),
         (F.col("id") + 1).alias("ii"),
     )
@@ -112,6 +112,6 @@ def interleaved_starts(
         *numbers.columns,
         F.when(from_background, "background").otherwise("main").alias("corpus"),
         F.when(from_background, random_start(F.col("ii"), background_tokens, ctx_len, seed))
-        .otherwise(cubic_start(F.floor(F.col("ii") / 2).cast("bigint"), prime, ctx_len, shift))
+        .otherwise(cubic_start(whole_div(F.col("ii"), 2), prime, ctx_len, shift))
         .alias("start"),
     )

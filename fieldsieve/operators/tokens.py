@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.tables import CODE_POINTS, bounded_rows, int_array, string_array
+from ..functions.tables import CODE_POINTS, bounded_rows, literal_array
 from ..functions.text import characters
 from .numbering import running_offsets
 
@@ -160,18 +160,16 @@ def byte_token_count(text: Column) -> Column:
 
 def char_tokens(text: Column, vocab: list[str]) -> Column:
     """Character ids by one table lookup per character; null for a character not in ``vocab``."""
-    table = [-1] * (max(map(ord, vocab)) + 1)
+    table = [None] * (max(map(ord, vocab)) + 1)
     for number, ch in enumerate(vocab):
         table[ord(ch)] = number
-    lookup = int_array(table)
-    return F.transform(
-        characters(text), lambda c: F.nullif(F.get(lookup, F.ascii(c)), F.lit(-1))
-    )
+    lookup = literal_array(table, "int")
+    return F.transform(characters(text), lambda c: F.get(lookup, F.ascii(c)))
 
 
 def char_decode(tokens: Column, vocab: list[str]) -> Column:
     """Text of character ids, again by one table lookup per id."""
-    lookup = string_array(vocab)
+    lookup = literal_array(vocab, "string")
     return F.array_join(F.transform(tokens, lambda t: F.get(lookup, t)), "")
 
 

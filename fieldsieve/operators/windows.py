@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_below
+from ..functions.numbers import whole_div
 
 
 def _touched(start: Column, end: Column, ctx_len: int, extra: int) -> Column:
     """Numbers of the windows that hold any position of ``[start, end)``."""
-    width = F.lit(ctx_len).cast("bigint")
-    first = F.greatest(F.lit(0).cast("bigint"), F.floor((start - extra) / width).cast("bigint"))
-    last = F.floor((end - 1) / width).cast("bigint")
-    return F.sequence(first, last)
+    first = F.greatest(F.lit(0).cast("bigint"), whole_div(start - extra, ctx_len))
+    last = whole_div(end - 1, ctx_len)
+    none = F.array().cast("array<bigint>")
+    return F.when(end > start, F.sequence(first, last)).otherwise(none)
 
 
 def documents_in_windows(
@@ -38,7 +39,7 @@ def documents_in_windows(
     a last, unfilled window.
     """
     begin, end = F.col(start), F.col(start) + F.col(size)
-    rows = offsets.where(F.col(size) > 0).select(
+    rows = offsets.select(
         key, begin.alias("_s"), end.alias("_e"), F.explode(_touched(begin, end, ctx_len, extra)).alias("window")
     )
     low = F.greatest(F.col("_s"), F.col("window") * ctx_len)
@@ -60,18 +61,18 @@ def pack_windows(
 
     ``keep_tail`` also returns the last, shorter ones.
     """
-    s = F.col(start)
-    e = s + F.size(tokens)
-
-    def piece(k: Column) -> Column:
-        low = F.greatest(s, k * ctx_len)
-        high = F.least(e, k * ctx_len + ctx_len + extra)
-        part = F.slice(F.col(tokens), (low - s + 1).cast("int"), (high - low).cast("int"))
-        return F.struct(k.alias("window"), low.alias("at"), part.alias("part"))
-
-    pieces = stream.where(F.size(tokens) > 0).select(
-        F.inline(F.transform(_touched(s, e, ctx_len, extra), piece))
+    begin = F.col(start)
+    end = begin + F.size(tokens)
+    touched = stream.select(
+        begin.alias("_s"),
+        end.alias("_e"),
+        F.col(tokens).alias("_tokens"),
+        F.explode(_touched(begin, end, ctx_len, extra)).alias("window"),
     )
+    low = F.greatest(F.col("_s"), F.col("window") * ctx_len)
+    high = F.least(F.col("_e"), F.col("window") * ctx_len + ctx_len + extra)
+    part = F.slice("_tokens", (low - F.col("_s") + 1).cast("int"), (high - low).cast("int"))
+    pieces = touched.select("window", low.alias("at"), part.alias("part"))
     in_order = F.array_sort(F.collect_list(F.struct("at", "part")))
     joined = F.flatten(F.transform(in_order, lambda p: p["part"]))
     packed = pieces.groupBy("window").agg(joined.alias("tokens"))
@@ -100,9 +101,8 @@ def read_spans(
     ``blocks`` is :func:`pack_windows` with ``keep_tail=True``. A span touches its own block and,
     unless it begins on a border, the next; the plan is joined to both by block number.
     """
-    width = F.lit(ctx_len).cast("bigint")
-    block = F.floor(F.col(start) / width).cast("bigint")
-    shift = (F.col(start) % width).cast("int")
+    block = whole_div(F.col(start), ctx_len)
+    shift = (F.col(start) % ctx_len).cast("int")
     needed = F.when(
         shift > 0,
         F.array(
@@ -134,9 +134,7 @@ def read_spans(
 
 def read_blocks(plan: DataFrame, windows: DataFrame, ctx_len: int, start: str = "start") -> DataFrame:
     """Windows that begin on a block border: one equi-join of the plan with the windows."""
-    return plan.withColumn("window", F.floor(F.col(start) / F.lit(ctx_len)).cast("bigint")).join(
-        windows, "window"
-    )
+    return plan.withColumn("window", whole_div(F.col(start), ctx_len)).join(windows, "window")
 
 
 def span_mask(tokens: Column, ctx_len: int, pattern: Sequence[int], stop: int = 0) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numbers import whole_div
 from ..functions.text import path_part, without_suffix
 from ..operators.joins import not_yet_done
 from ..operators.numbering import number_rows
@@ -25,46 +27,39 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Approximate bytes of a row: its strings plus 8 for every other column."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    total = F.lit(8 * (len(df.columns) - len(strings))).cast("bigint")
-    for name in strings:
-        total = total + F.coalesce(F.octet_length(name), F.lit(0))
-    return total
-
-
-def spread_groups(df: DataFrame, by: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``df`` with every ``by`` group laid out in as many tasks as it has shards.
+def write_dumps(
+    df: DataFrame, path: str, by: str = "dump", max_rows_per_file: int = 0
+) -> None:
+    """One folder per dump in several shards; only the dumps present are replaced.
 
-    Group sizes are measured first (one pre-aggregated row per group). A row's shard comes from a
-    hash of the row, so a retried task puts it in the same place, and a group with a third of all
-    rows fills a third of the tasks instead of one.
+    The rows are rebalanced by dump: adaptive execution cuts a dump that is far larger than the
+    others into as many tasks as its size asks for and merges small ones, so a hot dump neither
+    sits in one task nor leaves thousands of tiny files. Shards stay near the session's advisory
+    partition size, which must not exceed the 4096 MB of an output shard.
     """
-    sizes = df.groupBy(by).agg(
-        F.ceil(F.sum(_row_bytes(df)) / shard_bytes).cast("bigint").alias("_shards")
-    )
-    salted = df.join(sizes, by).withColumn(
-        "_shard", F.pmod(F.xxhash64(*df.columns), F.greatest("_shards", F.lit(1).cast("bigint")))
-    )
-    return salted.repartition(by, "_shard").drop("_shards", "_shard")
-
-
-def write_dumps(df: DataFrame, path: str, by: str = "dump", shard_bytes: int = SHARD_BYTES) -> None:
-    """One folder per dump in shards of bounded size; only the dumps present are replaced."""
+    advisory = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    if _bytes(advisory) > SHARD_BYTES:
+        raise ValueError("the advisory partition size is larger than an output shard may be")
     (
-        spread_groups(df, by, shard_bytes)
+        df.hint("rebalance", by)
         .write.partitionBy(by)
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_rows_per_file)
         .mode("overwrite")
         .parquet(path)
     )
 
 
+def _bytes(setting: str) -> int:
+    """Bytes of a size setting such as ``64MB`` or ``67108864b``."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def file_groups(files: DataFrame, per_group: int, path: str = "path") -> DataFrame:
     """(path, grp): the listing in path order, cut in runs of ``per_group`` files."""
     numbered = number_rows(files.select(path), [path], "_row")
-    return numbered.select(path, F.expr(f"_row div {per_group}").alias("grp"))
+    return numbered.select(path, whole_div(F.col("_row"), per_group).alias("grp"))
 
 
 def group_names(groups: DataFrame, path: str = "path", by_folder: bool = False) -> DataFrame:
@@ -81,22 +76,17 @@ def group_names(groups: DataFrame, path: str = "path", by_folder: bool = False)
     )
 
 
-def compact_files(
-    source: DataFrame, kept: Column, per_group: int, path: str, shard_bytes: int = SHARD_BYTES
-) -> None:
+def compact_files(source: DataFrame, kept: Column, per_group: int, path: str) -> None:
     """Filter ``source`` and write one output folder per ``per_group`` of its input files.
 
     Inputs stay where they are. A group larger than a shard is written as several files.
     """
     file = F.col("_metadata.file_path")
-    listing = source.select(file.alias("path")).distinct()
-    groups = file_groups(listing, per_group)
-    named = groups.join(group_names(groups).select("grp", F.col("name").alias("file_group")), "grp")
+    groups = file_groups(source.select(file.alias("path")).distinct(), per_group)
+    names = group_names(groups).select("grp", F.col("name").alias("file_group"))
     rows = source.select(*source.columns, file.alias("path")).where(kept)
-    grouped = rows.join(named.select("path", "file_group"), "path").drop("path")
-    spread_groups(grouped, "file_group", shard_bytes).write.partitionBy("file_group").mode(
-        "overwrite"
-    ).parquet(path)
+    grouped = rows.join(groups, "path").join(names, "grp").drop("path", "grp")
+    write_dumps(grouped, path, "file_group")
 
 
 def export_jsonl(df: DataFrame, path: str) -> None:
@@ -129,17 +119,24 @@ def process_pending(
     """Filter and write the dumps that no manifest row names yet, then commit them.
 
     The manifest is appended only after the write returned: a run that breaks off leaves no row
-    and its dumps are rewritten next time; a rerun after success finds nothing to do.
+    and its dumps are rewritten next time; a rerun after success finds nothing to do. The row
+    counts come from the written files; of the source only the dump names are read again.
     """
     spark = df.sparkSession
     done = read_manifest(spark, manifest).select(F.col("name").alias(by))
     pending = not_yet_done(df, done, by)
-    kept = pending.where(keep)
-    write_dumps(kept, output, by)
-    counts = pending.groupBy(F.col(by).alias("name")).agg(
-        F.count_if(F.coalesce(keep, F.lit(False))).alias("rows")
+    names = pending.select(F.col(by).alias("name")).distinct()
+    if names.isEmpty():
+        return
+    write_dumps(pending.where(keep), output, by)
+    written = (
+        spark.read.schema(df.schema).parquet(output)
+        .groupBy(F.col(by).alias("name"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    commit_manifest(
+        names.join(written, "name", "left").fillna(0, subset=["rows"]), manifest
     )
-    commit_manifest(counts, manifest)
 
 
 def quarantine(rejected: Sequence[DataFrame], path: str) -> None:
