@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import joins
+from ..session import scratch_path
+from ..sources.text import read_answers
 from .registry import query, table
 
 ANSWERS = """first_user AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY 1),
@@ -56,6 +58,24 @@ def combine_answers(spark, folder):
     return _combined(spark, folder).withColumn("models", F.array_join("models", " "))
 
 
+@query("""WITH f AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY 1),
+a AS (SELECT turn AS model, prompt, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS prompt_id
+  FROM conversations JOIN f USING (conv_id) WHERE role = 'assistant' AND turn IN (1, 3, 5))
+SELECT prompt_id, arg_max(prompt, model) AS prompt, string_agg('[SEP]' || text, ' ' ORDER BY model) AS response
+FROM a GROUP BY 1 HAVING count(*) = 3""")
+def combine_answer_files(spark, folder):
+    """Answers of three models written as JSON-lines files, zipped by line and combined."""
+    answers = _answers(spark, folder)
+    files = {}
+    for turn in (1, 3, 5):
+        files[str(turn)] = scratch_path(spark, f"answers-{turn}")
+        one = answers.where(F.col("model") == turn).repartitionByRange(3, "prompt_id")
+        ordered = one.sortWithinPartitions("prompt_id").select("prompt", "response")
+        ordered.write.json(files[str(turn)])
+    combined = ev.combine_answers(read_answers(spark, files), range(len(files)))
+    return combined.select("prompt_id", "prompt", "response")
+
+
 # The two rule judges, written out for one answer ``a`` of the list ``parts``.
 SQL_JUDGED = f"""{COMBINED},
 asked AS (SELECT prompt_id, models, 'prompt: ' || prompt || ' ' || chr(10) || 'Response: ' || response AS t,

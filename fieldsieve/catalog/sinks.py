@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keywords as kw
 from ..operators import tokens as tk
-from ..operators.numbering import number_rows
+from ..operators.filters import keep_matching
 from ..session import scratch_path
 from ..sinks import tables as tb
 from ..sinks.token_shards import read_token_shards, write_token_shards
@@ -49,9 +49,8 @@ def commit_manifest(spark, folder):
     """Two runs over the same dumps; the second finds nothing to do."""
     output, manifest = scratch_path(spark, "kept"), scratch_path(spark, "manifest")
     pages = crawl(spark, folder).select("page_id", "url", "dump")
-    keep = kw.contains_any(F.col("url"), PAGE_KEYWORDS)
-    tb.process_pending(pages, keep, output, manifest)
-    tb.process_pending(pages, keep, output, manifest)
+    for _ in range(2):
+        tb.process_pending(pages, lambda df: keep_matching(df, PAGE_KEYWORDS), output, manifest)
     return tb.read_manifest(spark, manifest).select("name", "rows")
 
 
@@ -79,11 +78,8 @@ def export_jsonl(spark, folder):
 @query(f"""WITH {SQL_TOKENS} SELECT row_number() OVER (ORDER BY doc_id) - 1 AS item, array_to_string(ids, ' ') AS tokens FROM tok""")
 def token_shards(spark, folder):
     path = scratch_path(spark, "shards")
-    ids = documents(spark, folder).select("doc_id", tk.byte_tokens("text").alias("tokens"))
-    write_token_shards(ids, path, "doc_id", shards=4)
-    back = read_token_shards(spark, path)
-    items = number_rows(back.select("shard", "place"), ["shard", "place"], "item")
-    return back.join(items, ["shard", "place"]).select("item", joined("tokens").alias("tokens"))
+    write_token_shards(documents(spark, folder), path, "doc_id", tk.byte_tokens("text"))
+    return read_token_shards(spark, path).select("item", joined("tokens").alias("tokens"))
 
 
 @query("""SELECT 'parse_json' AS stage, md5('{"text": ' || doc_id) AS key, 'not JSON' AS reason FROM documents WHERE n_chars > 2000

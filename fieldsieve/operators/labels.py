@@ -83,9 +83,13 @@ def python_judge(answer: Callable[[str], str]) -> Judge:
 
 
 def judge_documents(df: DataFrame, judge: Judge, text: str = "text", keep: bool = False) -> DataFrame:
-    """Add ``response``. ``keep=True`` writes the answers once, for judges that cost or vary."""
+    """Add ``response``.
+
+    ``keep=True`` is for judges that cost or vary: the answers are written once, without the
+    texts, and read from there by everything that follows.
+    """
     judged = df.withColumn("response", judge(F.col(text)))
-    return pin(judged, "judged") if keep else judged
+    return pin(judged.drop(text), "judged") if keep else judged
 
 
 def accept_by_group(

@@ -137,23 +137,32 @@ def read_blocks(plan: DataFrame, windows: DataFrame, ctx_len: int, start: str =
     return plan.withColumn("window", whole_div(F.col(start), ctx_len)).join(windows, "window")
 
 
+def _pattern_end(tokens: Column, i: Column, pattern: Sequence[int]) -> Column:
+    """Whether ``pattern`` ends at place ``i``; the rarest test, its last token, comes first."""
+    test = F.get(tokens, i) == pattern[-1]
+    for back in range(1, len(pattern)):
+        test = test & (F.get(tokens, i - back) == pattern[-1 - back])
+    return test
+
+
+def _mask_places(ctx_len: int, pattern: Sequence[int]) -> Column:
+    return F.sequence(F.lit(len(pattern) - 1), F.lit(ctx_len - 1))
+
+
+def holds_pattern(tokens: Column, ctx_len: int, pattern: Sequence[int]) -> Column:
+    """Whether :func:`span_mask` has any 1: an end of the pattern always counts itself."""
+    return F.exists(_mask_places(ctx_len, pattern), lambda i: _pattern_end(tokens, i, pattern))
+
+
 def span_mask(tokens: Column, ctx_len: int, pattern: Sequence[int], stop: int = 0) -> Column:
     """0/1 per position: 1 from the last token of ``pattern`` until the next ``stop`` token.
 
     The window is cut at its ``stop`` tokens; in each part the ones begin where the pattern first
     ends. The places are found once and handed to the parts inside one array element.
     """
-    head = len(pattern) - 1
-    places = F.sequence(F.lit(head), F.lit(ctx_len - 1))
-
-    def ends_here(i: Column) -> Column:
-        test = F.get(tokens, i) == pattern[-1]
-        for back in range(1, len(pattern)):
-            test = test & (F.get(tokens, i - back) == pattern[-1 - back])
-        return test
-
+    places = _mask_places(ctx_len, pattern)
     found = F.struct(
-        F.filter(places, ends_here).alias("ends"),
+        F.filter(places, lambda i: _pattern_end(tokens, i, pattern)).alias("ends"),
         F.concat(
             F.array(F.lit(0)),
             F.filter(places, lambda i: F.get(tokens, i) == stop),
@@ -189,12 +198,14 @@ def masked_samples(
     A sample without any answer span is replaced as a whole by a window at a seeded random
     position of the ``background`` blocks, all of it counted.
     """
-    marked = samples.select(
-        key, F.col("tokens"), span_mask(F.col("tokens"), ctx_len, pattern).alias("z")
+    has_span = holds_pattern(F.col("tokens"), ctx_len, pattern)
+    kept = samples.where(has_span).select(
+        key,
+        F.lit(False).alias("replaced"),
+        "tokens",
+        span_mask(F.col("tokens"), ctx_len, pattern).alias("z"),
     )
-    has_span = F.array_contains("z", 1)
-    kept = marked.where(has_span).select(key, F.lit(False).alias("replaced"), "tokens", "z")
-    plan = marked.where(~has_span).select(
+    plan = samples.where(~has_span).select(
         key,
         uniform_below(F.lit(background_tokens - ctx_len - 1), seed, F.col(key)).alias("start"),
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,9 +114,13 @@ def commit_manifest(finished: DataFrame, path: str, name: str = "name", rows: st
 
 
 def process_pending(
-    df: DataFrame, keep: Column, output: str, manifest: str, by: str = "dump"
+    df: DataFrame,
+    step: Callable[[DataFrame], DataFrame],
+    output: str,
+    manifest: str,
+    by: str = "dump",
 ) -> None:
-    """Filter and write the dumps that no manifest row names yet, then commit them.
+    """Apply ``step`` to the dumps that no manifest row names yet, write and commit them.
 
     The manifest is appended only after the write returned: a run that breaks off leaves no row
     and its dumps are rewritten next time; a rerun after success finds nothing to do. The row
@@ -128,15 +132,14 @@ def process_pending(
     names = pending.select(F.col(by).alias("name")).distinct()
     if names.isEmpty():
         return
-    write_dumps(pending.where(keep), output, by)
+    result = step(pending)
+    write_dumps(result, output, by)
     written = (
-        spark.read.schema(df.schema).parquet(output)
+        spark.read.schema(result.schema).parquet(output)
         .groupBy(F.col(by).alias("name"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    commit_manifest(
-        names.join(written, "name", "left").fillna(0, subset=["rows"]), manifest
-    )
+    commit_manifest(names.join(written, "name", "left").fillna(0, subset=["rows"]), manifest)
 
 
 def quarantine(rejected: Sequence[DataFrame], path: str) -> None:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -105,6 +105,7 @@ class ShardWriter(DataSourceArrowWriter):
 class DocRange(InputPartition):
     name: str
     shard: int
+    before: int
     first: int
     last: int
 
@@ -122,14 +123,15 @@ class ShardReader(DataSourceReader):
         self.path, self.tokens_per_read = path, tokens_per_read
 
     def partitions(self) -> list[DocRange]:
-        ranges = []
+        ranges, before = [], 0
         for number, shard in enumerate(read_listing(self.path)):
             docs = shard["n_docs"]
             step = max(1, docs * self.tokens_per_read // max(1, shard["n_tokens"]))
             ranges += [
-                DocRange(shard["name"], number, first, min(first + step, docs))
+                DocRange(shard["name"], number, before, first, min(first + step, docs))
                 for first in range(0, docs, step)
             ]
+            before += docs
         return ranges
 
     def read(self, part: DocRange) -> Iterator[pa.RecordBatch]:
@@ -151,9 +153,9 @@ class ShardReader(DataSourceReader):
         tokens = pa.ListArray.from_arrays(
             pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))
         )
-        place = pa.array(np.arange(part.first, part.last, dtype=np.int64))
+        item = pa.array(np.arange(part.first, part.last, dtype=np.int64) + part.before)
         shard = pa.array(np.full(count, part.shard, dtype=np.int32))
-        yield pa.RecordBatch.from_arrays([shard, place, tokens], ["shard", "place", "tokens"])
+        yield pa.RecordBatch.from_arrays([shard, item, tokens], ["shard", "item", "tokens"])
 
 
 class TokenShards(DataSource):
@@ -162,7 +164,7 @@ class TokenShards(DataSource):
         return FORMAT
 
     def schema(self) -> str:
-        return "shard int, place bigint, tokens array<int>"
+        return "shard int, item bigint, tokens array<int>"
 
     def reader(self, schema) -> ShardReader:
         return ShardReader(self.options["path"], int(self.options.get("tokens_per_read", TOKENS_PER_READ)))
@@ -172,19 +174,30 @@ class TokenShards(DataSource):
 
 
 def write_token_shards(
-    stream: DataFrame, path: str, order_by: str, tokens: str = "tokens", shards: int | None = None, dtype: str = "uint16"
+    df: DataFrame,
+    path: str,
+    order_by: str,
+    tokens: Column,
+    shards: int | None = None,
+    dtype: str = "uint16",
 ) -> None:
-    """Write the documents of ``stream`` in ``order_by`` order, one shard per range of it."""
-    spark = stream.sparkSession
+    """Write the ``tokens`` of every row in ``order_by`` order, one shard per range of it.
+
+    Rows are ranged before the ids are made, so the range sampling does not make them as well.
+    """
+    spark = df.sparkSession
     spark.dataSource.register(TokenShards)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = stream.repartitionByRange(n, order_by).sortWithinPartitions(order_by).select(tokens)
-    ordered.write.format(FORMAT).option("dtype", dtype).mode("overwrite").save(path)
+    ordered = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by)
+    (
+        ordered.select(tokens.alias("tokens"))
+        .write.format(FORMAT).option("dtype", dtype).mode("overwrite").save(path)
+    )
 
 
 def read_token_shards(
     spark: SparkSession, path: str, tokens_per_read: int = TOKENS_PER_READ
 ) -> DataFrame:
-    """(shard, place, tokens): every task reads a range of one shard's documents."""
+    """(shard, item, tokens): every task reads a range of one shard's documents."""
     spark.dataSource.register(TokenShards)
     return spark.read.format(FORMAT).option("tokens_per_read", tokens_per_read).load(path)

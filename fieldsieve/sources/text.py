@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_spaces
+from ..operators.numbering import number_rows
 
 TEXT_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
 ANSWER_SCHEMA = T.StructType(
@@ -19,14 +23,21 @@ FILE_ENTRY = '<span[^>]*\\bclass="truncate group-hover:underline"[^>]*>([^<]*)</
 DUMP_PREFIX = "CC-MAIN"
 
 
-def parse_json_lines(lines: DataFrame, schema: T.StructType = TEXT_SCHEMA, value: str = "value") -> DataFrame:
+def parse_json_lines(
+    lines: DataFrame,
+    schema: T.StructType = TEXT_SCHEMA,
+    value: str = "value",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Non-blank lines parsed as JSON, with ``_corrupt_record`` set on lines that are not JSON."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    stripped = lines.select(strip_spaces(F.col(value)).alias("line")).where(F.length("line") > 0)
+    stripped = lines.select(*keep, strip_spaces(F.col(value)).alias("line")).where(
+        F.length("line") > 0
+    )
     parsed = F.from_json(
         "line", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     )
-    return stripped.select(parsed.alias("row"), "line").select("row.*", "line")
+    return stripped.select(*keep, parsed.alias("row"), "line").select(*keep, "row.*", "line")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = TEXT_SCHEMA) -> DataFrame:
@@ -35,6 +46,37 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = TEXT_SCHEM
     return parsed.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "line")
 
 
+def read_numbered_lines(spark: SparkSession, path: str, name: str = "line_no") -> DataFrame:
+    """(value, line_no): lines with their 0-based number, files taken in path order.
+
+    A line's place is known from its file, the block it was read from, and its order in the task.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_read"),
+    )
+    return number_rows(lines, ["_file", "_block", "_read"], name).select("value", name)
+
+
+def read_answers(spark: SparkSession, files: dict[str, str]) -> DataFrame:
+    """(prompt_id, model, prompt, response) of line-aligned answer files, one per model.
+
+    The line number is the prompt's id; lines past the end of the shortest file are left out. The
+    model column holds the place of the file in ``files``.
+    """
+    parts = [
+        parse_json_lines(read_numbered_lines(spark, path, "prompt_id"), ANSWER_SCHEMA, keep=["prompt_id"])
+        .select("prompt_id", F.lit(place).alias("model"), "prompt", "response")
+        for place, path in enumerate(files.values())
+    ]
+    answers = reduce(DataFrame.unionByName, parts)
+    lengths = answers.groupBy("model").agg(F.max("prompt_id").alias("last"))
+    shortest = lengths.agg(F.when(F.count(F.lit(1)) == len(files), F.min("last"))).first()[0]
+    return answers.where(F.col("prompt_id") <= F.lit(shortest))
+
+
 def read_vocabulary_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
