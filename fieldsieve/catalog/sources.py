@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sinks.tables import export_jsonl
+from ..sinks.tables import export_jsonl, write_dumps
 from ..sources import crawl as dumps
 from ..sources import text as tx
 from .registry import CRAWL, crawl, query, table
@@ -16,8 +16,7 @@ def scan_dump(spark, folder):
     """Pages laid out as dump folders and read back with dump, file and row provenance."""
     root = scratch_path(spark, "dumps")
     pages = crawl(spark, folder).select("page_id", "dump", "token_count")
-    for dump in dumps.pattern_names(pages.select("dump").distinct()):
-        pages.where(F.col("dump") == dump).drop("dump").write.parquet(f"{root}/data/{dump}")
+    write_dumps(pages, f"{root}/data")
     schema = pages.drop("dump").schema
     found = dumps.read_dumps(spark, root, schema=schema)
     known = F.col("file_name").endswith(".parquet") & (F.col("row_index") >= 0)

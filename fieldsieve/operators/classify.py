@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -27,11 +28,10 @@ def stratified_split(
     The order is numbered over hash slices, so a label with most of the rows is no hot spot.
     """
     ranked = number_by_hash(df, seed, [key], "_rank", by=[label])
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    cutoff = whole_div(F.col("_n") * train_tenths + 9, 10)
+    counts = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        ranked.join(F.broadcast(_checked_labels(counts)), label)
-        .withColumn("is_train", F.col("_rank") < cutoff)
+        ranked.join(F.broadcast(_checked_labels(counts)), F.col(label).eqNullSafe(F.col("_label")))
+        .withColumn("is_train", F.col("_rank") < whole_div(F.col("_n") * train_tenths + 9, 10))
         .select(*df.columns, "is_train")
     )
 
@@ -74,6 +74,24 @@ def score_with_model(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df).select(*kept, F.col("prediction").cast("int").alias("pred"))
 
 
+def score_with_function(
+    df: DataFrame, logits: Callable[[pd.Series], Sequence[Sequence[float]]], text: str = "text"
+) -> DataFrame:
+    """Add ``pred`` from a batch scorer: a function from texts to one list of scores per text.
+
+    The function sees Arrow batches; ``spark.sql.execution.arrow.maxRecordsPerBatch`` sets their
+    size (512 rows in the original job).
+    """
+
+    @F.pandas_udf("array<double>")
+    def scores(texts: pd.Series) -> pd.Series:
+        return pd.Series([[float(v) for v in row] for row in logits(texts)], index=texts.index)
+
+    # Kept as a column of its own: argmax reads it twice, the scorer must run once.
+    scored = df.withColumn("_scores", scores(F.col(text)))
+    return scored.withColumn("pred", argmax(F.col("_scores"))).drop("_scores")
+
+
 def class_centers(df: DataFrame, embedding: str, label: str) -> list[tuple[int, list[float]]]:
     """Mean vector per class, as (class, vector) in class order.
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import order_key
@@ -25,6 +25,12 @@ from ..session import pin
 
 SLICE = "_slice"
 PLACE = "_place"
+GROUP = "_group"
+
+
+def _grouped(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the group as one struct: never null itself, and equal to itself with null fields."""
+    return df.withColumn(GROUP, F.struct(*by) if by else F.lit(0))
 
 
 def _slice_count(df: DataFrame, n_slices: int | None) -> int:
@@ -50,35 +56,44 @@ def ordered_slices(
     return pin(laid_out, "slices")
 
 
-def hash_slices(df: DataFrame, key: str, digits: int = 3) -> DataFrame:
-    """Slices from the first hex ``digits`` of a uniform hex ``key``: 16**digits of them."""
+def hash_slices(df: DataFrame, key: str, digits: int | None = None) -> DataFrame:
+    """Slices from the first hex ``digits`` of a uniform hex ``key``: 16**digits of them.
+
+    By default as many digits as give every shuffle partition of the session several slices, so
+    slices shrink as the cluster and its settings grow.
+    """
+    if digits is None:
+        digits = 1
+        while 16**digits < 8 * _slice_count(df, None):
+            digits += 1
     return df.withColumn(SLICE, F.substring(F.col(key), 1, digits))
 
 
-def _slice_totals(sliced: DataFrame, by: Sequence[str], size: str | None) -> DataFrame:
-    """One row per (group, slice): rows and sizes of the group's earlier slices."""
-    amount = F.sum(size) if size else F.count(F.lit(1))
-    totals = sliced.groupBy(*by, SLICE).agg(
-        F.count(F.lit(1)).alias("_rows"), amount.cast("bigint").alias("_amount")
+def _shifted(sliced: DataFrame, by: Sequence[str], **amounts: Column) -> DataFrame:
+    """Add each of ``amounts``, an aggregate, taken over the earlier slices of the row's group.
+
+    The totals hold one row per (group, slice). Without groups that is at most the fixed number of
+    slices and they are broadcast; with groups the join is left to Spark. It has the same keys as
+    the numbering window, so both use one shuffle of the rows, and a hot group is many keys.
+    """
+    totals = sliced.groupBy(GROUP, SLICE).agg(
+        *[total.cast("bigint").alias(name) for name, total in amounts.items()]
     )
     earlier = (
-        Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*([GROUP] if by else []))
+        .orderBy(SLICE)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    zero = F.lit(0).cast("bigint")
-    return totals.select(
-        *by,
-        SLICE,
-        F.coalesce(F.sum("_rows").over(earlier), zero).alias("_rows_before"),
-        F.coalesce(F.sum("_amount").over(earlier), zero).alias("_amount_before"),
+    before = totals.select(
+        GROUP, SLICE, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in amounts]
     )
+    if not by:
+        return sliced.join(F.broadcast(before.drop(GROUP)), SLICE)
+    return sliced.join(before, [GROUP, SLICE])
 
 
-def _shifted(sliced: DataFrame, by: Sequence[str], size: str | None) -> DataFrame:
-    totals = _slice_totals(sliced, by, size)
-    if not by:
-        # At most one row per slice, and the number of slices is fixed.
-        totals = F.broadcast(totals)
-    return sliced.join(totals, [*by, SLICE])
+def _row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def number_rows(
@@ -92,16 +107,15 @@ def number_rows(
 
     Pass narrow rows (keys) and join the wide columns back: the rows are written out once.
     """
-    sliced = ordered_slices(df, order_by, by, n_slices)
+    sliced = _grouped(ordered_slices(df, order_by, by, n_slices), by)
+    shifted = _shifted(sliced, by, _before=_row_count())
     if by:
-        within = Window.partitionBy(*by, SLICE).orderBy(PLACE)
+        within = Window.partitionBy(GROUP, SLICE).orderBy(PLACE)
         local = F.row_number().over(within) - 1
     else:
         local = F.col(PLACE)
-    return (
-        _shifted(sliced, by, None)
-        .withColumn(name, (F.col("_rows_before") + local).cast("bigint"))
-        .select(*df.columns, name)
+    return shifted.withColumn(name, (F.col("_before") + local).cast("bigint")).select(
+        *df.columns, name
     )
 
 
@@ -114,15 +128,15 @@ def running_offsets(
     n_slices: int | None = None,
 ) -> DataFrame:
     """Add ``row`` (dense position) and ``name`` (sum of ``size`` over all earlier rows)."""
-    sliced = ordered_slices(df, order_by, (), n_slices)
+    sliced = _grouped(ordered_slices(df, order_by, (), n_slices), ())
     earlier = (
         Window.partitionBy(SLICE).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
     )
     inside = F.coalesce(F.sum(size).over(earlier), F.lit(0))
     return (
-        _shifted(sliced, (), size)
-        .withColumn(row, F.col("_rows_before") + F.col(PLACE))
-        .withColumn(name, (F.col("_amount_before") + inside).cast("bigint"))
+        _shifted(sliced, (), _before=_row_count(), _sizes=F.sum(size))
+        .withColumn(row, F.col("_before") + F.col(PLACE))
+        .withColumn(name, (F.col("_sizes") + inside).cast("bigint"))
         .select(*df.columns, row, name)
     )
 
@@ -133,23 +147,18 @@ def number_by_hash(
     parts: Sequence[str],
     name: str = "row",
     by: Sequence[str] = (),
-    digits: int = 3,
+    digits: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the 0-based position of each row in a seeded random order, per ``by`` group.
 
     The key is md5 of ``seed:part:…``; equal keys (never met in practice) fall back to ``parts``.
-    Groups of any size are spread over ``16**digits`` slices.
+    Groups of any size are spread over all slices.
     """
     keyed = df.withColumn("_key", order_key(seed, *[F.col(p) for p in parts]))
-    sliced = hash_slices(keyed, "_key", digits)
-    totals = _slice_totals(sliced.select(*by, SLICE), by, None)
-    within = Window.partitionBy(*by, SLICE).orderBy("_key", *parts)
+    sliced = _grouped(hash_slices(keyed, "_key", digits), by)
+    within = Window.partitionBy(GROUP, SLICE).orderBy("_key", *parts)
     return (
-        sliced.join(totals, [*by, SLICE])
-        .withColumn(
-            name, (F.col("_rows_before") + F.row_number().over(within) - 1).cast("bigint")
-        )
+        _shifted(sliced, by, _before=_row_count())
+        .withColumn(name, (F.col("_before") + F.row_number().over(within) - 1).cast("bigint"))
         .select(*df.columns, name)
     )
-
-

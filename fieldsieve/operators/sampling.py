@@ -16,7 +16,7 @@ SAMPLES_PER_EPOCH = 40320
 
 
 def epoch_shuffle(
-    df: DataFrame, key: str, n_epochs: int, seed: int = 0, digits: int = 3
+    df: DataFrame, key: str, n_epochs: int, seed: int = 0, digits: int | None = None
 ) -> DataFrame:
     """(epoch, position, key): every epoch holds every key once, in its own seeded order."""
     copies = df.select(

@@ -40,11 +40,12 @@ def read_dumps(
 ) -> DataFrame:
     """All parquet files of the given dumps (or of all) under ``root/data/<dump>/``.
 
-    The dump name comes from the path; folders of other dumps are never listed.
+    The dump name comes from the path (``<dump>`` or ``dump=<dump>``); folders of other dumps are
+    never listed.
     """
     folders = [f"{root}/data/{name}/*.parquet" for name in (dumps or ["*"])]
     df = spark.read.schema(schema).parquet(*folders)
-    dump = F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+)/[^/]+$", 1)
+    dump = F.regexp_extract(F.col("_metadata.file_path"), "/data/(?:dump=)?([^/]+)/[^/]+$", 1)
     return with_provenance(df).withColumn("dump", dump)
 
 

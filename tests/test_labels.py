@@ -120,6 +120,21 @@ def test_classifier_learns(spark):
     assert classify.keep_positive(by_center).count() == 100
 
 
+def test_batch_scorer(spark):
+    df = spark.createDataFrame([(i, "x" * i) for i in range(30)], "id long, text string")
+    scored = classify.score_with_function(df, lambda texts: [(10.0, len(t)) for t in texts])
+    assert {r["id"] for r in scored.where("pred = 1").collect()} == set(range(11, 30))
+    assert scored.columns == ["id", "text", "pred"]
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_split_keeps_rows_without_a_label(spark):
+    df = spark.createDataFrame([(i, None if i < 10 else 1) for i in range(30)], "id long, label int")
+    split = classify.stratified_split(df, "id")
+    assert split.count() == 30 and split.where("label IS NULL AND is_train").count() == 9
+
+
 def test_log_rollup(spark):
     log = spark.createDataFrame(
         [(0, 1.0, 1, 0.1), (0, 3.0, 2, 0.05), (1, 0.5, 3, 0.01)], "epoch int, loss double, step int, lr double"

@@ -61,6 +61,14 @@ def test_hot_group_is_cut_over_slices(spark):
     assert len(sizes) == 8 and max(sizes) < 2 * 3000 / 8
 
 
+def test_rows_without_a_group_are_a_group(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "a")], "id long, grp string")
+    expected = {1: 0, 2: 0, 3: 1, 4: 1}
+    assert {r["id"]: r["row"] for r in number_rows(df, ["id"], by=["grp"]).collect()} == expected
+    hashed = number_by_hash(df, 0, ["id"], by=["grp"]).collect()
+    assert sorted((r["grp"] or "", r["row"]) for r in hashed) == [("", 0), ("", 1), ("a", 0), ("a", 1)]
+
+
 def test_empty_and_spread(spark):
     empty = spark.createDataFrame([], "id long, size long")
     assert number_rows(empty, ["id"]).count() == 0
