@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .functions.keywords import SPORTS_KEYWORDS
 from .operators import evaluate as ev
+from .operators.labels import any_sentence_judge, majority_judge
 from .plans import crawl, tokens
+from .plans.classifier import train_classifier
+from .plans.labels import label_set
 from .sinks.tables import export_jsonl
-from .sources.crawl import pattern_names, read_patterns
+from .sources.crawl import CRAWL_SCHEMA, pattern_names, read_patterns, with_row_key
 from .sources.text import parse_json_lines, read_answers, read_numbered_lines
 
 
@@ -22,6 +27,19 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("output")
     job.add_argument("-j", "--json", help='JSON file {"patterns": [dump, …]}')
     job.add_argument("-n", "--name", help="one dump")
+    job = jobs.add_parser("train", help="train and report the document classifier")
+    job.add_argument("annotation", help="parquet with text and label")
+    job.add_argument("model", help="folder for the model")
+    job = jobs.add_parser("clean", help="keep filtered pages the classifier calls positive")
+    job.add_argument("filtered")
+    job.add_argument("output")
+    job.add_argument("manifest")
+    job.add_argument("model")
+    job = jobs.add_parser("label", help="build one side of a labelled set with the rule judge")
+    job.add_argument("crawl", help="parquet with text, url, token_count, language")
+    job.add_argument("output")
+    job.add_argument("--label", type=int, choices=(0, 1), required=True)
+    job.add_argument("--max-counter", type=int, default=20000)
     job = jobs.add_parser("tokens", help="shuffle, tokenize and shard JSON-lines documents")
     job.add_argument("jsonl")
     job.add_argument("output")
@@ -41,6 +59,19 @@ def main(argv: list[str] | None = None) -> None:
         if args.json:
             names = pattern_names(read_patterns(spark, args.json))
         crawl.filter_crawl(spark, args.root, args.output, names)
+    elif args.job == "train":
+        result = train_classifier(spark.read.parquet(args.annotation))
+        result.model.write().overwrite().save(args.model)
+        for table in (result.metrics, result.report, result.matrix):
+            table.show(truncate=False)
+    elif args.job == "clean":
+        scorer = crawl.model_scorer(PipelineModel.load(args.model))
+        crawl.clean_crawl(spark, args.filtered, args.output, args.manifest, scorer)
+    elif args.job == "label":
+        pages = with_row_key(spark.read.schema(CRAWL_SCHEMA).parquet(args.crawl))
+        judge = (majority_judge if args.label else any_sentence_judge)(SPORTS_KEYWORDS)
+        accepted = label_set(pages, "row_key", args.label, judge, args.max_counter)
+        accepted.drop("row_key").write.parquet(args.output)
     elif args.job == "tokens":
         lines = read_numbered_lines(spark, args.jsonl, "doc")
         docs = parse_json_lines(lines, keep=["doc"]).where(F.col("text").isNotNull())

@@ -80,7 +80,7 @@ def score_with_function(
     """Add ``pred`` from a batch scorer: a function from texts to one list of scores per text.
 
     The function sees Arrow batches; ``spark.sql.execution.arrow.maxRecordsPerBatch`` sets their
-    size (512 rows in the original job).
+    size; 512 suits a transformer encoder.
     """
 
     @F.pandas_udf("array<double>")

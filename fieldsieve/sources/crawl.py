@@ -32,6 +32,12 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
+def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """Add a key that is unique per row and sorts rows by file and place in the file."""
+    place = F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0")
+    return df.select(*df.columns, F.concat_ws("#", "_metadata.file_path", place).alias(name))
+
+
 def read_dumps(
     spark: SparkSession,
     root: str,

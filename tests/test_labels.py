@@ -1,8 +1,11 @@
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from fieldsieve.__main__ import main
 from fieldsieve.operators import classify, labels, metrics
 from fieldsieve.operators.numbering import number_rows
+from fieldsieve.plans.classifier import train_classifier
 from fieldsieve.plans.labels import label_set
 
 
@@ -120,6 +123,29 @@ def test_classifier_learns(spark):
     assert classify.keep_positive(by_center).count() == 100
 
 
+def test_training_and_labelling_jobs(spark, tmp_path):
+    words = ["match goal team", "bank loan tax"]
+    data = [(f"{words[i % 2]} {i}", 1 - i % 2) for i in range(200)] + [("odd", 7), ("odd", 3)]
+    annotation = spark.createDataFrame(data, "text string, label int")
+    result = train_classifier(annotation)
+    assert result.metrics.first()["accuracy"] == 1.0
+    assert {(r["label"], r["count"]) for r in result.other_labels.collect()} == {(5, 1), (3, 1)}
+    annotation.write.parquet(str(tmp_path / "a"))
+    main(["train", str(tmp_path / "a"), str(tmp_path / "m")])
+    model = PipelineModel.load(str(tmp_path / "m"))
+    assert classify.score_with_model(annotation.limit(4), model).count() == 4
+    pages = [("the team. won.", "http://x/sport", 5, "en")] * 7 + [("team", "http://x/sport", 5, "en")] * 3
+    pages += [("other", "http://x/y", 5, "en")] * 12
+    schema = "text string, url string, token_count long, language string"
+    spark.createDataFrame(pages, schema).write.parquet(str(tmp_path / "c"))
+    main(["label", str(tmp_path / "c"), str(tmp_path / "l"), "--label", "1"])
+    # Equal rows stay apart; a text is accepted when more than half of its sentences match.
+    assert spark.read.parquet(str(tmp_path / "l")).count() == 3
+    main(["label", str(tmp_path / "c"), str(tmp_path / "l0"), "--label", "0"])
+    zero = spark.read.parquet(str(tmp_path / "l0"))
+    assert zero.columns == ["text", "token_count", "label"] and zero.count() == 12
+
+
 def test_batch_scorer(spark):
     df = spark.createDataFrame([(i, "x" * i) for i in range(30)], "id long, text string")
     scored = classify.score_with_function(df, lambda texts: [(10.0, len(t)) for t in texts])
