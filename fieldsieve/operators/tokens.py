@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.tables import CODE_POINTS, bounded_rows, literal_array
 from ..functions.text import characters
+from ..session import pin
 from .numbering import running_offsets
 
 END_OF_DOCUMENT = 0
@@ -139,18 +140,18 @@ def decoder(vocabulary: Mapping[bytes, int]):
 @F.arrow_udf(TOKENS)
 def byte_tokens(texts: pa.Array) -> pa.Array:
     """Ids under the byte vocabulary, each text ended by 0; one numpy pass per Arrow batch."""
-    blob = texts.cast(pa.large_binary())
-    missing = blob.is_null()
-    lengths = np.asarray(pc.binary_length(blob).fill_null(0)).astype(np.int64)
-    data = np.frombuffer(b"".join(blob.drop_null().to_pylist()), dtype=np.uint8)
-    ends = np.cumsum(lengths + 1)
-    ids = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+    blob = pc.fill_null(texts, "").cast(pa.large_binary())
+    _, places, content = blob.buffers()
+    borders = np.frombuffer(places, np.int64)[blob.offset : blob.offset + len(blob) + 1]
+    data = np.frombuffer(content or b"", np.uint8)[borders[0] : borders[-1]]
+    ends = borders[1:] - borders[0] + np.arange(1, len(blob) + 1)
+    ids = np.zeros(len(data) + len(blob), dtype=np.int32)
     inside = np.ones(len(ids), dtype=bool)
     inside[ends - 1] = False
     ids[inside] = data.astype(np.int32) + 1
-    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-    out = pa.ListArray.from_arrays(offsets, pa.array(ids))
-    return pc.if_else(missing, pa.scalar(None, out.type), out) if blob.null_count else out
+    starts = np.concatenate([[0], ends]).astype(np.int32)
+    out = pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
+    return pc.if_else(texts.is_null(), pa.scalar(None, out.type), out) if texts.null_count else out
 
 
 def byte_token_count(text: Column) -> Column:
@@ -187,8 +188,12 @@ def round_trip_report(df: DataFrame, text: str, decoded: str) -> DataFrame:
 def stream_offsets(
     sizes: DataFrame, order_by: list[str], size: str = "n_tokens", token_bytes: int = 2
 ) -> DataFrame:
-    """Add ``item``, ``start`` (tokens before the document) and ``pointer`` (bytes before it)."""
-    placed = running_offsets(sizes, order_by, size, "start", "item")
+    """Add ``item``, ``start`` (tokens before the document) and ``pointer`` (bytes before it).
+
+    The sizes are written out before they are ordered: ordering reads its input twice, and the
+    texts behind the sizes should be read once.
+    """
+    placed = running_offsets(pin(sizes, "sizes"), order_by, size, "start", "item")
     return placed.withColumn("pointer", F.col("start") * token_bytes)
 
 

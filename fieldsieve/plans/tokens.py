@@ -9,6 +9,7 @@ from ..operators import sampling
 from ..operators import tokens as tk
 from ..operators import windows as wn
 from ..operators.numbering import running_offsets
+from ..session import pin
 from ..sinks.token_shards import write_token_shards
 
 
@@ -43,7 +44,7 @@ def epoch_windows(
     Sizes are numbered without their texts; the texts join the offsets once and are cut into
     windows.
     """
-    sizes = docs.select(key, tk.byte_token_count(F.col(text)).alias("n_tokens"))
+    sizes = pin(docs.select(key, tk.byte_token_count(F.col(text)).alias("n_tokens")), "sizes")
     order = sampling.epoch_shuffle(docs.select(key), key, n_epochs, seed).join(sizes, key)
     offsets = running_offsets(order, ["epoch", "position"], "n_tokens")
     stream = docs.select(key, text).join(offsets.select(key, "start"), key)
