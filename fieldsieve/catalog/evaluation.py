@@ -42,15 +42,21 @@ combined AS (SELECT prompt_id, arg_max(prompt, model) AS prompt, min(prompt) = m
   FROM answers GROUP BY prompt_id)"""
 
 
-@query("""WITH a AS (SELECT turn AS model, conv_id, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS position
-  FROM conversations WHERE role = 'assistant' AND turn IN (1, 3, 5))
-SELECT position, max(text) FILTER (WHERE model = 1) AS m0, max(text) FILTER (WHERE model = 3) AS m1,
-  max(text) FILTER (WHERE model = 5) AS m2 FROM a GROUP BY 1 HAVING count(*) = 3""")
+# The turn numbers an assistant can have in the given tables.
+MODELS = range(1, 8)
+
+
+@query(
+    """WITH a AS (SELECT turn AS model, conv_id, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS position
+  FROM conversations WHERE role = 'assistant') SELECT position, """
+    + ", ".join(f"max(text) FILTER (WHERE model = {m}) AS m{i}" for i, m in enumerate(MODELS))
+    + f" FROM a GROUP BY 1 HAVING count(*) = {len(MODELS)}"
+)
 def align_answers(spark, folder):
     answers = table(spark, folder, "conversations").where("role = 'assistant'").select(
         F.col("turn").alias("model"), "conv_id", F.col("text").alias("response")
     )
-    return joins.align_by_position(answers, [1, 3, 5], ["conv_id"])
+    return joins.align_by_position(answers, MODELS, ["conv_id"])
 
 
 @query(f"""WITH {COMBINED} SELECT prompt_id, prompt, prompts_agree, response, array_to_string(models, ' ') AS models FROM combined""")
@@ -58,20 +64,21 @@ def combine_answers(spark, folder):
     return _combined(spark, folder).withColumn("models", F.array_join("models", " "))
 
 
-@query("""WITH f AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY 1),
+@query(f"""WITH f AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY 1),
 a AS (SELECT turn AS model, prompt, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS prompt_id
-  FROM conversations JOIN f USING (conv_id) WHERE role = 'assistant' AND turn IN (1, 3, 5))
+  FROM conversations JOIN f USING (conv_id) WHERE role = 'assistant')
 SELECT prompt_id, arg_max(prompt, model) AS prompt, string_agg('[SEP]' || text, ' ' ORDER BY model) AS response
-FROM a GROUP BY 1 HAVING count(*) = 3""")
+FROM a GROUP BY 1 HAVING count(*) = {len(MODELS)}""")
 def combine_answer_files(spark, folder):
-    """Answers of three models written as JSON-lines files, zipped by line and combined."""
-    answers = _answers(spark, folder)
-    files = {}
-    for turn in (1, 3, 5):
-        files[str(turn)] = scratch_path(spark, f"answers-{turn}")
-        one = answers.where(F.col("model") == turn).repartitionByRange(3, "prompt_id")
-        ordered = one.sortWithinPartitions("prompt_id").select("prompt", "response")
-        ordered.write.json(files[str(turn)])
+    """The answers as one folder of JSON lines per model, zipped by line and combined."""
+    path = scratch_path(spark, "answers")
+    ordered = _answers(spark, folder).repartitionByRange(4, "model", "prompt_id")
+    (
+        ordered.sortWithinPartitions("model", "prompt_id")
+        .select("model", "prompt", "response")
+        .write.partitionBy("model").json(path)
+    )
+    files = {str(m): f"{path}/model={m}" for m in MODELS}
     combined = ev.combine_answers(read_answers(spark, files), range(len(files)))
     return combined.select("prompt_id", "prompt", "response")
 

@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from ..functions.tables import bounded_rows
 from ..functions.vectors import argmax, squared_distance
 from .numbering import number_by_hash
 
-MAX_CENTER_CELLS = 100_000
+MAX_CLASSES = 10_000
 
 
 def stratified_split(
@@ -38,19 +39,14 @@ def stratified_split(
 
 def _checked_labels(counts: DataFrame) -> DataFrame:
     """The label counts as a small local table; a label column with very many values is refused."""
-    rows = bounded_rows(counts, 10_000, "the label column")
+    rows = bounded_rows(counts, MAX_CLASSES, "the label column")
     return counts.sparkSession.createDataFrame(rows, counts.schema)
 
 
-def embedding_pipeline(embedding: str = "embedding", label: str = "label") -> Pipeline:
-    """A linear two-class head on stored encoder vectors; the vectors stay as they are."""
-    return Pipeline(
-        stages=[
-            LogisticRegression(
-                featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=50, regParam=0.01
-            )
-        ]
-    )
+def embedding_pipeline(label: str = "label") -> Pipeline:
+    """A linear two-class head on stored encoder vectors (``features``), which stay as they are."""
+    head = LogisticRegression(featuresCol="features", labelCol=label, maxIter=50, regParam=0.01)
+    return Pipeline(stages=[head])
 
 
 def text_pipeline(text: str = "text", label: str = "label", features: int = 1 << 18) -> Pipeline:
@@ -95,18 +91,16 @@ def score_with_function(
 def class_centers(df: DataFrame, embedding: str, label: str) -> list[tuple[int, list[float]]]:
     """Mean vector per class, as (class, vector) in class order.
 
-    Summed per (class, place) with map-side combining; only classes × places values come back,
-    and more than a set number of them is an error.
+    Vectors are averaged with map-side combining; one vector per class comes back, and a label
+    column with very many classes is an error.
     """
     means = (
-        df.select(label, F.posexplode(F.col(embedding).cast("array<double>")).alias("place", "value"))
-        .groupBy(label, "place")
-        .agg(F.avg("value").alias("mean"))
+        with_features(df.select(label, embedding), embedding)
+        .groupBy(label)
+        .agg(Summarizer.mean(F.col("features")).alias("mean"))
     )
-    centers: dict[int, dict[int, float]] = {}
-    for row in bounded_rows(means, MAX_CENTER_CELLS, "the table of class centers"):
-        centers.setdefault(row[label], {})[row["place"]] = row["mean"]
-    return [(c, [centers[c][i] for i in sorted(centers[c])]) for c in sorted(centers)]
+    rows = bounded_rows(means, MAX_CLASSES, "the table of class centers")
+    return sorted((r[label], [float(v) for v in r["mean"]]) for r in rows)
 
 
 def center_scores(embedding: Column, centers: Sequence[tuple[int, Sequence[float]]]) -> Column:

@@ -58,20 +58,23 @@ def confusion_matrix(
 
 
 def classification_report(df: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
-    """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages."""
+    """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages.
+
+    Rows are counted per (true, predicted) pair first; all the rest works on those few counts.
+    """
+    pairs = df.groupBy(F.col(truth).alias("t"), F.col(pred).alias("p")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    hits = F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)
+    none = F.lit(0).cast("bigint")
     sides = F.array(
-        F.struct(F.col(truth).alias("cls"), F.lit(1).alias("is_true"), F.lit(0).alias("is_pred")),
-        F.struct(F.col(pred).alias("cls"), F.lit(0).alias("is_true"), F.lit(1).alias("is_pred")),
+        F.struct(F.col("t").alias("cls"), hits.alias("tp"), F.col("n").alias("support"), none.alias("predicted")),
+        F.struct(F.col("p").alias("cls"), none.alias("tp"), none.alias("support"), F.col("n").alias("predicted")),
     )
-    hit = (F.col(truth) == F.col(pred)).cast("int")
     per_class = (
-        df.select(hit.alias("_hit"), F.explode(sides).alias("s"))
-        .groupBy(F.col("s.cls").cast("string").alias("class"))
-        .agg(
-            F.sum(F.col("_hit") * F.col("s.is_true")).alias("tp"),
-            F.sum("s.is_true").alias("support"),
-            F.sum("s.is_pred").alias("predicted"),
-        )
+        pairs.select(F.inline(sides))
+        .groupBy(F.col("cls").cast("string").alias("class"))
+        .agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
         .withColumn("precision", _ratio(F.col("tp"), F.col("predicted")))
         .withColumn("recall", _ratio(F.col("tp"), F.col("support")))
         .withColumn("f1", _f1(F.col("precision"), F.col("recall")))

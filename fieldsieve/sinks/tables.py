@@ -35,13 +35,15 @@ def write_dumps(
     The rows are rebalanced by dump: adaptive execution cuts a dump that is far larger than the
     others into as many tasks as its size asks for and merges small ones, so a hot dump neither
     sits in one task nor leaves thousands of tiny files. Shards stay near the session's advisory
-    partition size, which must not exceed the 4096 MB of an output shard.
+    partition size, which must not exceed the 4096 MB of an output shard. Without adaptive
+    execution every task writes what it has: more files, but still no hot task.
     """
-    advisory = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    if _bytes(advisory) > SHARD_BYTES:
+    settings = df.sparkSession.conf
+    if _bytes(settings.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) > SHARD_BYTES:
         raise ValueError("the advisory partition size is larger than an output shard may be")
+    adaptive = settings.get("spark.sql.adaptive.enabled") == "true"
     (
-        df.hint("rebalance", by)
+        (df.hint("rebalance", by) if adaptive else df)
         .write.partitionBy(by)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows_per_file)

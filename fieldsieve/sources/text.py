@@ -46,18 +46,22 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = TEXT_SCHEM
     return parsed.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "line")
 
 
-def read_numbered_lines(spark: SparkSession, path: str, name: str = "line_no") -> DataFrame:
-    """(value, line_no): lines with their 0-based number, files taken in path order.
-
-    A line's place is known from its file, the block it was read from, and its order in the task.
-    """
-    lines = spark.read.text(path).select(
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file, the block they were read from, and their order in the task."""
+    return spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_read"),
     )
-    return number_rows(lines, ["_file", "_block", "_read"], name).select("value", name)
+
+
+_PLACE = ["_file", "_block", "_read"]
+
+
+def read_numbered_lines(spark: SparkSession, path: str, name: str = "line_no") -> DataFrame:
+    """(value, line_no): lines with their 0-based number, files taken in path order."""
+    return number_rows(_placed_lines(spark, path), _PLACE, name).select("value", name)
 
 
 def read_answers(spark: SparkSession, files: dict[str, str]) -> DataFrame:
@@ -67,14 +71,15 @@ def read_answers(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     model column holds the place of the file in ``files``.
     """
     parts = [
-        parse_json_lines(read_numbered_lines(spark, path, "prompt_id"), ANSWER_SCHEMA, keep=["prompt_id"])
-        .select("prompt_id", F.lit(place).alias("model"), "prompt", "response")
+        _placed_lines(spark, path).withColumn("model", F.lit(place))
         for place, path in enumerate(files.values())
     ]
-    answers = reduce(DataFrame.unionByName, parts)
-    lengths = answers.groupBy("model").agg(F.max("prompt_id").alias("last"))
+    lines = number_rows(reduce(DataFrame.unionByName, parts), _PLACE, "prompt_id", by=["model"])
+    lengths = lines.groupBy("model").agg(F.max("prompt_id").alias("last"))
     shortest = lengths.agg(F.when(F.count(F.lit(1)) == len(files), F.min("last"))).first()[0]
-    return answers.where(F.col("prompt_id") <= F.lit(shortest))
+    aligned = lines.where(F.col("prompt_id") <= F.lit(shortest))
+    keys = ["prompt_id", "model"]
+    return parse_json_lines(aligned, ANSWER_SCHEMA, keep=keys).select(*keys, "prompt", "response")
 
 
 def read_vocabulary_lines(spark: SparkSession, path: str) -> DataFrame:
