@@ -106,9 +106,9 @@ def tokenizer(vocabulary: Mapping[bytes, int], end: int | None = END_OF_DOCUMENT
                 return None
             data = text.encode("utf-8")
             pieces = pattern.findall(data)
-            if sum(map(len, pieces)) != len(data):
+            if b"".join(pieces) != data:
                 raise ValueError("the vocabulary does not cover a text")
-            return np.array([ids[p] for p in pieces] + tail, dtype=np.int32)
+            return np.array([*map(ids.__getitem__, pieces), *tail], dtype=np.int32)
 
         return texts.map(one)
 

@@ -28,6 +28,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from ..sources.token_files import open_fs
+
 # The index format.
 MAGIC = b"MMIDIDX\x00\x00"
 VERSION = 1
@@ -42,10 +44,6 @@ TOKENS_PER_READ = 1 << 24
 _HEADER = struct.Struct("<9sQBQQ")
 
 
-def _open_fs(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-
-
 @dataclass
 class ShardMessage(WriterCommitMessage):
     task: int
@@ -59,7 +57,7 @@ class ShardWriter(DataSourceArrowWriter):
         self.path, self.dtype, self.overwrite = path, dtype, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ShardMessage:
-        fs, root = _open_fs(self.path)
+        fs, root = open_fs(self.path)
         fs.create_dir(root, recursive=True)
         task = TaskContext.get().partitionId()
         name = f"shard-{task:06d}-{uuid.uuid4().hex}"
@@ -89,7 +87,7 @@ class ShardWriter(DataSourceArrowWriter):
         return ShardMessage(task, name, len(lengths), int(lengths.sum(dtype=np.int64)))
 
     def commit(self, messages: list[ShardMessage | None]) -> None:
-        fs, root = _open_fs(self.path)
+        fs, root = open_fs(self.path)
         written = sorted((m for m in messages if m and m.n_docs), key=lambda m: m.task)
         new = [{"name": m.name, "n_docs": m.n_docs, "n_tokens": m.n_tokens} for m in written]
         old = [] if self.overwrite else read_listing(self.path)
@@ -111,7 +109,7 @@ class DocRange(InputPartition):
 
 
 def read_listing(path: str) -> list[dict]:
-    fs, root = _open_fs(path)
+    fs, root = open_fs(path)
     if fs.get_file_info(f"{root}/{LISTING}").type == pafs.FileType.NotFound:
         return []
     with fs.open_input_stream(f"{root}/{LISTING}") as listing:
@@ -135,7 +133,7 @@ class ShardReader(DataSourceReader):
         return ranges
 
     def read(self, part: DocRange) -> Iterator[pa.RecordBatch]:
-        fs, root = _open_fs(self.path)
+        fs, root = open_fs(self.path)
         count = part.last - part.first
         with fs.open_input_file(f"{root}/{part.name}.idx") as index:
             magic, version, code, n_docs, _ = _HEADER.unpack(index.read(_HEADER.size))

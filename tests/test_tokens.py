@@ -1,11 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fieldsieve.functions.hashing import uniform_below
 from fieldsieve.operators import tokens as tk
 from fieldsieve.operators import windows as wn
+from fieldsieve.sources.token_files import read_token_rows
 
 TEXTS = ["", "a", "héllo wörld\n", "\U0001f600 x\U0001f600", "abcabcab" * 40, "\x00z"]
 
@@ -127,6 +129,21 @@ def test_windows_are_slices_of_the_stream(spark, ctx):
     assert {k: found[k] for k in range(n)} == packed
 
 
+def test_flat_token_files(spark, tmp_path):
+    ids = (np.arange(1003) * 77 % 65536).astype(np.uint16)
+    ids.tofile(tmp_path / "raw.bin")
+    np.save(tmp_path / "flat.npy", ids)
+    for name in ("raw.bin", "flat.npy"):
+        rows = read_token_rows(spark, str(tmp_path / name), 10, tokens_per_read=95)
+        assert rows.rdd.getNumPartitions() == 12
+        got = {r["row"]: r["tokens"] for r in rows.collect()}
+        assert got == {k: ids[10 * k : 10 * k + 10].tolist() for k in range(100)}
+    packed = wn.pack_windows(rows.withColumn("start", F.col("row") * 10), 7)
+    assert {r["window"]: r["tokens"] for r in packed.collect()} == {
+        k: ids[7 * k : 7 * k + 8].tolist() for k in range(142)
+    }
+
+
 def test_spans_anywhere(spark):
     flat, stream = flat_stream(spark, 9)
     ctx = 7
