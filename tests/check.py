@@ -1,6 +1,9 @@
 """Runs registered queries and their SQL on the same tables and compares them.
 
     python tests/check.py [folder] [name ...]
+
+CHECK_CONF holds further session settings, as key=value pairs separated by commas: with
+spark.sql.autoBroadcastJoinThreshold=-1 the joins run as they would on large tables.
 """
 
 from __future__ import annotations
@@ -68,7 +71,8 @@ def main(folder: str, names: list[str]) -> int:
     import __spark_entry__ as entry
     from fieldsieve.session import local_session
 
-    spark = local_session("check", 8)
+    pairs = [p.split("=", 1) for p in os.environ.get("CHECK_CONF", "").split(",") if p]
+    spark = local_session("check", 8, **dict(pairs))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
