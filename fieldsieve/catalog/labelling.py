@@ -11,12 +11,16 @@ from .registry import CRAWL, PAGE_KEYWORDS, TOPIC, crawl, query, sql_any, table
 ANY = sql_any("url", PAGE_KEYWORDS)
 
 
-def _numbered(spark, folder, positive: bool):
-    """Pages of one keyword class with their dense number; texts are joined back to the numbers."""
+def _class_pages(spark, folder, positive: bool):
+    """Pages of one keyword class, and the dense number of each (narrow rows)."""
     keep = filters.keep_matching if positive else filters.keep_other
-    pages = keep(crawl(spark, folder), PAGE_KEYWORDS)
-    rows = number_rows(pages.select("page_id"), ["page_id"])
-    return pages.withColumn("label", F.lit(int(positive))).join(rows, "page_id")
+    pages = keep(crawl(spark, folder), PAGE_KEYWORDS).withColumn("label", F.lit(int(positive)))
+    return pages, number_rows(pages.select("page_id"), ["page_id"])
+
+
+def _numbered(spark, folder, positive: bool):
+    pages, rows = _class_pages(spark, folder, positive)
+    return pages.join(rows, "page_id")
 
 
 def sql_numbered(name: str, condition: str, label: int) -> str:
@@ -61,7 +65,8 @@ def group_of_ten(spark, folder):
 
 @query(f"WITH {CRAWL}, {POSITIVE} SELECT page_id, row FROM pos WHERE row < 100")
 def judge_cap(spark, folder):
-    return labels.cap_items(_numbered(spark, folder, True), 100).select("page_id", "row")
+    _, rows = _class_pages(spark, folder, True)
+    return labels.cap_items(rows, 100)
 
 
 @query(f"WITH {CRAWL}, {NEGATIVE}, {GROUPS} SELECT grp, token_count, {ANY_JUDGE} AS response FROM grouped")
@@ -75,21 +80,22 @@ def judge_documents(spark, folder):
 SELECT page_id, token_count, label FROM neg
 WHERE row // 10 IN (SELECT grp FROM judged WHERE response = 'not-sports-related')""")
 def accept_label0(spark, folder):
-    numbered = _numbered(spark, folder, False)
-    judged = labels.judge_documents(labels.groups_of(numbered), labels.any_sentence_judge(TOPIC), keep=True)
-    return labels.accept_by_group(numbered, judged).select("page_id", "token_count", "label")
+    pages, rows = _class_pages(spark, folder, False)
+    groups = labels.groups_of(pages.join(rows, "page_id"))
+    judged = labels.judge_documents(groups, labels.any_sentence_judge(TOPIC), keep=True)
+    accepted = labels.accept_by_group(rows, judged)
+    return joins.keep_listed(pages, accepted, "page_id").select("page_id", "token_count", "label")
 
 
 @query(f"""WITH {CRAWL}, {POSITIVE}, judged AS (SELECT row, {MAJORITY_JUDGE} AS response FROM pos)
 SELECT page_id, token_count, label FROM pos
 WHERE row IN (SELECT row FROM judged WHERE response = 'sports-related')""")
 def accept_label1(spark, folder):
-    numbered = _numbered(spark, folder, True)
-    capped = labels.cap_items(numbered)
-    judged = labels.judge_documents(
-        capped.select("row", "text"), labels.majority_judge(("th", "er")), keep=True
-    )
-    return labels.accept_by_row(numbered, judged).select("page_id", "token_count", "label")
+    pages, rows = _class_pages(spark, folder, True)
+    asked = pages.join(labels.cap_items(rows, 0), "page_id").select("row", "text")
+    judged = labels.judge_documents(asked, labels.majority_judge(("th", "er")), keep=True)
+    accepted = labels.accept_by_row(rows, judged)
+    return joins.keep_listed(pages, accepted, "page_id").select("page_id", "token_count", "label")
 
 
 @query("""SELECT doc_id, n_chars FROM documents

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keywords import SPORTS_KEYWORDS
 from ..operators import filters, labels
+from ..operators.joins import keep_listed
 from ..operators.numbering import number_rows
 
 
@@ -30,14 +31,15 @@ def label_set(
     """
     english = filters.keep_language(crawl, language)
     side = filters.keep_matching if label else filters.keep_other
-    pages = side(english, keywords).select(key, "text", "token_count")
+    pages = side(english, keywords).select(key, "text", "token_count", F.lit(label).alias("label"))
     rows = number_rows(pages.select(key), [key])
-    numbered = pages.withColumn("label", F.lit(label)).join(rows, key)
+    # The numbers decide what is kept; the texts join them once, for judging and at the end.
     if label:
-        asked = labels.cap_items(numbered.select("row", "text"), cap)
-        judged = labels.judge_documents(asked, judge, keep=True)
-        return labels.accept_by_row(numbered, judged).drop("row")
-    # Whole groups are judged, so the cap on groups is a cap on their rows.
-    asked = labels.cap_items(numbered, cap * group)
-    judged = labels.judge_documents(labels.groups_of(asked, group), judge, keep=True)
-    return labels.accept_by_group(numbered, judged, group).drop("row")
+        asked = pages.join(labels.cap_items(rows, cap), key).select("row", "text")
+        accepted = labels.accept_by_row(rows, labels.judge_documents(asked, judge, keep=True))
+    else:
+        # Whole groups are judged, so the cap on groups is a cap on their rows.
+        asked = pages.join(labels.cap_items(rows, cap * group), key)
+        judged = labels.judge_documents(labels.groups_of(asked, group), judge, keep=True)
+        accepted = labels.accept_by_group(rows, judged, group)
+    return keep_listed(pages, accepted, key)
