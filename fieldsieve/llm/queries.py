@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import binpack, bitplanes
+from . import binpack, bitplanes, simhash, url_templates
 from .encoding import public_vocabulary
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,23 @@ def op7_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
     return bitplanes.read_ids(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+URL_RULES = (
+    url_templates.Rule("net/", "block"),
+    url_templates.Rule("example.net/en/", "allow"),
+    url_templates.Rule("example.com/de/", "block"),
+    url_templates.Rule("org/fr/", "allow"),
+)
+
+
+@query()
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's verdict: its longest rule's, else its path template's."""
+    return url_templates.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+@query()
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return simhash.edited_fingerprints(table(spark, folder, "documents"))
