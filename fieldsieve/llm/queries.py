@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import binpack, bitplanes, simhash, url_templates
+from . import binpack, bitplanes, collision_ann, page_text, simhash, url_templates
 from .encoding import public_vocabulary
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,20 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return simhash.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query()
+def op5_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest of every hundredth vector among all others."""
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", F.col("embedding").alias("vector")
+    )
+    return collision_ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query()
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return page_text.extract_text(table(spark, folder, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
