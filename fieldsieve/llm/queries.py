@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import binpack, bitplanes, collision_ann, page_text, simhash, url_templates
+from . import (
+    binpack,
+    bitplanes,
+    collision_ann,
+    labelled,
+    page_text,
+    quality,
+    simhash,
+    toxicity,
+    url_templates,
+)
 from .encoding import public_vocabulary
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +113,41 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return page_text.extract_text(table(spark, folder, "pages")).withColumn(
         "n_chars", F.length("text").cast("long")
     )
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.ToxicityModel:
+    """Fitted on the labelled documents of ``folder`` that are not held out."""
+    return toxicity.fit(
+        labelled.labelled_sample(
+            table(spark, folder, "documents"), table(spark, folder, "labels"), "toxic",
+            {1: toxicity.TOXIC_SAMPLE, 0: toxicity.ORDINARY_SAMPLE},
+        )
+    )
+
+
+def quality_model(spark: SparkSession, folder: str) -> quality.QualityModel:
+    """Fitted on the labelled documents of ``folder`` that are not held out."""
+    return quality.fit(
+        labelled.labelled_sample(
+            table(spark, folder, "documents"), table(spark, folder, "labels"), "quality",
+            {1: quality.GOOD_SAMPLE, 0: quality.BAD_SAMPLE},
+        )
+    )
+
+
+TOXIC_FROM = 0.5
+GOOD_FROM = 0.3
+
+
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity."""
+    model = toxicity_model(spark, folder)
+    return labelled.score_documents(table(spark, folder, "documents"), model.score, TOXIC_FROM)
+
+
+@query()
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality."""
+    model = quality_model(spark, folder)
+    return labelled.score_documents(table(spark, folder, "documents"), model.score, GOOD_FROM)
