@@ -12,6 +12,7 @@ from . import (
     binpack,
     bitplanes,
     collision_ann,
+    jaccard_join,
     labelled,
     page_text,
     quality,
@@ -151,3 +152,10 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's quality."""
     model = quality_model(spark, folder)
     return labelled.score_documents(table(spark, folder, "documents"), model.score, GOOD_FROM)
+
+
+@query()
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
+    docs = table(spark, folder, "documents")
+    return jaccard_join.similar_components(docs, jaccard_join.Similarity(words=3, percent=90))
