@@ -14,6 +14,7 @@ from . import (
     collision_ann,
     jaccard_join,
     labelled,
+    mixing,
     page_text,
     quality,
     simhash,
@@ -159,3 +160,99 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
     docs = table(spark, folder, "documents")
     return jaccard_join.similar_components(docs, jaccard_join.Similarity(words=3, percent=90))
+
+
+#: The mixture: domains, then languages inside a domain; sources of a language count alike.
+MIXTURE = {
+    ("crawl",): 2, ("curated",): 3,
+    ("crawl", "en"): 6, ("crawl", "de"): 2, ("crawl", "fr"): 2, ("crawl", "es"): 1,
+    ("curated", "en"): 4, ("curated", "de"): 3, ("curated", "fr"): 2, ("curated", "es"): 2,
+}
+MIXTURE_SHARE = (1, 1)
+MIXTURE_EPOCHS = 2
+MIXTURE_SEED = 20
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The first source is the open crawl, all others are curated."""
+    domain = F.when(F.col("source") == "src0", "crawl").otherwise("curated")
+    return docs.withColumn("domain", domain)
+
+
+def _shared_sql(name: str, parent: list[str], path: list[str], above: str) -> str:
+    """CTEs that share the budgets of ``above`` out to the nodes of ``path``."""
+    columns = ", ".join(path)
+    weight = "".join(
+        f"WHEN {' AND '.join(f"{c} = '{v}'" for c, v in zip(path, key))} THEN {w} "
+        for key, w in MIXTURE.items()
+        if len(key) == len(path)
+    )
+    weight = f"CASE {weight} ELSE 1 END" if weight else "1"
+    part = f"PARTITION BY {', '.join(parent)} " if parent else ""
+    order = f"({part}ORDER BY lv, {path[-1]}"
+    before = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    up_to = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    every = f"({part})"
+    join = f"JOIN {above} a USING ({', '.join(parent)})" if parent else f"CROSS JOIN {above} a"
+    return f"""
+{name}_n AS (
+  SELECT n.*, a.budget, capacity::DOUBLE / w::DOUBLE AS lv FROM (
+    SELECT {columns}, sum(capacity)::HUGEINT AS capacity,
+           ({weight})::HUGEINT * 1000000 AS w FROM leaves GROUP BY {columns}) n {join}),
+{name}_f AS (
+  SELECT *, CASE WHEN greatest(budget - coalesce(sum(capacity) OVER {before}, 0), 0) * w >=
+      capacity * (sum(w) OVER {every} - coalesce(sum(w) OVER {before}, 0))
+      THEN 0 ELSE 1 END AS nf FROM {name}_n),
+{name}_o AS (SELECT *, max(nf) OVER {up_to} AS o FROM {name}_f),
+{name}_r AS (
+  SELECT *, greatest(budget - sum(CASE WHEN o = 0 THEN capacity ELSE 0 END) OVER {every}, 0) AS rest,
+         sum(CASE WHEN o = 1 THEN w ELSE 0 END) OVER {every} AS ow,
+         sum(o) OVER {up_to} AS rk FROM {name}_o),
+{name}_s AS (
+  SELECT *, CASE WHEN o = 1 THEN (rest::HUGEINT * w) // ow::HUGEINT ELSE capacity END AS share
+  FROM {name}_r),
+{name} AS (
+  SELECT {columns}, share + CASE WHEN o = 1 AND rk <= rest -
+      sum(CASE WHEN o = 1 THEN share ELSE 0 END) OVER {every} THEN 1 ELSE 0 END AS budget
+  FROM {name}_s)"""
+
+
+_LEVELS = list(mixing.LEVELS)
+MIXTURE_SQL = f"""WITH docs AS (
+  SELECT doc_id, CASE WHEN source = 'src0' THEN 'crawl' ELSE 'curated' END AS domain, lang, source,
+         len(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\x0B]+'))::BIGINT AS n_tokens
+  FROM documents),
+leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens,
+         sum(n_tokens)::HUGEINT * {MIXTURE_EPOCHS} AS capacity
+  FROM docs GROUP BY ALL),
+whole AS (SELECT sum(tokens) * {MIXTURE_SHARE[0]} // {MIXTURE_SHARE[1]} AS budget FROM leaves),
+{_shared_sql("b1", [], _LEVELS[:1], "whole")},
+{_shared_sql("b2", _LEVELS[:1], _LEVELS[:2], "b1")},
+{_shared_sql("b3", _LEVELS[:2], _LEVELS, "b2")},
+leaf AS (
+  SELECT l.domain, l.lang, l.source,
+         CASE WHEN tokens > 0 THEN (budget::HUGEINT // tokens)::BIGINT ELSE 0 END AS whole,
+         CASE WHEN tokens > 0 THEN (budget::HUGEINT % tokens)::BIGINT ELSE 0 END AS prefix
+  FROM leaves l JOIN b3 USING (domain, lang, source)),
+placed AS (
+  SELECT doc_id, domain, lang, source, n_tokens, whole, prefix,
+         coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
+           ORDER BY md5(concat('{MIXTURE_SEED}:', whole, ':', doc_id)), doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM docs JOIN leaf USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens,
+       (whole + CASE WHEN place < prefix THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM placed WHERE whole > 0 OR place < prefix"""
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    return mixing.mix(
+        with_domain(docs), MIXTURE, MIXTURE_SHARE, MIXTURE_EPOCHS, MIXTURE_SEED
+    )
+
+
+@query(MIXTURE_SQL)
+def op3_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each document is taken to meet the mixture's weights."""
+    return mixture(table(spark, folder, "documents"))
