@@ -1,20 +1,74 @@
-"""The training-data pipeline: each stage applies one operator to all that its predecessor kept."""
+"""The training-data pipeline: each stage applies one operator to all that its predecessor kept.
+
+Every stage but the last returns the columns of its input. Null texts are empty ones, rows may
+repeat, and an empty table goes through all stages.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from fieldsieve.llm.queries import packed_digest
+from fieldsieve.llm import jaccard_join, labelled, queries
 from fieldsieve.session import pin
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier, fitted on the labels of ``sf_dir``, lets pass."""
+    model = queries.toxicity_model(spark, sf_dir)
+    return labelled.kept_documents(docs, model.score, lambda s: s < queries.TOXIC_FROM)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labels of ``sf_dir``, lets pass."""
+    model = queries.quality_model(spark, sf_dir)
+    return labelled.kept_documents(docs, model.score, lambda s: s >= queries.GOOD_FROM)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose 5-word shingles are linked at a similarity of 0.8 or more.
+
+    The smallest id stays. Of rows equal in id and text one stays; a row without an id is never
+    another's copy. Rows of one id with different texts go together.
+    """
+    found = jaccard_join.similar_components(docs, jaccard_join.Similarity(words=5, percent=80))
+    copies = found.where("doc_id != component_id").select("doc_id").distinct()
+    same = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
+    return (
+        docs.join(copies, "doc_id", "left_anti")
+        .withColumn("_text", F.xxhash64("text"))
+        .withColumn("_copy", F.row_number().over(same))
+        .where(F.col("_copy") == 1)
+        .select(docs.columns)
+    )
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mixture, each as often as it is taken."""
+    copies = (
+        queries.mixture(docs)
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.max("copies").alias("_copies"))
+    )
+    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))).select(
+        *docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")
+    ).drop("_copy")
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the kept documents into sequences of 2048 tokens; gives their pieces' places."""
-    return packed_digest(docs)
+    """Places of all pieces of the documents in sequences of 2048 tokens."""
+    return queries.packed_digest(docs)
 
 
-STAGES = [("best_fit_packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("jaccard_join", near_duplicates),
+    ("mixing", mixing),
+    ("best_fit_packing", packing),
+]
 
+#: The classifiers have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
