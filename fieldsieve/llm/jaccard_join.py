@@ -251,7 +251,7 @@ def set_name(tokens: np.ndarray) -> tuple[int, int]:
 
 
 _SETS = arrow_schema(
-    doc_id="int64", n="int64", name0="int64", name1="int64",
+    row="int64", doc_id="int64", n="int64", name0="int64", name1="int64",
     s0="int64", s1="int64", s2="int64", s3="int64", keys=pa.list_(pa.int64()),
 )
 _SKETCH = ["s0", "s1", "s2", "s3"]
@@ -260,12 +260,14 @@ _SKETCH = ["s0", "s1", "s2", "s3"]
 def _keyed_sets(cells: bytes, s: Similarity) -> Callable:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(np.frombuffer(cells, dtype=np.uint8)).astype(bool)
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             rows = []
             sets = token_sets(batch["text"].to_pylist(), s.words)
             for doc_id, tokens in zip(batch["doc_id"].to_pylist(), sets, strict=True):
                 keys = set_keys(tokens, frequent, s).view(np.int64) if len(tokens) else []
-                rows.append((doc_id, len(tokens), *set_name(tokens), *sketch(tokens).tolist(), keys))
+                rows.append((row, doc_id, len(tokens), *set_name(tokens), *sketch(tokens).tolist(), keys))
+                row += 1
             yield batch_of(rows, _SETS)
 
     return keyed
@@ -290,15 +292,27 @@ def _different(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _SKETCH), F.lit(0))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, s: Similarity) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets are similar enough.
+
+    The texts are read again, but only those of one document of each class in a pair go on.
+    """
+    pairs = pin(pairs, "pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = classes.join(asked, "class").select("class", "least", "name0", "name1")
+    ids = wanted.select("least").distinct()
+    again = docs.join(ids, docs["doc_id"].eqNullSafe(ids["least"]), "left_semi")
+    read = again.select("text").mapInArrow(_whole_sets(s.words), spark_schema(_TOKENS))
+    sets = pin(
+        read.join(wanted, ["name0", "name1"]).dropDuplicates(["class"]).select("class", "tokens"),
+        "whole-sets",
+    )
     left = sets.select(F.col("class").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("class").alias("b"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - common
-    return (
-        pairs.join(left, "a").join(right, "b").where(100 * common >= s.percent * union).select("a", "b")
-    )
+    similar = 100 * common >= s.percent * union
+    return pin(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "links")
 
 
 def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
@@ -319,43 +333,31 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
         rows.where(F.col("n") > 0)
         .groupBy(*name)
         .agg(
+            F.min("row").alias("class"),
             F.min("doc_id").alias("least"),
-            F.first("keys").alias("keys"),
             *[F.first(c).alias(c) for c in _SKETCH],
-        )
-        .withColumn("class", F.monotonically_increasing_id()),
+        ),
         "classes",
     )
-    keyed = classes.select(F.explode("keys").alias("key"), "class")
+    first_rows = rows.withColumnRenamed("row", "class").join(classes.select("class"), "class", "left_semi")
+    keyed = first_rows.select(F.explode("keys").alias("key"), "class")
     held = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.min("class").alias("hub"))
     shared = pin(keyed.join(held.where(F.col("classes") > 1).select("key", "hub"), "key"), "shared")
-    sized = classes.select("class", "n", *_SKETCH, "least", "name0", "name1")
-    taking_part = pin(sized.join(shared.select("class").distinct(), "class"), "taking-part")
 
-    # Whole sets of the classes that share a key, read again from one document each.
-    wanted = taking_part.select(F.col("least").alias("doc_id")).distinct()
-    again = narrow.join(wanted, narrow["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    sets = pin(
-        again.select("text").mapInArrow(_whole_sets(s.words), spark_schema(_TOKENS))
-        .join(taking_part.select("class", "name0", "name1"), ["name0", "name1"])
-        .dropDuplicates(["class"])
-        .select("class", "tokens"),
-        "whole-sets",
-    )
-    described = taking_part.select("class", "n", *_SKETCH)
+    described = classes.select("class", "n", *_SKETCH)
     a, b = described.alias("x"), described.alias("y")
     may = s.may_link(F.col("x.n"), F.col("y.n"), _different("x", "y"))
-
-    stars = shared.where("class != hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    stars = shared.where("class != hub").select(F.col("hub").alias("a"), F.col("class").alias("b"))
     starred = (
-        stars.join(a, F.col("a") == F.col("x.class"))
+        stars.distinct()
+        .join(a, F.col("a") == F.col("x.class"))
         .join(b, (F.col("b") == F.col("y.class")) & may)
         .select("a", "b")
     )
-    first_links = pin(_verified(starred, sets, s), "star-links")
+    first_links = _verified(starred, narrow, classes, s)
     joined = components(first_links).select(F.col("node").alias("class"), "label")
     known = shared.select("key", "class").join(described, "class").join(joined, "class", "left")
-    known = pin(known.withColumn("label", F.coalesce("label", "class")), "open-keys")
+    known = known.withColumn("label", F.coalesce("label", "class"))
     x, y = known.alias("x"), known.alias("y")
     pairs = (
         x.join(
@@ -368,13 +370,13 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
         .distinct()
     )
-    links = pin(first_links.unionByName(_verified(pairs, sets, s)), "all-links")
+    links = first_links.unionByName(_verified(pairs, narrow, classes, s))
     found = components(links).select(F.col("node").alias("class"), F.col("label").alias("component"))
     ends = links.select(F.explode(F.array("a", "b")).alias("class"))
     n_links = ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
 
     # Of a component every class's smallest id, of which the smallest is the component's.
-    placed = sized.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    placed = classes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
     ids = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = (
         placed.join(ids, "component")
