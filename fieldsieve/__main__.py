@@ -16,7 +16,7 @@ from .plans.classifier import train_classifier
 from .plans.labels import label_set
 from .sinks.tables import export_jsonl
 from .sources.crawl import CRAWL_SCHEMA, pattern_names, read_patterns, with_row_key
-from .sources.text import parse_json_lines, read_answers, read_numbered_lines
+from .sources.text import parse_json_lines, read_answers, read_numbered_lines, unbroken
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -74,11 +74,13 @@ def main(argv: list[str] | None = None) -> None:
         accepted.drop("row_key").write.parquet(args.output)
     elif args.job == "tokens":
         lines = read_numbered_lines(spark, args.jsonl, "doc")
-        docs = parse_json_lines(lines, keep=["doc"]).where(F.col("text").isNotNull())
+        parsed = unbroken(parse_json_lines(lines, keep=["doc"]))
+        missing = F.raise_error(F.concat(F.lit("no text in line "), F.col("doc").cast("string")))
+        docs = parsed.withColumn("text", F.coalesce("text", missing.cast("string")))
         tokens.write_epochs(docs, "doc", args.output, args.epochs, seed=args.seed)
     else:
         files = {str(i): path for i, path in enumerate(args.files)}
-        combined = ev.combine_answers(read_answers(spark, files), range(len(files)))
+        combined = ev.combine_answers(read_answers(spark, files))
         export_jsonl(combined.select("prompt", "response"), args.output)
 
 

@@ -31,8 +31,7 @@ def _answers(spark, folder):
 
 
 def _combined(spark, folder):
-    answers = _answers(spark, folder)
-    return ev.combine_answers(answers, ev.model_list(answers))
+    return ev.combine_answers(_answers(spark, folder))
 
 
 COMBINED = f"""{ANSWERS},
@@ -42,21 +41,37 @@ combined AS (SELECT prompt_id, arg_max(prompt, model) AS prompt, min(prompt) = m
   FROM answers GROUP BY prompt_id)"""
 
 
-# The turn numbers an assistant can have in the given tables.
-MODELS = range(1, 8)
+def _models(answers) -> list:
+    """The models of an answer table: each becomes a file or a column, so a list has them all."""
+    return sorted(r["model"] for r in answers.select("model").distinct().collect())
 
 
-@query(
-    """WITH a AS (SELECT turn AS model, conv_id, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS position
-  FROM conversations WHERE role = 'assistant') SELECT position, """
-    + ", ".join(f"max(text) FILTER (WHERE model = {m}) AS m{i}" for i, m in enumerate(MODELS))
-    + f" FROM a GROUP BY 1 HAVING count(*) = {len(MODELS)}"
-)
+@query("""WITH a AS (SELECT turn AS model, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS position
+  FROM conversations WHERE role = 'assistant')
+SELECT position, string_agg(text, chr(31) ORDER BY model) AS answers FROM a GROUP BY 1
+HAVING count(*) = (SELECT count(DISTINCT model) FROM a)""")
 def align_answers(spark, folder):
     answers = table(spark, folder, "conversations").where("role = 'assistant'").select(
         F.col("turn").alias("model"), "conv_id", F.col("text").alias("response")
     )
-    return joins.align_by_position(answers, MODELS, ["conv_id"])
+    models = _models(answers)
+    aligned = joins.align_by_position(answers, models, ["conv_id"])
+    columns = [c for c in aligned.columns if c != "position"]
+    return aligned.select("position", F.concat_ws("\x1f", *columns).alias("answers"))
+
+
+@query("""WITH a AS (SELECT conv_id % 50 AS prompt_id, turn AS model, text FROM conversations WHERE role = 'assistant')
+SELECT prompt_id, string_agg('[SEP]' || text, ' ' ORDER BY model, text COLLATE "C") AS response, count(*) AS n_answers
+FROM a GROUP BY 1""")
+def combine_repeated_answers(spark, folder):
+    """Conversations folded onto few prompts, so that a model answers a prompt more than once."""
+    answers = table(spark, folder, "conversations").where("role = 'assistant'").select(
+        (F.col("conv_id") % 50).alias("prompt_id"), F.col("turn").alias("model"),
+        F.lit("").alias("prompt"), F.col("text").alias("response"),
+    )
+    return ev.combine_answers(answers).select(
+        "prompt_id", "response", F.size("models").cast("long").alias("n_answers")
+    )
 
 
 @query(f"""WITH {COMBINED} SELECT prompt_id, prompt, prompts_agree, response, array_to_string(models, ' ') AS models FROM combined""")
@@ -68,7 +83,7 @@ def combine_answers(spark, folder):
 a AS (SELECT turn AS model, prompt, text, row_number() OVER (PARTITION BY turn ORDER BY conv_id) - 1 AS prompt_id
   FROM conversations JOIN f USING (conv_id) WHERE role = 'assistant')
 SELECT prompt_id, arg_max(prompt, model) AS prompt, string_agg('[SEP]' || text, ' ' ORDER BY model) AS response
-FROM a GROUP BY 1 HAVING count(*) = {len(MODELS)}""")
+FROM a GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT model) FROM a)""")
 def combine_answer_files(spark, folder):
     """The answers as one folder of JSON lines per model, zipped by line and combined."""
     path = scratch_path(spark, "answers")
@@ -78,8 +93,8 @@ def combine_answer_files(spark, folder):
         .select("model", "prompt", "response")
         .write.partitionBy("model").json(path)
     )
-    files = {str(m): f"{path}/model={m}" for m in MODELS}
-    combined = ev.combine_answers(read_answers(spark, files), range(len(files)))
+    files = {str(m): f"{path}/model={m}" for m in _models(ordered)}
+    combined = ev.combine_answers(read_answers(spark, files))
     return combined.select("prompt_id", "prompt", "response")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import vectors
 from ..operators import classify, filters, joins, labels, metrics
 from ..operators.numbering import number_rows
 from .registry import CRAWL, PAGE_KEYWORDS, TOPIC, crawl, query, sql_any, table
@@ -144,10 +145,19 @@ def binary_metrics(spark, folder):
     return metrics.binary_metrics(_scored(spark, folder))
 
 
-@query(f"""WITH {SCORED} SELECT label AS true_class, count(*) FILTER (WHERE pred = 0) AS pred_0,
-  count(*) FILTER (WHERE pred = 1) AS pred_1 FROM scored GROUP BY 1""")
+@query("""WITH s AS (SELECT l.quality + 2 * l.toxic AS t, CAST(least(4, d.n_chars // 1000) AS INTEGER) AS p
+  FROM labels l JOIN documents d USING (doc_id)),
+c AS (SELECT t AS c FROM s UNION SELECT p FROM s)
+SELECT a.c AS true_class, b.c AS pred_class, (SELECT count(*) FROM s WHERE t = a.c AND p = b.c) AS n
+FROM c a, c b""")
 def confusion_matrix(spark, folder):
-    return metrics.confusion_matrix(_scored(spark, folder))
+    """Both labels as one of four classes, against five classes of length."""
+    docs = table(spark, folder, "documents").select("doc_id", "n_chars")
+    scored = table(spark, folder, "labels").join(docs, "doc_id").select(
+        (F.col("quality") + 2 * F.col("toxic")).alias("label"),
+        F.least(F.lit(4), F.floor(F.col("n_chars") / 1000)).cast("int").alias("pred"),
+    )
+    return metrics.confusion_matrix(scored)
 
 
 @query(f"""WITH {SCORED}, cls AS (SELECT DISTINCT label AS c FROM scored UNION SELECT DISTINCT pred FROM scored),
@@ -171,9 +181,9 @@ def classification_report(spark, folder):
 
 
 @query("""SELECT CAST(day(ts) AS INTEGER) AS epoch, count(*) AS n_steps,
-  round(CAST(sum(CAST(value AS DECIMAL(28,8))) AS DOUBLE) / count(value), 6) AS mean_loss,
+  round(avg(value), 6) AS mean_loss,
   arg_max(user_id, event_id) AS last_rate,
-  round(exp(CAST(sum(CAST(value AS DECIMAL(28,8))) AS DOUBLE) / count(value) / 100), 6) AS exp_loss
+  round(exp(avg(value) / 100), 6) AS exp_loss
 FROM events GROUP BY 1""")
 def metric_log_rollup(spark, folder):
     log = table(spark, folder, "events").select(
@@ -202,31 +212,54 @@ def _vectors(spark, folder):
     )
 
 
-@query()
+def _sql_split(table_sql: str, key: str, floor: str) -> str:
+    """Exact sizes of both parts per label, and that the head is right often enough."""
+    return f"""WITH t AS ({table_sql}), r AS (SELECT label, row_number() OVER (PARTITION BY label
+  ORDER BY md5('8:' || {key}), {key}) <= (count(*) OVER (PARTITION BY label) * 9 + 9) // 10 AS is_train FROM t)
+SELECT label, count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test,
+  {floor} AS well_predicted FROM r GROUP BY 1"""
+
+
+def _split_report(split, key, scored, floor):
+    """Per label the rows of both parts, and whether the test rows reach ``floor`` accuracy."""
+    sizes = split.groupBy("label").agg(
+        F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")
+    )
+    hits = scored.agg((F.count_if(F.col("label") == F.col("pred")) >= floor * F.count(F.lit(1))).alias("well_predicted"))
+    return sizes.join(F.broadcast(hits))  # one row
+
+
+@query(_sql_split("SELECT vec_id, CAST(label = 2 AS INTEGER) AS label FROM embeddings", "vec_id", "true"))
 def train_classifier(spark, folder):
-    """Metrics of a trained head on the held-out tenth."""
+    """A trained head: the parts it was trained and tested on, and its accuracy's floor of 0.85."""
     split = classify.stratified_split(_vectors(spark, folder), "vec_id")
     rows = classify.with_features(split)
     model = classify.embedding_pipeline().fit(rows.where("is_train"))
     scored = classify.score_with_model(rows.where(~F.col("is_train")), model)
-    return metrics.binary_metrics(scored)
+    return _split_report(split, "vec_id", scored, 0.85)
 
 
-@query()
+@query(_sql_split(
+    "SELECT doc_id, quality AS label FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)", "doc_id", "true"
+))
 def train_text_classifier(spark, folder):
-    """Metrics of a head on hashed words, trained on the labelled documents."""
+    """A head on hashed words, trained on the labelled documents, with a floor of 0.75."""
     truth = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = table(spark, folder, "documents").select("doc_id", "text").join(truth, "doc_id")
     split = classify.stratified_split(docs, "doc_id")
     model = classify.text_pipeline().fit(split.where("is_train"))
-    return metrics.binary_metrics(classify.score_with_model(split.where(~F.col("is_train")), model))
+    scored = classify.score_with_model(split.where(~F.col("is_train")), model)
+    return _split_report(split, "doc_id", scored, 0.75)
 
 
-@query()
+@query("SELECT CAST(label = 2 AS INTEGER) AS label, count(*) AS n_rows, true AS well_predicted FROM embeddings GROUP BY 1")
 def score_corpus_with_model(spark, folder):
+    """The trained head over all vectors, with an accuracy of 0.85 or more."""
     rows = classify.with_features(_vectors(spark, folder))
     model = classify.embedding_pipeline().fit(rows)
-    return classify.score_with_model(rows, model).select("vec_id", "label", "pred")
+    scored = classify.score_with_model(rows, model)
+    hits = scored.agg((F.count_if(F.col("label") == F.col("pred")) >= 0.85 * F.count(F.lit(1))).alias("well_predicted"))
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")).join(F.broadcast(hits))
 
 
 CENTERS = """v AS (SELECT vec_id, CASE WHEN label = 2 THEN 1 ELSE 0 END AS label, unnest(embedding)::DOUBLE AS value,
@@ -250,3 +283,35 @@ def score_corpus(spark, folder):
 @query(f"WITH {CENTERS} SELECT vec_id FROM p WHERE pred = 1")
 def predicted_positive(spark, folder):
     return classify.keep_positive(_center_scored(spark, folder)).select("vec_id")
+
+
+# --- hooks ------------------------------------------------------------------------------------
+
+
+def _service(text: str) -> str:
+    """Stands for an outside judge: it fails on long texts and adds white space to its answers."""
+    if len(text) > 3000:
+        raise TimeoutError
+    return " sports-related\n" if "th" in text else "not-sports-related "
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars <= 3000 THEN
+  CASE WHEN contains(text, 'th') THEN 'sports-related' ELSE 'not-sports-related' END END AS response FROM documents""")
+def judge_with_function(spark, folder):
+    """Documents judged by a user's function; a call that fails has no answer."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return labels.judge_documents(docs, labels.python_judge(_service))
+
+
+@query("SELECT doc_id, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS pred FROM documents")
+def score_with_function(spark, folder):
+    """Documents scored by a user's batch function, one list of scores per text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = classify.score_with_function(docs, lambda texts: [(1000.0, float(len(t))) for t in texts])
+    return scored.select("doc_id", "pred")
+
+
+@query("SELECT event_id, CAST(round_even(value, 0) AS INTEGER) AS label FROM events")
+def rounded_label(spark, folder):
+    events = table(spark, folder, "events")
+    return events.select("event_id", vectors.rounded_label(F.col("value")).alias("label"))

@@ -10,7 +10,7 @@ from ..operators.filters import keep_matching
 from ..session import scratch_path
 from ..sinks import tables as tb
 from ..sinks.token_shards import read_token_shards, write_token_shards
-from ..sources.text import parse_json_lines
+from ..sources.text import parse_json_lines, rejected_json
 from ..streaming import jobs
 from .registry import CRAWL, PAGE_KEYWORDS, SQL_TOKENS, crawl, joined, query, sql_any, table
 from .streams import documents
@@ -46,11 +46,14 @@ def compact_files(spark, folder):
 
 @query(f"WITH {CRAWL} SELECT dump AS name, count(*) FILTER (WHERE {ANY}) AS rows FROM crawl GROUP BY 1")
 def commit_manifest(spark, folder):
-    """Two runs over the same dumps; the second finds nothing to do."""
-    output, manifest = scratch_path(spark, "kept"), scratch_path(spark, "manifest")
+    """The dump folders filtered in two runs; the second finds nothing to do."""
+    source, output = scratch_path(spark, "dumps"), scratch_path(spark, "kept")
+    manifest = scratch_path(spark, "manifest")
     pages = crawl(spark, folder).select("page_id", "url", "dump")
+    tb.write_dumps(pages, source)
+    keep = lambda df: keep_matching(df, PAGE_KEYWORDS)
     for _ in range(2):
-        tb.process_pending(pages, lambda df: keep_matching(df, PAGE_KEYWORDS), output, manifest)
+        tb.process_pending(spark, source, pages.drop("dump").schema, keep, output, manifest)
     return tb.read_manifest(spark, manifest).select("name", "rows")
 
 
@@ -93,16 +96,14 @@ def quarantine(spark, folder):
     ).otherwise(F.to_json(F.struct("text")))
     parsed = parse_json_lines(docs.select(line.alias("value")))
     judged = docs.withColumn("response", F.when(F.col("n_chars") >= 500, "not-sports-related"))
-    tb.quarantine([tb.rejected_json(parsed), tb.rejected_answers(judged, "doc_id")], path)
+    tb.quarantine([rejected_json(parsed), tb.rejected_answers(judged, "doc_id")], path)
     return spark.read.parquet(path)
 
 
-@query("""WITH w AS (SELECT date_trunc('day', ts) AS window_start, count(*) AS n_steps,
-  CAST(sum(CAST(value AS DECIMAL(28,8))) AS DOUBLE) / count(value) AS mean_loss FROM events GROUP BY 1)
-SELECT window_start, n_steps, round(mean_loss, 6) AS mean_loss FROM w
-WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+@query("""SELECT date_trunc('day', ts) AS window_start, count(*) AS n_steps, round(avg(value), 6) AS mean_loss
+FROM events GROUP BY 1""")
 def stream_metric_rollup(spark, folder):
-    """The event log read as a stream; days closed by the watermark are given out."""
+    """The event log read as a stream, every day of it given out."""
     output, checkpoint = scratch_path(spark, "metrics"), scratch_path(spark, "metrics-log")
     schema = table(spark, folder, "events").schema
     log = (

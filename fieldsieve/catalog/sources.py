@@ -23,11 +23,40 @@ def scan_dump(spark, folder):
     return found.select("page_id", "dump", "token_count", known.cast("int").alias("has_source"))
 
 
-@query("SELECT text FROM documents")
-def read_jsonl(spark, folder):
+@query(f"WITH {CRAWL} SELECT page_id, dump, token_count FROM crawl WHERE dump IN ('de', 'fr')")
+def scan_named_dumps(spark, folder):
+    """Two dumps read by name from the folders that the writer makes."""
+    root = scratch_path(spark, "dumps")
+    pages = crawl(spark, folder).select("page_id", "dump", "token_count")
+    write_dumps(pages, f"{root}/data")
+    found = dumps.read_dumps(spark, root, ["de", "fr"], pages.drop("dump").schema)
+    return found.select("page_id", "dump", "token_count")
+
+
+def _lines_with_broken(spark, folder) -> str:
+    """The documents as JSON lines, the long ones cut off after their id."""
     path = scratch_path(spark, "jsonl")
-    export_jsonl(table(spark, folder, "documents").select("text"), path)
-    return tx.read_jsonl(spark, path)
+    line = F.when(
+        F.col("n_chars") > 2000, F.concat(F.lit('{"text": '), F.col("doc_id").cast("string"))
+    ).otherwise(F.to_json(F.struct("text")))
+    table(spark, folder, "documents").select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("SELECT text FROM documents WHERE n_chars <= 2000")
+def read_jsonl(spark, folder):
+    """The good lines; the broken ones are set aside."""
+    path = _lines_with_broken(spark, folder)
+    return tx.read_jsonl(spark, path, rejects=scratch_path(spark, "rejects"))
+
+
+@query("""SELECT 'parse_json' AS stage, md5('{"text": ' || doc_id) AS key, 'not JSON' AS reason
+FROM documents WHERE n_chars > 2000""")
+def read_jsonl_rejects(spark, folder):
+    """The broken lines that reading set aside."""
+    path, rejects = _lines_with_broken(spark, folder), scratch_path(spark, "rejects")
+    tx.read_jsonl(spark, path, rejects=rejects)
+    return spark.read.parquet(rejects)
 
 
 @query("""SELECT page_id, entry, url || '/' || entry AS child FROM
@@ -40,6 +69,18 @@ def listing_extract(spark, folder):
     )
 
 
+@query("SELECT page_id, 'CC-MAIN-' || page_id AS entry, url || '/CC-MAIN-' || page_id AS child FROM pages")
+def listing_folders(spark, folder):
+    """Folder entries as a dump listing marks them up, among entries of other kinds."""
+    name = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit('<a href="/d"><span class="block truncate">CC-MAIN-'), name,
+        F.lit('</span></a><span class="size">CC-MAIN-9</span><span class="truncate">README</span>'),
+    )
+    pages = table(spark, folder, "pages").select("page_id", "url", html.alias("html"))
+    return tx.listing_entries(pages, "page_id", base=F.col("url"))
+
+
 @query("SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def text_corpus(spark, folder):
     """The documents written as a UTF-16LE text corpus and read back line by line."""

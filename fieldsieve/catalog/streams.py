@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions.numbers import whole_div
 from ..operators import tokens as tk
 from ..operators import windows as wn
-from ..session import spread
 from .registry import CTX, SQL_TOKENS, joined, query, sql_flat, table
 
 TEXT_TABLE = "documents"
@@ -17,10 +16,6 @@ def documents(spark, folder, where: str = "true"):
     return table(spark, folder, TEXT_TABLE).where(where).select("doc_id", "text")
 
 
-def spread_documents(spark, folder, where: str = "true"):
-    return spread(documents(spark, folder, where), "doc_id")
-
-
 def offsets(spark, folder, where: str = "true"):
     """(doc_id, n_tokens, item, start, pointer) under the byte vocabulary."""
     sizes = documents(spark, folder, where).select(
@@ -33,7 +28,7 @@ def stream(spark, folder, where: str = "true"):
     """(doc_id, start, tokens): ids are made after the join, so texts travel and not arrays."""
     placed = offsets(spark, folder, where).select("doc_id", "start")
     return (
-        spread_documents(spark, folder, where)
+        documents(spark, folder, where)
         .join(placed, "doc_id")
         .select("doc_id", "start", tk.byte_tokens("text").alias("tokens"))
     )
@@ -52,7 +47,7 @@ chars AS (SELECT doc_id, unnest(string_split(text, '')) AS ch,
 
 
 def _char_ids(spark, folder):
-    docs = spread_documents(spark, folder)
+    docs = documents(spark, folder)
     vocab = tk.vocab_list(tk.char_vocab(docs))
     return docs.select("doc_id", "text", tk.char_tokens(F.col("text"), vocab).alias("tokens")), vocab
 
@@ -72,41 +67,50 @@ def decode_corpus(spark, folder):
 
 @query(f"""WITH {SQL_TOKENS} SELECT doc_id, array_to_string(ids, ' ') AS tokens FROM tok""")
 def tokenize_bytes(spark, folder):
-    docs = spread_documents(spark, folder)
+    docs = documents(spark, folder)
     return docs.select("doc_id", joined(tk.byte_tokens("text")).alias("tokens"))
 
 
-def _word_vocabulary(spark, folder, n_words: int = 500) -> dict[bytes, int]:
-    """All single bytes, then the most frequent words of the documents with a blank in front."""
-    words = documents(spark, folder).select(F.explode(F.split("text", "[ \n]+")).alias("w"))
-    frequent = (
-        words.where(F.length("w") > 0)
-        .groupBy("w")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "w")
-        .limit(n_words)
-    )
+# A written-out vocabulary behind the single bytes. Many entries begin others, so that only a
+# longest match reads the texts as the SQL does.
+WORDS = (
+    "a", "an", "and", "andth", "ch", "der", "die", "e", "en", "ent", "er", "erst", "es", "ha",
+    "he", "in", "ing", "ion", "it", "la", "ment", "ou", "que", "re", "sch", "schen", "st", "t",
+    "th", "that", "the", "then", "there", "thereth", "ti", "tion", "ver", " a", " an", " and",
+    " d", " der", " en", " in", " th", " the", " thee", ". ", ".\n", ", ",
+)
+_LONGEST_FIRST = sorted(WORDS, key=lambda w: (-len(w), w))
+_SQL_WORDS = "[" + ", ".join("'" + w.replace("\n", "' || chr(10) || '") + "'" for w in WORDS) + "]"
+_SQL_MATCH = "|".join(w.replace(".", "[.]").replace("\n", "\\n") for w in _LONGEST_FIRST)
+SQL_GREEDY = f"""greedy AS (SELECT doc_id, list_concat(flatten(list_transform(
+    regexp_extract_all(text, '(?s){_SQL_MATCH}|.'),
+    lambda m: CASE WHEN list_contains({_SQL_WORDS}, m) THEN [256 + list_position({_SQL_WORDS}, m)]
+      ELSE list_transform(regexp_extract_all(hex(encode(m)), '..'), lambda h: CAST('0x' || h AS INTEGER) + 1) END)), [0]) AS ids
+  FROM documents)"""
+
+
+def word_vocabulary() -> dict[bytes, int]:
+    """All single bytes, then :data:`WORDS` that are more than a byte, by their place in it."""
     vocabulary = tk.byte_vocabulary()
-    for row in frequent.collect():
-        for token in (row["w"].encode(), b" " + row["w"].encode()):
-            vocabulary.setdefault(token, len(vocabulary) + 1)
+    for place, word in enumerate(WORDS):
+        vocabulary[word.encode()] = 257 + place
     return vocabulary
 
 
-@query()
+@query(f"WITH {SQL_GREEDY} SELECT doc_id, array_to_string(ids, ' ') AS tokens FROM greedy")
 def tokenize_corpus(spark, folder):
-    """Token counts under a vocabulary of bytes and frequent words, greedy longest match."""
-    encode = tk.tokenizer(_word_vocabulary(spark, folder))
-    ids = spread_documents(spark, folder).select("doc_id", encode("text").alias("tokens"))
-    return ids.select("doc_id", F.size("tokens").alias("n_tokens"))
+    """Ids under a vocabulary of bytes and words, greedy longest match."""
+    encode = tk.tokenizer(word_vocabulary())
+    ids = documents(spark, folder).select("doc_id", encode("text").alias("tokens"))
+    return ids.select("doc_id", joined("tokens").alias("tokens"))
 
 
-@query("SELECT count(*) AS n_texts, CAST(0 AS BIGINT) AS n_mismatches FROM documents")
+@query("SELECT doc_id, md5(text) AS back FROM documents")
 def tokenize_round_trip(spark, folder):
-    vocabulary = _word_vocabulary(spark, folder)
+    vocabulary = word_vocabulary()
     encode, decode = tk.tokenizer(vocabulary), tk.decoder(vocabulary)
-    both = spread_documents(spark, folder).select("text", encode("text").alias("tokens"))
-    return tk.round_trip_report(both.withColumn("back", decode("tokens")), "text", "back")
+    ids = documents(spark, folder).select("doc_id", encode("text").alias("tokens"))
+    return ids.select("doc_id", F.md5(decode("tokens")).alias("back"))
 
 
 @query("""WITH s AS (SELECT doc_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS n_tokens FROM documents)
@@ -121,7 +125,7 @@ def stream_offsets(spark, folder):
   CAST(sum(len(ids)) * 2 AS BIGINT) AS n_bytes, min(len(ids)) AS min_size, max(len(ids)) AS max_size,
   bool_and(ids[-1] = 0) AS all_ended FROM tok""")
 def stream_totals(spark, folder):
-    return tk.stream_totals(spread_documents(spark, folder).select(tk.byte_tokens("text").alias("tokens")))
+    return tk.stream_totals(documents(spark, folder).select(tk.byte_tokens("text").alias("tokens")))
 
 
 @query("""WITH e AS (SELECT 'first' AS document, arg_min(text, doc_id) AS text FROM documents
@@ -134,7 +138,7 @@ def stream_preview(spark, folder):
 @query(f"""WITH {SQL_TOKENS}, p AS (SELECT doc_id, ids, len(ids) // 4 AS off, len(ids) // 2 AS n FROM tok)
 SELECT doc_id, array_to_string(ids[off + 1 : off + n], ' ') AS part, array_to_string(ids[off + 1 :], ' ') AS rest FROM p""")
 def token_span_get(spark, folder):
-    ids = spread_documents(spark, folder).select("doc_id", tk.byte_tokens("text").alias("tokens"))
+    ids = documents(spark, folder).select("doc_id", tk.byte_tokens("text").alias("tokens"))
     offset, length = whole_div(F.size("tokens"), 4), whole_div(F.size("tokens"), 2)
     return ids.select(
         "doc_id",
@@ -201,7 +205,7 @@ FROM out GROUP BY 1, 2""")
 def answer_span_mask(spark, folder):
     samples = wn.pack_windows(stream(spark, folder, "lang = 'en'"), MASK_CTX)
     other = "lang <> 'en'"
-    blocks = wn.pack_windows(stream(spark, folder, other), MASK_CTX, keep_tail=True)
+    blocks = wn.pack_windows(stream(spark, folder, other), MASK_CTX, extra=MASK_CTX, keep_tail=True)
     size = documents(spark, folder, other).agg(F.sum(tk.byte_token_count(F.col("text")))).first()[0]
     masked = wn.masked_samples(samples, blocks, size, MASK_CTX, PATTERN, seed=5)
     return wn.inputs_and_targets(masked).select(
@@ -209,3 +213,13 @@ def answer_span_mask(spark, folder):
         "replaced",
         *[joined(c).alias(c) for c in ("x", "y", "z")],
     )
+
+
+@query(f"""WITH {SQL_TOKENS}, n AS (SELECT doc_id, ids, row_number() OVER (ORDER BY doc_id) - 1 AS item FROM tok)
+SELECT item, array_to_string(ids, ' ') AS tokens FROM n WHERE item BETWEEN 10 AND 20""")
+def item_range(spark, folder):
+    """Eleven consecutive items of the stream: the feature is the range."""
+    placed = offsets(spark, folder).select("doc_id", "item")
+    wanted = tk.item_range(placed, 10, 20)
+    rows = documents(spark, folder).join(wanted, "doc_id")
+    return rows.select("item", joined(tk.byte_tokens("text")).alias("tokens"))

@@ -9,7 +9,6 @@ from ..functions.text import clean_lines as clean
 from ..functions.text import SPACE_CHARS
 from ..functions.vectors import clipped_label
 from ..operators import filters, joins
-from ..session import spread
 from ..sources import crawl as dumps
 from .registry import CRAWL, PAGE_KEYWORDS, crawl, query, sql_any, table
 
@@ -104,7 +103,7 @@ def clip_label(spark, folder):
     f"lambda l: trim(l, '{SPACE_CHARS}')), lambda l: l <> ''), chr(10)) AS text FROM documents"
 )
 def clean_lines(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return docs.select("doc_id", clean(F.col("text")).alias("text"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 _LONG_PRODUCT_LIMIT = math.isqrt(2**63 - 1)
 
 
-def _is_prime(n: int) -> bool:
+def is_prime(n: int) -> bool:
     return n > 1 and all(n % d for d in range(2, math.isqrt(n) + 1))
 
 
@@ -18,7 +18,7 @@ def sampler_prime(total_tokens: int, ctx_len: int) -> int:
     """Largest prime below the number of blocks that leaves 2 when divided by 3."""
     top = total_tokens // ctx_len - 1
     for candidate in range(top, 1, -1):
-        if candidate % 3 == 2 and _is_prime(candidate):
+        if candidate % 3 == 2 and is_prime(candidate):
             return candidate
     raise ValueError("too few tokens for a sampling plan")
 

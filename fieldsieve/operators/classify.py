@@ -14,12 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import whole_div
-from ..functions.tables import bounded_rows
 from ..functions.vectors import argmax, squared_distance
 from .numbering import number_by_hash
 
-MAX_CLASSES = 10_000
-
 
 def stratified_split(
     df: DataFrame, key: str, label: str = "label", train_tenths: int = 9, seed: int = 8
@@ -28,19 +25,17 @@ def stratified_split(
 
     The order is numbered over hash slices, so a label with most of the rows is no hot spot.
     """
-    ranked = number_by_hash(df, seed, [key], "_rank", by=[label])
-    counts = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        ranked.join(F.broadcast(_checked_labels(counts)), F.col(label).eqNullSafe(F.col("_label")))
-        .withColumn("is_train", F.col("_rank") < whole_div(F.col("_n") * train_tenths + 9, 10))
-        .select(*df.columns, "is_train")
+    narrow = df.select(key, label)
+    ranked = number_by_hash(narrow, seed, [key], "_rank", by=[label])
+    counts = narrow.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    # Any number of labels: a join that Spark broadcasts only if the counts are small.
+    chosen = ranked.join(counts, F.col(label).eqNullSafe(F.col("_label"))).select(
+        F.col(key).alias("_key"),
+        (F.col("_rank") < whole_div(F.col("_n") * train_tenths + 9, 10)).alias("is_train"),
     )
-
-
-def _checked_labels(counts: DataFrame) -> DataFrame:
-    """The label counts as a small local table; a label column with very many values is refused."""
-    rows = bounded_rows(counts, MAX_CLASSES, "the label column")
-    return counts.sparkSession.createDataFrame(rows, counts.schema)
+    if set(df.columns) == {key, label}:
+        return chosen.join(narrow, F.col(key).eqNullSafe(F.col("_key"))).select(*df.columns, "is_train")
+    return df.join(chosen, F.col(key).eqNullSafe(F.col("_key"))).select(*df.columns, "is_train")
 
 
 def embedding_pipeline(label: str = "label") -> Pipeline:
@@ -84,23 +79,22 @@ def score_with_function(
         return pd.Series([[float(v) for v in row] for row in logits(texts)], index=texts.index)
 
     # Kept as a column of its own: argmax reads it twice, the scorer must run once.
-    scored = df.withColumn("_scores", scores(F.col(text)))
+    scored = df.withColumn("_scores", scores.asNondeterministic()(F.col(text)))
     return scored.withColumn("pred", argmax(F.col("_scores"))).drop("_scores")
 
 
 def class_centers(df: DataFrame, embedding: str, label: str) -> list[tuple[int, list[float]]]:
     """Mean vector per class, as (class, vector) in class order.
 
-    Vectors are averaged with map-side combining; one vector per class comes back, and a label
-    column with very many classes is an error.
+    Vectors are averaged with map-side combining; one vector per class, the model itself, comes
+    back.
     """
     means = (
         with_features(df.select(label, embedding), embedding)
         .groupBy(label)
         .agg(Summarizer.mean(F.col("features")).alias("mean"))
     )
-    rows = bounded_rows(means, MAX_CLASSES, "the table of class centers")
-    return sorted((r[label], [float(v) for v in r["mean"]]) for r in rows)
+    return sorted((r[label], [float(v) for v in r["mean"]]) for r in means.collect())
 
 
 def center_scores(embedding: Column, centers: Sequence[tuple[int, Sequence[float]]]) -> Column:
@@ -111,8 +105,10 @@ def center_scores(embedding: Column, centers: Sequence[tuple[int, Sequence[float
 def score_by_center(
     df: DataFrame, centers: Sequence[tuple[int, Sequence[float]]], embedding: str = "embedding"
 ) -> DataFrame:
-    """Add ``pred``: the place of the nearest class center."""
-    return df.withColumn("pred", argmax(center_scores(F.col(embedding), centers)))
+    """Add ``pred``: the class whose center is nearest."""
+    classes = F.array(*[F.lit(label) for label, _ in centers])
+    place = argmax(center_scores(F.col(embedding), centers))
+    return df.withColumn("pred", F.get(classes, place))
 
 
 def keep_positive(scored: DataFrame) -> DataFrame:

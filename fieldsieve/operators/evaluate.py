@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import whole_div
-from ..functions.tables import bounded_rows
 
 # Fixed value: the mark in front of every answer in a combined text.
 ANSWER_MARK = "[SEP]"
-MAX_MODELS = 1000
-
-
-def model_list(answers: DataFrame, model: str = "model") -> list:
-    """The models of an answer table in order; a table with very many of them is refused."""
-    rows = bounded_rows(answers.select(model).distinct(), MAX_MODELS, "the list of models")
-    return sorted(r[model] for r in rows)
 
 
 def combine_answers(
     answers: DataFrame,
-    models: Sequence,
     key: str = "prompt_id",
     model: str = "model",
     prompt: str = "prompt",
@@ -31,34 +22,31 @@ def combine_answers(
 ) -> DataFrame:
     """Per prompt one text: every non-empty answer with a mark in front, in model order.
 
-    The prompt is that of the last model; ``prompts_agree`` tells whether all models had the same.
-    Each model is one aggregate, so answers are combined on the map side and a group never holds
-    more than one value per model.
+    The prompt is that of the last model; ``prompts_agree`` tells whether all rows had the same.
+    ``models`` names the model of each answer, twice if a model answered twice; such answers are
+    ordered by their text. A group holds one prompt's answers, as many as there are models.
     """
-    per_model = [
-        F.max(F.when((F.col(model) == m) & (F.col(response) != ""), F.col(response))).alias(f"m{i}")
-        for i, m in enumerate(models)
-    ]
-    marked = [F.concat(F.lit(ANSWER_MARK), F.col(f"m{i}")) for i in range(len(models))]
+    given = F.when(F.col(response) != "", F.struct(F.col(model), F.col(response)))
     return (
         answers.groupBy(key)
         .agg(
             F.max_by(prompt, model).alias("prompt"),
             F.min(prompt).eqNullSafe(F.max(prompt)).alias("prompts_agree"),
-            *per_model,
+            F.array_sort(F.collect_list(given)).alias("_given"),
         )
         .select(
             key,
             "prompt",
             "prompts_agree",
-            F.concat_ws(" ", *marked).alias("response"),
-            F.array_compact(
-                F.array(*[F.when(F.col(f"m{i}").isNotNull(), str(m)) for i, m in enumerate(models)])
-            ).alias("models"),
+            F.array_join(
+                F.transform("_given", lambda g: F.concat(F.lit(ANSWER_MARK), g[response])), " "
+            ).alias("response"),
+            F.transform("_given", lambda g: g[model].cast("string")).alias("models"),
         )
     )
 
 
+# Fixed value: the form in which a judge is shown a prompt and its answers.
 def judge_text(prompt: Column, response: Column) -> Column:
     return F.concat(F.lit("prompt: "), prompt, F.lit(" \nResponse: "), response)
 

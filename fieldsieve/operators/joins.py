@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import whole_div
-from .numbering import number_rows, running_offsets
+from .numbering import PLACE, SLICE, number_rows, ordered_slices, running_offsets
 
 
 def not_yet_done(work: DataFrame, manifest: DataFrame, key: str = "name") -> DataFrame:
@@ -70,33 +70,48 @@ def mixture_table(parts: DataFrame, name: str, count: str, width: str) -> DataFr
 
 
 def route_to_mixture(
-    positions: DataFrame, mixture: DataFrame, position: str, cell_width: int
+    positions: DataFrame, mixture: DataFrame, key: str, position: str = "position"
 ) -> DataFrame:
     """Send each global position to the sub-dataset that covers it, with its local position.
 
     A sub-dataset covers ``prev <= position < cutoff`` and the local position is
-    ``(position - prev) % count``. Each sub-dataset is listed under every cell of ``cell_width``
-    positions it touches, so the lookup is an equi-join on the cell for any number of parts.
+    ``(position - prev) % count``; ``key`` names a position's row. Positions and beginnings of
+    sub-datasets are merged in one order, cut into even slices: inside a slice the last beginning
+    is carried forward, and a slice's first rows take the last beginning of the slices before it,
+    one row per slice. No position meets more than one sub-dataset, however many there are and
+    however many positions one of them covers. Positions that none covers are left out.
     """
-    cells = mixture.where(F.col("cutoff") > F.col("prev")).select(
-        "part",
-        "count",
-        "prev",
-        "cutoff",
-        F.explode(
-            F.sequence(
-                whole_div(F.col("prev"), cell_width), whole_div(F.col("cutoff") - 1, cell_width)
-            )
-        ).alias("_cell"),
+    part = F.struct("part", "count", "prev", "cutoff")
+    begins = mixture.where(F.col("cutoff") > F.col("prev")).select(
+        F.col("prev").cast("bigint").alias("_at"),
+        F.lit(0).alias("_kind"),
+        F.lit(None).cast(positions.schema[key].dataType).alias("_key"),
+        part.alias("_part"),
     )
-    at = F.col(position)
-    return (
-        positions.withColumn("_cell", whole_div(F.col(position), cell_width))
-        .join(cells, "_cell")
-        .where((at >= F.col("prev")) & (at < F.col("cutoff")))
+    asked = positions.select(
+        F.col(position).cast("bigint").alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.col(key).alias("_key"),
+        F.lit(None).cast(begins.schema["_part"].dataType).alias("_part"),
+    )
+    merged = ordered_slices(begins.unionByName(asked), ["_at", "_kind", "_key"])
+    inside = Window.partitionBy(SLICE).orderBy(PLACE)
+    carried = merged.withColumn("_own", F.last("_part", ignorenulls=True).over(inside))
+    # One row per slice.
+    lasts = merged.groupBy(SLICE).agg(
+        F.max_by("_part", F.when(F.col("_part").isNotNull(), F.col(PLACE))).alias("_last")
+    )
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = lasts.select(SLICE, F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    routed = (
+        carried.where("_kind = 1")
+        .join(F.broadcast(before), SLICE)
+        .withColumn("_found", F.coalesce("_own", "_before"))
+        .where(F.col("_at") < F.col("_found.cutoff"))
         .select(
-            *positions.columns,
-            "part",
-            ((at - F.col("prev")) % F.col("count")).alias("local_position"),
+            F.col("_key").alias(key),
+            F.col("_found.part").alias("part"),
+            ((F.col("_at") - F.col("_found.prev")) % F.col("_found.count")).alias("local_position"),
         )
     )
+    return positions.join(routed, key)

@@ -67,6 +67,7 @@ def python_judge(answer: Callable[[str], str]) -> Judge:
     """A judge from a plain function, such as a call to an outside service.
 
     Called once per text in Arrow batches; a failing call gives a null answer, not a failed job.
+    Spark is told that answers may vary, so it neither repeats nor moves the call.
     """
 
     def one(text: str | None) -> str | None:
@@ -79,14 +80,14 @@ def python_judge(answer: Callable[[str], str]) -> Judge:
     def judge(texts: pd.Series) -> pd.Series:
         return texts.map(one).astype(object)
 
-    return judge
+    return judge.asNondeterministic()
 
 
-def judge_documents(df: DataFrame, judge: Judge, text: str = "text", keep: bool = False) -> DataFrame:
+def judge_documents(df: DataFrame, judge: Judge, text: str = "text", keep: bool = True) -> DataFrame:
     """Add ``response``.
 
-    ``keep=True`` is for judges that cost or vary: the answers are written once, without the
-    texts, and read from there by everything that follows.
+    The answers are written once, without the texts, and read from there by everything that
+    follows; ``keep=False`` is for rule judges, which may be asked again.
     """
     judged = df.withColumn("response", judge(F.col(text)))
     return pin(judged.drop(text), "judged") if keep else judged

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,26 +33,23 @@ def binary_metrics(df: DataFrame, truth: str = "label", pred: str = "pred") -> D
     return ratios.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
-def confusion_matrix(
-    df: DataFrame, truth: str = "label", pred: str = "pred", classes: Sequence[int] = (0, 1)
-) -> DataFrame:
-    """One row per true class, one column ``pred_c`` per predicted class, 0 where nothing fell.
+def confusion_matrix(df: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
+    """(true_class, pred_class, n): every pair of classes that occur, 0 where nothing fell.
 
-    Rows and columns both come from ``classes``, so a class that never occurs still has its zeros.
+    Classes come from both columns, so no row is left out; the counts per pair are all that the
+    zeros are made from.
     """
-    cells = [
-        F.count_if((F.col(truth) == t) & (F.col(pred) == p)).alias(f"c_{i}_{j}")
-        for i, t in enumerate(classes)
-        for j, p in enumerate(classes)
-    ]
-    rows = [
-        F.struct(
-            F.lit(t).alias("true_class"),
-            *[F.col(f"c_{i}_{j}").alias(f"pred_{p}") for j, p in enumerate(classes)],
-        )
-        for i, t in enumerate(classes)
-    ]
-    return df.agg(*cells).select(F.inline(F.array(*rows)))
+    pairs = df.groupBy(F.col(truth).alias("true_class"), F.col(pred).alias("pred_class")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    classes = F.array_sort(
+        F.array_distinct(F.concat(F.collect_set("true_class"), F.collect_set("pred_class")))
+    )
+    every = pairs.agg(classes.alias("c")).select(F.explode("c").alias("true_class"), "c")
+    zeros = every.select("true_class", F.explode("c").alias("pred_class"), F.lit(0).alias("n"))
+    return (
+        pairs.unionByName(zeros).groupBy("true_class", "pred_class").agg(F.sum("n").alias("n"))
+    )
 
 
 def classification_report(df: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
@@ -113,14 +108,13 @@ def metric_log_rollup(
 ) -> DataFrame:
     """Per epoch: mean loss, its exponential, and the learning rate of the last step.
 
-    Losses are summed as decimals, so the mean does not depend on the order of the rows.
+    A loss that is not a number makes its epoch's mean one too; null losses are no steps of it.
     """
-    total = F.sum(F.col(loss).cast("decimal(28,8)")).cast("double")
     return (
         log.groupBy(epoch)
         .agg(
             F.count(F.lit(1)).alias("n_steps"),
-            (total / F.count(loss)).alias("mean_loss"),
+            F.avg(F.col(loss).cast("double")).alias("mean_loss"),
             F.max_by(rate, step).alias("last_rate"),
         )
         .withColumn("exp_loss", F.exp("mean_loss"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_below
-from ..functions.numbers import product_mod, whole_div
+from ..functions.numbers import is_prime, product_mod, whole_div
 from .numbering import number_by_hash
 
 # Fixed value: the number of samples in one mini-epoch; batch sizes must divide it.
@@ -46,6 +46,8 @@ def sample_numbers(
 def check_plan(prime: int, total_tokens: int, ctx_len: int, batch: int = 1) -> None:
     """The conditions under which the cubic plan reads every block once per pass."""
     slots = total_tokens // ctx_len
+    if not is_prime(prime):
+        raise ValueError("the modulus must be a prime number")
     if prime % 3 != 2:
         raise ValueError("the modulus must leave 2 when divided by 3")
     if not 0.9 < prime / slots <= 1:

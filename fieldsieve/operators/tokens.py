@@ -117,12 +117,10 @@ def tokenizer(vocabulary: Mapping[bytes, int], end: int | None = END_OF_DOCUMENT
 
 def decoder(vocabulary: Mapping[bytes, int]):
     """A vectorized function ids → text without the end mark; bad UTF-8 becomes U+FFFD."""
-    entries = tuple(sorted(vocabulary.items()))
+    texts = {i: t for t, i in vocabulary.items()}
 
     @F.pandas_udf("string")
     def decode(tokens: pd.Series) -> pd.Series:
-        texts = {i: t for t, i in entries}
-
         def one(ids) -> str | None:
             if ids is None:
                 return None
@@ -160,12 +158,13 @@ def byte_token_count(text: Column) -> Column:
 
 
 def char_tokens(text: Column, vocab: list[str]) -> Column:
-    """Character ids by one table lookup per character; null for a character not in ``vocab``."""
+    """Character ids by one table lookup per character; one not in ``vocab`` fails the job."""
     table = [None] * (max(map(ord, vocab)) + 1)
     for number, ch in enumerate(vocab):
         table[ord(ch)] = number
     lookup = literal_array(table, "int")
-    return F.transform(characters(text), lambda c: F.get(lookup, F.ascii(c)))
+    unknown = F.raise_error(F.lit("a character is not in the vocabulary")).cast("int")
+    return F.transform(characters(text), lambda c: F.coalesce(F.get(lookup, F.ascii(c)), unknown))
 
 
 def char_decode(tokens: Column, vocab: list[str]) -> Column:

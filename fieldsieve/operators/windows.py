@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,16 +65,15 @@ def pack_windows(
     """
     begin = F.col(start)
     end = begin + F.size(tokens)
-    touched = stream.select(
-        begin.alias("_s"),
-        end.alias("_e"),
-        F.col(tokens).alias("_tokens"),
-        F.explode(_touched(begin, end, ctx_len, extra)).alias("window"),
-    )
-    low = F.greatest(F.col("_s"), F.col("window") * ctx_len)
-    high = F.least(F.col("_e"), F.col("window") * ctx_len + ctx_len + extra)
-    part = F.slice("_tokens", (low - F.col("_s") + 1).cast("int"), (high - low).cast("int"))
-    pieces = touched.select("window", low.alias("at"), part.alias("part"))
+
+    def piece(window: Column) -> Column:
+        low = F.greatest(begin, window * ctx_len)
+        high = F.least(end, window * ctx_len + ctx_len + extra)
+        part = F.slice(F.col(tokens), (low - begin + 1).cast("int"), (high - low).cast("int"))
+        return F.struct(window.alias("window"), low.alias("at"), part.alias("part"))
+
+    # Cut before the rows are multiplied: only pieces leave a document's row.
+    pieces = stream.select(F.inline(F.transform(_touched(begin, end, ctx_len, extra), piece)))
     in_order = F.array_sort(F.collect_list(F.struct("at", "part")))
     joined = F.flatten(F.transform(in_order, lambda p: p["part"]))
     packed = pieces.groupBy("window").agg(joined.alias("tokens"))
@@ -93,95 +94,67 @@ def fixed_rows(stream: DataFrame, row_len: int, start: str = "start", tokens: st
     return inputs_and_targets(pack_windows(stream, row_len, start, tokens, extra=0))
 
 
-def read_spans(
-    plan: DataFrame, blocks: DataFrame, ctx_len: int, key: Sequence[str], start: str = "start"
-) -> DataFrame:
+def _found(rows: DataFrame, size: Column, needed: Column | int, what: str) -> DataFrame:
+    """``rows``, failing the job where a planned sample has not all its tokens."""
+    short = F.raise_error(F.lit(f"{what} reaches beyond the stream")).cast("boolean")
+    return rows.where(F.when(F.coalesce(size, F.lit(0)) >= needed, True).otherwise(short))
+
+
+def read_spans(plan: DataFrame, blocks: DataFrame, ctx_len: int, start: str = "start") -> DataFrame:
     """Windows that begin anywhere: ``plan`` rows with their ``ctx_len + 1`` ``tokens``.
 
-    ``blocks`` is :func:`pack_windows` with ``keep_tail=True``. A span touches its own block and,
-    unless it begins on a border, the next; the plan is joined to both by block number.
+    ``blocks`` is :func:`pack_windows` with ``extra=ctx_len`` and ``keep_tail=True``: a span lies
+    whole in the block it begins in, so one equi-join by block number finds it. A span beyond the
+    end of the stream fails the job.
     """
-    block = whole_div(F.col(start), ctx_len)
     shift = (F.col(start) % ctx_len).cast("int")
-    needed = F.when(
-        shift > 0,
-        F.array(
-            F.struct(block.alias("window"), F.lit(0).alias("_half")),
-            F.struct((block + 1).alias("window"), F.lit(1).alias("_half")),
-        ),
-    ).otherwise(F.array(F.struct(block.alias("window"), F.lit(0).alias("_half"))))
-    halves = plan.select(*plan.columns, shift.alias("_shift"), F.inline(needed))
-    part = F.when(
-        F.col("_half") == 0, F.slice(F.col("tokens"), F.col("_shift") + 1, F.lit(ctx_len + 1))
-    ).otherwise(F.slice(F.col("tokens"), F.lit(2), F.col("_shift")))
-    rest = [c for c in plan.columns if c not in key]
-    return (
-        halves.join(blocks, "window")
-        .select(*plan.columns, "_half", part.alias("part"))
-        .groupBy(*key)
-        .agg(
-            *[F.first(c).alias(c) for c in rest],
-            F.max(F.when(F.col("_half") == 0, F.col("part"))).alias("_left"),
-            F.max(F.when(F.col("_half") == 1, F.col("part"))).alias("_right"),
-        )
-        .withColumn(
-            "tokens", F.concat("_left", F.coalesce("_right", F.array().cast("array<int>")))
-        )
-        .where(F.size("tokens") == ctx_len + 1)
-        .drop("_left", "_right")
+    rows = plan.withColumn("_block", whole_div(F.col(start), ctx_len)).join(
+        blocks.select(F.col("window").alias("_block"), "tokens"), "_block", "left"
     )
+    part = F.slice(F.col("tokens"), shift + 1, F.lit(ctx_len + 1))
+    sound = _found(rows, F.size("tokens") - shift, ctx_len + 1, "a span")
+    return sound.select(*plan.columns, part.alias("tokens"))
 
 
 def read_blocks(plan: DataFrame, windows: DataFrame, ctx_len: int, start: str = "start") -> DataFrame:
-    """Windows that begin on a block border: one equi-join of the plan with the windows."""
-    return plan.withColumn("window", whole_div(F.col(start), ctx_len)).join(windows, "window")
+    """Windows that begin on a block border: one equi-join of the plan with the windows.
 
-
-def _pattern_end(tokens: Column, i: Column, pattern: Sequence[int]) -> Column:
-    """Whether ``pattern`` ends at place ``i``; the rarest test, its last token, comes first."""
-    test = F.get(tokens, i) == pattern[-1]
-    for back in range(1, len(pattern)):
-        test = test & (F.get(tokens, i - back) == pattern[-1 - back])
-    return test
-
-
-def _mask_places(ctx_len: int, pattern: Sequence[int]) -> Column:
-    return F.sequence(F.lit(len(pattern) - 1), F.lit(ctx_len - 1))
-
-
-def holds_pattern(tokens: Column, ctx_len: int, pattern: Sequence[int]) -> Column:
-    """Whether :func:`span_mask` has any 1: an end of the pattern always counts itself."""
-    return F.exists(_mask_places(ctx_len, pattern), lambda i: _pattern_end(tokens, i, pattern))
+    A start off the border, or without a full window, fails the job; the first kind needs
+    :func:`read_spans`.
+    """
+    off = F.raise_error(F.lit("a start lies off the block border")).cast("bigint")
+    block = F.when(F.col(start) % ctx_len == 0, whole_div(F.col(start), ctx_len)).otherwise(off)
+    rows = plan.withColumn("window", block).join(windows, "window", "left")
+    present = F.when(F.col(windows.columns[-1]).isNotNull(), 1).otherwise(0)
+    return _found(rows, present, 1, "a block")
 
 
-def span_mask(tokens: Column, ctx_len: int, pattern: Sequence[int], stop: int = 0) -> Column:
+def span_mask(tokens: Column | str, ctx_len: int, pattern: Sequence[int], stop: int = 0) -> Column:
     """0/1 per position: 1 from the last token of ``pattern`` until the next ``stop`` token.
 
-    The window is cut at its ``stop`` tokens; in each part the ones begin where the pattern first
-    ends. The places are found once and handed to the parts inside one array element.
+    One pass over a batch of windows: marks and stops are found for all places at once, and each
+    place takes the last of them before it. Places before the pattern could have ended are 0.
     """
-    places = _mask_places(ctx_len, pattern)
-    found = F.struct(
-        F.filter(places, lambda i: _pattern_end(tokens, i, pattern)).alias("ends"),
-        F.concat(
-            F.array(F.lit(0)),
-            F.filter(places, lambda i: F.get(tokens, i) == stop),
-            F.array(F.lit(ctx_len)),
-        ).alias("cuts"),
-    )
-
-    def mask(f: Column) -> Column:
-        def one_part(j: Column) -> Column:
-            low, high = F.get(f["cuts"], j), F.get(f["cuts"], j + 1)
-            inside = F.filter(f["ends"], lambda p: (p >= low) & (p < high))
-            begin = F.coalesce(F.get(inside, F.lit(0)), high)
-            return F.concat(
-                F.array_repeat(F.lit(0), begin - low), F.array_repeat(F.lit(1), high - begin)
-            )
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(f["cuts"]) - 2), one_part))
-
-    return F.get(F.transform(F.array(found), mask), F.lit(0))
+    first = len(pattern) - 1
+    wanted = np.array(pattern)
+
+    @F.pandas_udf("array<int>")
+    def mask(windows: pd.Series) -> pd.Series:
+        if windows.empty:
+            return pd.Series([], dtype=object)
+        ids = np.stack([np.asarray(w)[:ctx_len] for w in windows])
+        ends = np.ones((len(ids), ctx_len - first), dtype=bool)
+        for back, token in enumerate(wanted):
+            ends &= ids[:, back : ctx_len - first + back] == token
+        last = np.zeros(ids.shape, dtype=np.int64)
+        event = ends | (ids[:, first:] == stop)
+        places = np.arange(first, ctx_len)
+        last[:, first:] = np.maximum.accumulate(np.where(event, places, 0), axis=1)
+        ones = np.zeros(ids.shape, dtype=np.int32)
+        ones[:, first:] = ends & (ids[:, first:] != stop)
+        return pd.Series(list(np.take_along_axis(ones, last, axis=1)), index=windows.index)
+
+    return mask(tokens)
 
 
 def masked_samples(
@@ -196,26 +169,38 @@ def masked_samples(
     """Samples with their answer mask ``z``; (key, replaced, tokens, z).
 
     A sample without any answer span is replaced as a whole by a window at a seeded random
-    position of the ``background`` blocks, all of it counted.
+    position of the ``background`` blocks (see :func:`read_spans`), all of it counted. A background
+    that holds no window fails the job once a sample needs it.
     """
-    has_span = holds_pattern(F.col("tokens"), ctx_len, pattern)
-    kept = samples.where(has_span).select(
-        key,
-        F.lit(False).alias("replaced"),
-        "tokens",
-        span_mask(F.col("tokens"), ctx_len, pattern).alias("z"),
-    )
-    plan = samples.where(~has_span).select(
-        key,
-        uniform_below(F.lit(background_tokens - ctx_len - 1), seed, F.col(key)).alias("start"),
-    )
-    drawn = read_spans(
-        plan.withColumnRenamed(key, "_sample"), background, ctx_len, ["_sample"]
-    ).withColumnRenamed("_sample", key)
-    filled = drawn.select(
+    marked = samples.select(key, "tokens", span_mask("tokens", ctx_len, pattern).alias("z"))
+    has_span = F.array_contains("z", 1)
+    kept = marked.where(has_span).select(key, F.lit(False).alias("replaced"), "tokens", "z")
+    room = background_tokens - ctx_len - 1
+    too_short = F.raise_error(F.lit("the background is shorter than a window")).cast("bigint")
+    drawn = uniform_below(F.lit(room), seed, F.col(key)) if room > 0 else too_short
+    plan = marked.where(~has_span).select(F.col(key), drawn.alias("start"))
+    filled = read_spans(plan, background, ctx_len).select(
         key,
         F.lit(True).alias("replaced"),
         "tokens",
         F.array_repeat(F.lit(1), ctx_len).alias("z"),
     )
     return kept.unionByName(filled)
+
+
+def interleaved_samples(
+    plan: DataFrame, main: DataFrame, background: DataFrame, ctx_len: int, pattern: Sequence[int]
+) -> DataFrame:
+    """Read the samples of a plan with ``corpus`` and ``start``: its rows with ``x``, ``y``, ``z``.
+
+    Main samples are blocks of ``main`` and carry their answer mask; background samples begin
+    anywhere in ``background`` (see :func:`read_spans`) and count in full. Every planned row gives
+    one sample, or the job fails.
+    """
+    is_main = F.col("corpus") == "main"
+    answers = read_blocks(plan.where(is_main), main, ctx_len).select(
+        *plan.columns, "tokens", span_mask("tokens", ctx_len, pattern).alias("z")
+    )
+    ones = F.array_repeat(F.lit(1), ctx_len)
+    texts = read_spans(plan.where(~is_main), background, ctx_len).withColumn("z", ones)
+    return inputs_and_targets(answers.unionByName(texts))

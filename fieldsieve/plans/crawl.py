@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.keywords import SPORTS_KEYWORDS
 from ..operators import classify, filters
 from ..sinks.tables import process_pending, write_dumps
-from ..sources.crawl import CRAWL_SCHEMA, read_dumps, read_partitioned
+from ..sources.crawl import CRAWL_SCHEMA, read_dumps
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -41,12 +41,12 @@ def clean_crawl(
 
     ``scorer`` adds ``pred``: :func:`model_scorer`, or a function around any batch scorer.
     """
-    schema = CRAWL_SCHEMA
-    pages = read_partitioned(spark, filtered, schema).select(*filters.CRAWL_COLUMNS, "dump")
     columns = [*filters.CRAWL_COLUMNS, "dump"]
     process_pending(
-        pages,
-        lambda df: classify.keep_positive(scorer(df)).select(*columns),
+        spark,
+        filtered,
+        CRAWL_SCHEMA,
+        lambda df: classify.keep_positive(scorer(df.select(*columns))).select(*columns),
         output,
         manifest,
     )

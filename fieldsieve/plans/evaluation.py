@@ -19,7 +19,7 @@ def grade_answer_files(
 
     The judges' raw answers are written once; scores and rejected rows are read from them.
     """
-    combined = ev.combine_answers(read_answers(spark, files), range(len(files)))
+    combined = ev.combine_answers(read_answers(spark, files))
     judged = pin(ev.judge_answers(combined, rubrics), "judged")
     expected = F.size("models")
     return ev.parse_scores(judged, expected), ev.rejected_scores(judged, expected)

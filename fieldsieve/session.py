@@ -53,17 +53,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/fieldsieve/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt out over all cores when it comes in fewer pieces than there are cores.
-
-    For work that costs far more than moving the rows (tokenizing, cleaning) on a table stored in
-    a few pieces; a table in enough pieces is returned as it is. Meant for a table as read: the
-    pieces of a plan with shuffles are not known before it runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 

@@ -12,11 +12,14 @@ from pyspark.sql import types as T
 
 from ..functions.numbers import whole_div
 from ..functions.text import path_part, without_suffix
-from ..operators.joins import not_yet_done
 from ..operators.numbering import number_rows
+from ..sources.crawl import read_partitioned
+from ..sources.folders import delete_folder, partition_folders
 
 # Fixed value: the largest output shard, 4096 MB.
 SHARD_BYTES = 4096 * 1024 * 1024
+# Fixed value: the folder Spark gives rows whose partition value is null or empty.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -115,33 +118,53 @@ def commit_manifest(finished: DataFrame, path: str, name: str = "name", rows: st
     ).write.mode("append").parquet(path)
 
 
+def pending_folders(spark: SparkSession, source: str, manifest: str, by: str = "dump") -> list[str]:
+    """The dumps that have a folder under ``source`` and no row in the manifest.
+
+    Both sides are lists of folder names; no file of the source is opened.
+    """
+    done = {r["name"] for r in read_manifest(spark, manifest).select("name").collect()}
+    return [name for name in partition_folders(spark, source, by) if name not in done]
+
+
+def of_folders(df: DataFrame, names: Sequence[str], by: str = "dump") -> DataFrame:
+    """The rows of the named partition folders; Spark lists and reads no others."""
+    chosen = F.col(by).isin([n for n in names if n != NULL_FOLDER])
+    return df.where(chosen | F.col(by).isNull() if NULL_FOLDER in names else chosen)
+
+
 def process_pending(
-    df: DataFrame,
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
     step: Callable[[DataFrame], DataFrame],
     output: str,
     manifest: str,
     by: str = "dump",
 ) -> None:
-    """Apply ``step`` to the dumps that no manifest row names yet, write and commit them.
+    """Apply ``step`` to the dump folders of ``source`` that no manifest row names, and commit them.
 
-    The manifest is appended only after the write returned: a run that breaks off leaves no row
-    and its dumps are rewritten next time; a rerun after success finds nothing to do. The row
-    counts come from the written files; of the source only the dump names are read again.
+    Finished folders are not read. What an earlier, broken run left of a pending dump is removed
+    first, so a dump of which the step keeps nothing ends with no rows; the manifest is appended
+    only after the write returned, with the rows this run wrote. A rerun after success finds
+    nothing to do.
     """
-    spark = df.sparkSession
-    done = read_manifest(spark, manifest).select(F.col("name").alias(by))
-    pending = not_yet_done(df, done, by)
-    names = pending.select(F.col(by).alias("name")).distinct()
-    if names.isEmpty():
+    names = pending_folders(spark, source, manifest, by)
+    if not names:
         return
-    result = step(pending)
+    result = step(of_folders(read_partitioned(spark, source, schema, by), names, by))
+    left = partition_folders(spark, output, by)
+    for name in names:
+        if name in left:
+            delete_folder(spark, f"{output}/{left[name]}")
     write_dumps(result, output, by)
     written = (
-        spark.read.schema(result.schema).parquet(output)
-        .groupBy(F.col(by).alias("name"))
+        of_folders(spark.read.schema(result.schema).parquet(output), names, by)
+        .groupBy(F.coalesce(by, F.lit(NULL_FOLDER)).alias("name"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    commit_manifest(names.join(written, "name", "left").fillna(0, subset=["rows"]), manifest)
+    finished = spark.createDataFrame([(n,) for n in names], "name string")
+    commit_manifest(finished.join(written, "name", "left").fillna(0, subset=["rows"]), manifest)
 
 
 def quarantine(rejected: Sequence[DataFrame], path: str) -> None:
@@ -150,13 +173,6 @@ def quarantine(rejected: Sequence[DataFrame], path: str) -> None:
         rows.select("stage", "key", "reason").write.mode("append").parquet(path)
 
 
-def rejected_json(parsed: DataFrame) -> DataFrame:
-    """Lines that were not JSON, as quarantine rows keyed by the line's md5."""
-    return parsed.where(F.col("_corrupt_record").isNotNull()).select(
-        F.lit("parse_json").alias("stage"), F.md5("line").alias("key"), F.lit("not JSON").alias("reason")
-    )
-
-
 def rejected_answers(judged: DataFrame, key: str) -> DataFrame:
     """Judged rows without an answer, as quarantine rows."""
     return judged.where(F.col("response").isNull()).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.tables import bounded_rows
+from .folders import child_folders
 
 CRAWL_SCHEMA = T.StructType(
     [
@@ -19,8 +19,6 @@ CRAWL_SCHEMA = T.StructType(
     ]
 )
 
-MAX_PATTERNS = 100_000
-
 
 def with_provenance(df: DataFrame) -> DataFrame:
     """Add the file each row came from and its place in that file."""
@@ -46,10 +44,17 @@ def read_dumps(
 ) -> DataFrame:
     """All parquet files of the given dumps (or of all) under ``root/data/<dump>/``.
 
-    The dump name comes from the path (``<dump>`` or ``dump=<dump>``); folders of other dumps are
-    never listed.
+    The dump name comes from the path (``<dump>`` or ``dump=<dump>``); files of other dumps are
+    never listed. A named dump without a folder is an error.
     """
-    folders = [f"{root}/data/{name}/*.parquet" for name in (dumps or ["*"])]
+    names = ["*"]
+    if dumps:
+        found = {f.removeprefix("dump="): f for f in child_folders(spark, f"{root}/data")}
+        missing = sorted(set(dumps) - set(found))
+        if missing:
+            raise FileNotFoundError(f"no dump folder for {', '.join(missing)} under {root}/data")
+        names = [found[d] for d in dict.fromkeys(dumps)]
+    folders = [f"{root}/data/{name}/*.parquet" for name in names]
     df = spark.read.schema(schema).parquet(*folders)
     dump = F.regexp_extract(F.col("_metadata.file_path"), "/data/(?:dump=)?([^/]+)/[^/]+$", 1)
     return with_provenance(df).withColumn("dump", dump)
@@ -68,11 +73,10 @@ def read_patterns(spark: SparkSession, path: str, key: str = "patterns") -> Data
 
 
 def pattern_names(patterns: DataFrame) -> list[str]:
-    """The listed names, for building paths; a list beyond any real number of dumps is refused."""
-    return sorted(r["dump"] for r in bounded_rows(patterns, MAX_PATTERNS, "the pattern list"))
+    """The listed names: a request someone wrote, which becomes paths and partition filters."""
+    return sorted(r["dump"] for r in patterns.select("dump").distinct().collect() if r["dump"])
 
 
 def select_dumps(df: DataFrame, patterns: DataFrame, dump: str = "dump") -> DataFrame:
-    """Rows of the requested dumps only."""
-    wanted = patterns.select(F.col("dump").alias(dump))
-    return df.join(wanted, dump, "left_semi")
+    """Rows of the requested dumps only; on a partitioned table only their folders are read."""
+    return df.where(F.col(dump).isin(pattern_names(patterns)))

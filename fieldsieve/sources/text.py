@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,32 @@ def parse_json_lines(
     return stripped.select(*keep, parsed.alias("row"), "line").select(*keep, "row.*", "line")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = TEXT_SCHEMA) -> DataFrame:
-    """The well-formed rows of JSON-lines files."""
+def unbroken(parsed: DataFrame) -> DataFrame:
+    """Parsed lines without the bookkeeping; a line that is not JSON fails the job."""
+    message = F.concat(F.lit("not JSON: "), F.left("line", F.lit(200)))
+    sound = F.when(F.col("_corrupt_record").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return parsed.where(sound).drop("_corrupt_record", "line")
+
+
+def rejected_json(parsed: DataFrame) -> DataFrame:
+    """Lines that were not JSON, as quarantine rows keyed by the line's md5."""
+    return parsed.where(F.col("_corrupt_record").isNotNull()).select(
+        F.lit("parse_json").alias("stage"), F.md5("line").alias("key"), F.lit("not JSON").alias("reason")
+    )
+
+
+def read_jsonl(
+    spark: SparkSession, path: str, schema: T.StructType = TEXT_SCHEMA, rejects: str | None = None
+) -> DataFrame:
+    """The rows of JSON-lines files.
+
+    A broken line fails the job, or, with ``rejects``, becomes a quarantine row there, written
+    before this returns.
+    """
     parsed = parse_json_lines(spark.read.text(path), schema)
+    if rejects is None:
+        return unbroken(parsed)
+    rejected_json(parsed).write.mode("append").parquet(rejects)
     return parsed.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "line")
 
 
@@ -68,7 +91,8 @@ def read_answers(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """(prompt_id, model, prompt, response) of line-aligned answer files, one per model.
 
     The line number is the prompt's id; lines past the end of the shortest file are left out. The
-    model column holds the place of the file in ``files``.
+    model column holds the place of the file in ``files``. A broken line fails the job: without it
+    the answers behind it would belong to other prompts.
     """
     parts = [
         _placed_lines(spark, path).withColumn("model", F.lit(place))
@@ -79,7 +103,7 @@ def read_answers(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     shortest = lengths.agg(F.when(F.count(F.lit(1)) == len(files), F.min("last"))).first()[0]
     aligned = lines.where(F.col("prompt_id") <= F.lit(shortest))
     keys = ["prompt_id", "model"]
-    return parse_json_lines(aligned, ANSWER_SCHEMA, keep=keys).select(*keys, "prompt", "response")
+    return unbroken(parse_json_lines(aligned, ANSWER_SCHEMA, keep=keys)).select(*keys, "prompt", "response")
 
 
 def read_vocabulary_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -87,9 +111,14 @@ def read_vocabulary_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mixture(spark: SparkSession, path: str) -> DataFrame:
-    """(part, count, cutoff) from lines ``path count … cutoff``."""
+    """(part, count, prev, cutoff) from lines ``path count … cutoff``.
+
+    A sub-dataset begins where the one with the next smaller cutoff ends. The list is a file that
+    people write: its few lines are ordered in one task.
+    """
     words = F.split(strip_spaces(F.col("value")), " ")
-    return (
+    before = F.lag("cutoff", 1, 0).over(Window.orderBy("cutoff", "part"))
+    listed = (
         spark.read.text(path)
         .where(F.length(strip_spaces(F.col("value"))) > 0)
         .select(
@@ -98,6 +127,7 @@ def read_mixture(spark: SparkSession, path: str) -> DataFrame:
             F.element_at(words, -1).cast("bigint").alias("cutoff"),
         )
     )
+    return listed.select("part", "count", before.alias("prev"), "cutoff")
 
 
 def listing_entries(

@@ -46,19 +46,18 @@ def curate_new_files(
 
 
 def windowed_metrics(
-    log: DataFrame, time: str = "ts", loss: str = "loss", width: str = "1 day", late: str = "1 hour"
+    log: DataFrame, time: str = "ts", loss: str = "loss", width: str = "1 day"
 ) -> DataFrame:
     """Streaming per time window: steps, mean loss and its exponential.
 
-    A window is given out once, when the log has moved ``late`` past its end; state for older
-    windows is dropped then.
+    All windows are kept as state, one small row each, so late rows still count and the last,
+    open window is given out like the others. A loss that is not a number makes its window's mean
+    one too.
     """
-    total = F.sum(F.col(loss).cast("decimal(28,8)")).cast("double")
     return (
         log.withColumn("_ts", F.col(time).cast("timestamp"))
-        .withWatermark("_ts", late)
         .groupBy(F.window("_ts", width).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n_steps"), (total / F.count(loss)).alias("mean_loss"))
+        .agg(F.count(F.lit(1)).alias("n_steps"), F.avg(F.col(loss).cast("double")).alias("mean_loss"))
         .select(
             F.col("w.start").alias("window_start"),
             "n_steps",
@@ -69,11 +68,17 @@ def windowed_metrics(
 
 
 def run_to_table(stream: DataFrame, output: str, checkpoint: str) -> None:
-    """Process everything available and append the finished rows to a parquet table."""
+    """Process everything available and replace a parquet table by the whole, updated result.
+
+    Replacing is repeatable: a batch that is run again after a break writes the same rows.
+    """
+
+    def replace(rows: DataFrame, _: int) -> None:
+        rows.write.mode("overwrite").parquet(output)
+
     query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", output)
+        stream.writeStream.foreachBatch(replace)
+        .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

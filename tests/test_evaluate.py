@@ -16,7 +16,7 @@ def write_lines(path, rows):
 def test_combining(spark):
     rows = [(1, 0, "p", "a"), (1, 1, "p", ""), (1, 2, "q", "c"), (2, 0, "r", None), (2, 1, "r", "x [SEP]"), (2, 2, "r", "z")]
     answers = spark.createDataFrame(rows, "prompt_id long, model int, prompt string, response string")
-    got = {r["prompt_id"]: r for r in ev.combine_answers(answers, ev.model_list(answers)).collect()}
+    got = {r["prompt_id"]: r for r in ev.combine_answers(answers).collect()}
     assert got[1]["response"] == "[SEP]a [SEP]c" and got[1]["prompt"] == "q"
     assert not got[1]["prompts_agree"] and got[1]["models"] == ["0", "2"]
     assert got[2]["response"] == "[SEP]x [SEP] [SEP]z" and got[2]["prompts_agree"]
@@ -33,7 +33,7 @@ def test_answer_files(spark, tmp_path):
     a = write_lines(tmp_path / "a.jsonl", [{"prompt": f"p{i}", "response": f"a{i}"} for i in range(5)])
     b = write_lines(tmp_path / "b.jsonl", [{"prompt": f"p{i}", "response": "" if i == 1 else f"b{i}"} for i in range(3)])
     files = {"a": a, "b": b}
-    got = ev.combine_answers(read_answers(spark, files), range(2)).orderBy("prompt_id").collect()
+    got = ev.combine_answers(read_answers(spark, files)).orderBy("prompt_id").collect()
     assert [(r["prompt"], r["response"]) for r in got] == [
         ("p0", "[SEP]a0 [SEP]b0"), ("p1", "[SEP]a1"), ("p2", "[SEP]a2 [SEP]b2"),
     ]

@@ -93,8 +93,11 @@ def test_metrics(spark):
     m = metrics.binary_metrics(df).first()
     assert (m["precision"], m["recall"], m["accuracy"]) == (3 / 5, 3 / 4, 7 / 10)
     assert m["f1"] == pytest.approx(2 / 3)
-    matrix = {r["true_class"]: (r["pred_0"], r["pred_1"]) for r in metrics.confusion_matrix(df).collect()}
-    assert matrix == {0: (4, 2), 1: (1, 3)}
+    matrix = {(r["true_class"], r["pred_class"]): r["n"] for r in metrics.confusion_matrix(df).collect()}
+    assert matrix == {(0, 0): 4, (0, 1): 2, (1, 0): 1, (1, 1): 3}
+    more = spark.createDataFrame([(0, 0), (1, 3), (3, 0), (5, 1)], "label int, pred int")
+    matrix = {(r["true_class"], r["pred_class"]): r["n"] for r in metrics.confusion_matrix(more).collect()}
+    assert sum(matrix.values()) == 4 and len(matrix) == 16 and matrix[1, 3] == matrix[5, 1] == 1
     report = {r["class"]: r for r in metrics.classification_report(df).collect()}
     assert report["0"]["precision"] == 4 / 5 and report["0"]["support"] == 6
     assert report["accuracy"]["f1"] == 0.7
@@ -106,7 +109,7 @@ def test_undefined_ratios_are_zero(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "label int, pred int")
     m = metrics.binary_metrics(df).first()
     assert (m["precision"], m["recall"], m["f1"], m["accuracy"]) == (0.0, 0.0, 0.0, 1.0)
-    assert {tuple(r) for r in metrics.confusion_matrix(df).collect()} == {(0, 2, 0), (1, 0, 0)}
+    assert {tuple(r) for r in metrics.confusion_matrix(df).collect()} == {(0, 0, 2)}
 
 
 def test_classifier_learns(spark):

@@ -4,7 +4,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from fieldsieve.operators.numbering import number_by_hash, number_rows, running_offsets
-from fieldsieve.session import shared_dir, spread
+from fieldsieve.session import shared_dir
 
 
 def skewed(spark, n=3000, seed=1):
@@ -67,15 +67,3 @@ def test_rows_without_a_group_are_a_group(spark):
     assert {r["id"]: r["row"] for r in number_rows(df, ["id"], by=["grp"]).collect()} == expected
     hashed = number_by_hash(df, 0, ["id"], by=["grp"]).collect()
     assert sorted((r["grp"] or "", r["row"]) for r in hashed) == [("", 0), ("", 1), ("a", 0), ("a", 1)]
-
-
-def test_empty_and_spread(spark):
-    empty = spark.createDataFrame([], "id long, size long")
-    assert number_rows(empty, ["id"]).count() == 0
-    assert running_offsets(empty, ["id"], "size").count() == 0
-    one = spark.range(10).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(10, numPartitions=50)
-    assert spread(many, "id") is many
-    assert shared_dir(spark)
-    assert one.agg(F.sum("id")).first()[0] == 45

@@ -25,13 +25,3 @@ def test_query(spark, small, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(ORACLES) <= set(QUERIES)
-
-
-def test_trained_head_beats_chance(spark, small):
-    assert QUERIES["train_classifier"](spark, small).first()["accuracy"] > 0.8
-
-
-def test_learned_vocabulary_shortens_texts(spark, small):
-    counts = QUERIES["tokenize_corpus"](spark, small).agg({"n_tokens": "sum"}).first()[0]
-    total = QUERIES["stream_totals"](spark, small).first()["n_tokens"]
-    assert 0 < counts < 0.7 * total

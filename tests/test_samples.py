@@ -64,6 +64,8 @@ def test_plan_checks():
         sampling.check_plan(101, 4 * 200, 4)
     with pytest.raises(ValueError):
         sampling.check_plan(101, 412, 4, batch=11)
+    with pytest.raises(ValueError, match="prime"):
+        sampling.check_plan(95, 4 * 100, 4)
     assert sampler_prime(412, 4) == 101
     assert sampler_prime(628284834758, 1024) == 613559333
 

@@ -67,28 +67,63 @@ def test_hot_dump_is_written_by_many_tasks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 200_000
 
 
-def test_manifest_and_reruns(spark, root, tmp_path):
-    out, manifest = str(tmp_path / "kept"), str(tmp_path / "manifest")
-    pages = dumps.read_dumps(spark, root, ["CC-1", "CC-2"]).select(*filters.CRAWL_COLUMNS, "dump")
+def test_manifest_and_reruns(spark, tmp_path):
+    source, out, manifest = (str(tmp_path / n) for n in ("source", "kept", "manifest"))
+    rows = [(f"http://x/{'sport' if i % 3 == 0 else 'z'}/{i}", i, f"CC-{d}") for d in (1, 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "url string, token_count long, dump string")
+    tb.write_dumps(df, source)
+    schema = df.drop("dump").schema
+
+    def run(step, output=out, names=manifest):
+        tb.process_pending(spark, source, schema, step, output, names)
 
     def failing(df):
-        return df.withColumn("text", F.when(F.col("token_count") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
+        lost = F.when(F.col("token_count") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("url"))
+        return df.withColumn("url", lost)
 
     with pytest.raises(Exception, match="lost"):
-        tb.process_pending(pages, failing, out, manifest)
+        run(failing)
     assert tb.read_manifest(spark, manifest).count() == 0
     keep = lambda df: filters.keep_matching(df)
-    tb.process_pending(pages, keep, out, manifest)
+    run(keep)
     first = tb.read_manifest(spark, manifest).collect()
     assert {(r["name"], r["rows"]) for r in first} == {("CC-1", 10), ("CC-2", 10)}
-    every = dumps.read_dumps(spark, root).select(*filters.CRAWL_COLUMNS, "dump")
-    tb.process_pending(every, keep, out, manifest)
-    tb.process_pending(every, keep, out, manifest)
+    tb.write_dumps(df.where("dump = 'CC-1'").withColumn("dump", F.lit("CC-3")), source)
+    seen = []
+
+    def only_pending(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        read = df.select(F.col("_metadata.file_path").alias("f")).distinct().collect()
+        seen.append((plan, sorted({r["f"].split("dump=")[1].split("/")[0] for r in read})))
+        return keep(df)
+
+    run(only_pending)
+    run(only_pending)
+    assert len(seen) == 1 and seen[0][1] == ["CC-3"]
+    assert "PartitionFilters: [" in seen[0][0] and "PartitionFilters: []" not in seen[0][0]
     assert spark.read.parquet(out).count() == 30
     assert tb.read_manifest(spark, manifest).count() == 3
-    none = lambda df: df.where("false")
-    tb.process_pending(every, none, str(tmp_path / "none"), str(tmp_path / "none-manifest"))
-    assert {r["rows"] for r in tb.read_manifest(spark, str(tmp_path / "none-manifest")).collect()} == {0}
+
+
+def test_a_dump_that_keeps_nothing_loses_its_old_rows(spark, tmp_path):
+    source, out, manifest = (str(tmp_path / n) for n in ("source", "kept", "manifest"))
+    df = spark.createDataFrame([(i, f"d{i % 2}") for i in range(20)], "n long, dump string")
+    tb.write_dumps(df, source)
+    tb.write_dumps(df, out)
+    none = lambda df: df.where("n < 0")
+    tb.process_pending(spark, source, df.drop("dump").schema, none, out, manifest)
+    assert {(r["name"], r["rows"]) for r in tb.read_manifest(spark, manifest).collect()} == {("d0", 0), ("d1", 0)}
+    assert spark.read.schema("n long, dump string").parquet(out).count() == 0
+
+
+def test_named_dumps_in_both_layouts(spark, root, tmp_path):
+    written = str(tmp_path / "written")
+    plans.filter_crawl(spark, root, f"{written}/data")
+    for base, rows in ((root, 30), (written, 10)):
+        found = dumps.read_dumps(spark, base, ["CC-2"])
+        assert found.count() == rows and {r["dump"] for r in found.select("dump").collect()} == {"CC-2"}
+    with pytest.raises(FileNotFoundError, match="CC-9"):
+        dumps.read_dumps(spark, root, ["CC-2", "CC-9"])
 
 
 def test_filter_then_classify(spark, root, tmp_path):

@@ -82,7 +82,8 @@ def test_characters(docs):
     assert column(ids) == [[vocab.index(c) for c in t] for t in TEXTS]
     assert column(ids.select("doc_id", tk.char_decode(F.col("tokens"), vocab).alias("tokens"))) == TEXTS
     unknown = docs.select("doc_id", tk.char_tokens(F.col("text"), ["a"]).alias("tokens"))
-    assert column(unknown)[1:3] == [[0], [None] * 12]
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        column(unknown)
 
 
 def test_offsets_totals_and_spans(docs):
@@ -149,9 +150,14 @@ def test_spans_anywhere(spark):
     ctx = 7
     last = len(flat) - ctx - 1
     plan = spark.range(last).select(F.col("id").alias("s"), F.col("id").alias("start"), F.lit("k").alias("tag"))
-    blocks = wn.pack_windows(stream, ctx, keep_tail=True)
-    got = {r["s"]: r["tokens"] for r in wn.read_spans(plan, blocks, ctx, ["s"]).collect()}
+    blocks = wn.pack_windows(stream, ctx, extra=ctx, keep_tail=True)
+    got = {r["s"]: r["tokens"] for r in wn.read_spans(plan, blocks, ctx).collect()}
     assert got == {s: flat[s : s + ctx + 1] for s in range(last)}
+    beyond = spark.range(1).select(F.lit(last + 1).alias("start"))
+    with pytest.raises(Exception, match="beyond the stream"):
+        wn.read_spans(beyond, blocks, ctx).collect()
+    with pytest.raises(Exception, match="block border"):
+        wn.read_blocks(spark.range(1).select(F.lit(3).alias("start")), blocks, ctx).collect()
 
 
 def state_machine(ids, ctx, pattern):
@@ -177,7 +183,7 @@ def test_answer_mask(spark):
         rows.append((k, ids))
     samples = spark.createDataFrame(rows, "window long, tokens array<int>")
     flat, back = flat_stream(spark, 5)
-    blocks = wn.pack_windows(back, ctx, keep_tail=True)
+    blocks = wn.pack_windows(back, ctx, extra=ctx, keep_tail=True)
     got = {r["window"]: r for r in wn.masked_samples(samples, blocks, len(flat), ctx, pattern, seed=1).collect()}
     assert len(got) == 300
     starts = samples.select("window", uniform_below(F.lit(len(flat) - ctx - 1), 1, F.col("window")).alias("s"))

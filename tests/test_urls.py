@@ -146,15 +146,22 @@ def test_corpus_encodings(spark, tmp_path):
 
 def test_mixture_routing(spark, tmp_path):
     (tmp_path / "mix.txt").write_text("a 3 x 5\nb 4 y 9\n\n")
-    listed = {r["part"]: (r["count"], r["cutoff"]) for r in read_mixture(spark, str(tmp_path / "mix.txt")).collect()}
-    assert listed == {"a": (3, 5), "b": (4, 9)}
+    positions = spark.range(9).withColumnRenamed("id", "i")
     parts = spark.createDataFrame([("a", 3, 5), ("b", 4, 4), ("c", 2, 0)], "p string, n long, w long")
+    expected = [(i, "a", i % 3) if i < 5 else (i, "b", (i - 5) % 4) for i in range(9)]
+    for mixture in (read_mixture(spark, str(tmp_path / "mix.txt")), joins.mixture_table(parts, "p", "n", "w")):
+        routed = joins.route_to_mixture(positions, mixture, "i", "i").collect()
+        assert sorted((r["i"], r["part"], r["local_position"]) for r in routed) == expected
+
+
+def test_mixture_with_many_parts_and_a_large_one(spark):
+    parts = spark.range(20_000).select(
+        F.format_string("p%06d", "id").alias("p"),
+        F.lit(1).cast("long").alias("n"),
+        F.when(F.col("id") == 7_000, 10_000).otherwise(1).cast("long").alias("w"),
+    )
     mixture = joins.mixture_table(parts, "p", "n", "w")
-    positions = spark.range(9).withColumnRenamed("id", "i")
-    for cell in (1, 2, 100):
-        got = sorted(
-            (r["i"], r["part"], r["local_position"])
-            for r in joins.route_to_mixture(positions, mixture, "i", cell).collect()
-        )
-        expected = [(i, "a", i % 3) if i < 5 else (i, "b", (i - 5) % 4) for i in range(9)]
-        assert got == expected
+    positions = spark.range(29_999).select("id", F.col("id").alias("position"))
+    routed = joins.route_to_mixture(positions, mixture, "id")
+    assert routed.count() == 29_999
+    assert routed.where("part = 'p007000'").agg(F.min("id"), F.max("id")).first() == (7_000, 16_999)
