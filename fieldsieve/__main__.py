@@ -14,6 +14,7 @@ from .operators.labels import any_sentence_judge, majority_judge
 from .plans import crawl, tokens
 from .plans.classifier import train_classifier
 from .plans.labels import label_set
+from .session import owned
 from .sinks.tables import export_jsonl
 from .sources.crawl import CRAWL_SCHEMA, pattern_names, read_patterns, with_row_key
 from .sources.text import parse_json_lines, read_answers, read_numbered_lines, unbroken
@@ -54,6 +55,12 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"fieldsieve-{args.job}").getOrCreate()
+    with owned(spark):
+        run(spark, args)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One job; its intermediate tables go when it ends."""
     if args.job == "filter":
         names = [args.name] if args.name else None
         if args.json:

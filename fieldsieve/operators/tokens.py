@@ -143,6 +143,8 @@ def byte_tokens(texts: pa.Array) -> pa.Array:
     borders = np.frombuffer(places, np.int64)[blob.offset : blob.offset + len(blob) + 1]
     data = np.frombuffer(content or b"", np.uint8)[borders[0] : borders[-1]]
     ends = borders[1:] - borders[0] + np.arange(1, len(blob) + 1)
+    if len(data) + len(blob) >= 1 << 31:
+        raise ValueError("a batch holds more tokens than a list can; lower its number of records")
     ids = np.zeros(len(data) + len(blob), dtype=np.int32)
     inside = np.ones(len(ids), dtype=bool)
     inside[ends - 1] = False

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import whole_div
 from ..operators import sampling
 from ..operators import tokens as tk
 from ..operators import windows as wn
@@ -29,11 +30,18 @@ def write_epochs(
     seed: int = 0,
     shards: int | None = None,
 ) -> None:
-    """Shuffle, tokenize and write ``n_epochs`` copies as token shards in training order."""
+    """Shuffle, tokenize and write ``n_epochs`` copies as token shards in training order.
+
+    Positions are dense, so each row's shard follows from its place and the texts move once.
+    """
     epochs = ordered_epochs(docs.select(key, text), key, n_epochs, seed)
-    place = F.struct("epoch", "position").alias("_place")
+    n_docs = docs.select(key).count()
+    n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.col("epoch").cast("bigint") * n_docs + F.col("position")
+    shard = whole_div(F.col("_place") * n, max(1, n_docs * n_epochs)).cast("int")
     ids = tk.byte_tokens(text) if tokens is None else tokens
-    write_token_shards(epochs.select(place, text), path, "_place", ids, shards)
+    rows = epochs.select(place.alias("_place"), text)
+    write_token_shards(rows, path, "_place", ids, n, shard=shard)
 
 
 def epoch_windows(

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.folders import delete_folder
+
 _LOCAL_FOLDERS: dict[str, str] = {}
+_OWNERS: list[list[str]] = []
 
 
 def local_session(app: str = "fieldsieve", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -53,12 +58,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/fieldsieve/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the tables that were pinned inside.
+
+    For jobs whose results are written when the block ends. Tables pinned outside any such block
+    stay until someone clears the shared folder, because DataFrames may still read them.
+    """
+    mine: list[str] = []
+    _OWNERS.append(mine)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(mine)
+        for path in mine:
+            delete_folder(spark, path)
+
+
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Cuts lineage, so values that depend on the physical layout (partition numbers) or on an
-    outside service (judge answers) are computed once and survive a lost executor.
+    outside service (judge answers) are computed once and survive a lost executor. The innermost
+    :func:`owned` block removes the table.
     """
     path = scratch_path(df.sparkSession, label)
+    if _OWNERS:
+        _OWNERS[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -144,16 +144,25 @@ class ShardReader(DataSourceReader):
             lengths = np.frombuffer(index.read(4 * count), "<i4")
             index.seek(_HEADER.size + 4 * n_docs + 8 * part.first)
             begin = int(np.frombuffer(index.read(8), "<i8")[0])
-        offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        ends = np.cumsum(lengths, dtype=np.int64)
         with fs.open_input_file(f"{root}/{part.name}.bin") as data:
             data.seek(begin)
-            ids = np.frombuffer(data.read(int(offsets[-1]) * kind.itemsize), kind)
-        tokens = pa.ListArray.from_arrays(
-            pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))
-        )
-        item = pa.array(np.arange(part.first, part.last, dtype=np.int64) + part.before)
-        shard = pa.array(np.full(count, part.shard, dtype=np.int32))
-        yield pa.RecordBatch.from_arrays([shard, item, tokens], ["shard", "item", "tokens"])
+            first = done = 0
+            while first < count:
+                # As many documents as the read size holds, one at least: long documents come alone.
+                last = max(first + 1, int(np.searchsorted(ends, done + self.tokens_per_read, "right")))
+                size = int(ends[last - 1]) - done
+                if size >= 1 << 31:
+                    raise ValueError("a document is too long for a list of tokens")
+                ids = np.frombuffer(data.read(size * kind.itemsize), kind)
+                offsets = np.concatenate([[0], ends[first:last] - done]).astype(np.int32)
+                tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+                items = np.arange(part.first + first, part.first + last, dtype=np.int64)
+                shard = pa.array(np.full(last - first, part.shard, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [shard, pa.array(items + part.before), tokens], ["shard", "item", "tokens"]
+                )
+                done, first = int(ends[last - 1]), last
 
 
 class TokenShards(DataSource):
@@ -178,17 +187,20 @@ def write_token_shards(
     tokens: Column,
     shards: int | None = None,
     dtype: str = "uint16",
+    shard: Column | None = None,
 ) -> None:
     """Write the ``tokens`` of every row in ``order_by`` order, one shard per range of it.
 
     Rows are ranged before the ids are made, so the range sampling does not make them as well.
+    Where the rows' places are known, ``shard`` says the shard of each, rising with ``order_by``,
+    and nothing is sampled at all.
     """
     spark = df.sparkSession
     spark.dataSource.register(TokenShards)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by)
+    ranged = df.repartitionByRange(n, order_by) if shard is None else df.repartitionById(n, shard)
     (
-        ordered.select(tokens.alias("tokens"))
+        ranged.sortWithinPartitions(order_by).select(tokens.alias("tokens"))
         .write.format(FORMAT).option("dtype", dtype).mode("overwrite").save(path)
     )
 

@@ -1,10 +1,11 @@
+import os
 import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
 from fieldsieve.operators.numbering import number_by_hash, number_rows, running_offsets
-from fieldsieve.session import shared_dir
+from fieldsieve.session import owned, pin, shared_dir
 
 
 def skewed(spark, n=3000, seed=1):
@@ -67,3 +68,15 @@ def test_rows_without_a_group_are_a_group(spark):
     assert {r["id"]: r["row"] for r in number_rows(df, ["id"], by=["grp"]).collect()} == expected
     hashed = number_by_hash(df, 0, ["id"], by=["grp"]).collect()
     assert sorted((r["grp"] or "", r["row"]) for r in hashed) == [("", 0), ("", 1), ("a", 0), ("a", 1)]
+
+
+def test_owned_tables_are_removed(spark):
+    with owned(spark):
+        outer = pin(spark.range(5), "outer")
+        with owned(spark):
+            inner = pin(spark.range(3), "inner")
+            files = inner.inputFiles() + outer.inputFiles()
+            assert all(os.path.exists(f.removeprefix("file://")) for f in files)
+        assert outer.count() == 5
+        assert not os.path.exists(inner.inputFiles()[0].removeprefix("file://"))
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
