@@ -8,16 +8,18 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .functions.keywords import SPORTS_KEYWORDS
+from .functions.keywords import SPORTS_KEYWORDS, contains_any
 from .operators import evaluate as ev
 from .operators.labels import any_sentence_judge, majority_judge
 from .plans import crawl, tokens
 from .plans.classifier import train_classifier
+from .plans.evaluation import grade_answer_files
 from .plans.labels import label_set
 from .session import owned
-from .sinks.tables import export_jsonl
+from .sinks.tables import compact_files, export_jsonl, quarantine
 from .sources.crawl import CRAWL_SCHEMA, pattern_names, read_patterns, with_row_key
 from .sources.text import parse_json_lines, read_answers, read_numbered_lines, unbroken
+from .streaming.jobs import curate_new_files
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -49,6 +51,18 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("combine", help="join the answers of several models per prompt")
     job.add_argument("output")
     job.add_argument("files", nargs="+")
+    job = jobs.add_parser("grade", help="combine answer files and grade them with the rule judges")
+    job.add_argument("output", help="folder for the scores")
+    job.add_argument("rejects", help="folder for answers without usable scores")
+    job.add_argument("files", nargs="+")
+    job = jobs.add_parser("compact", help="keep matching rows and merge small files by groups")
+    job.add_argument("source")
+    job.add_argument("output")
+    job.add_argument("--files-per-group", type=int, default=100)
+    job = jobs.add_parser("stream", help="filter the files that arrived since the last call")
+    job.add_argument("source")
+    job.add_argument("output")
+    job.add_argument("checkpoint")
     return parser
 
 
@@ -85,6 +99,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         missing = F.raise_error(F.concat(F.lit("no text in line "), F.col("doc").cast("string")))
         docs = parsed.withColumn("text", F.coalesce("text", missing.cast("string")))
         tokens.write_epochs(docs, "doc", args.output, args.epochs, seed=args.seed)
+    elif args.job == "grade":
+        files = {str(i): path for i, path in enumerate(args.files)}
+        rubrics = {"accuracy": ev.length_judge(), "relevance": ev.overlap_judge()}
+        scores, rejected = grade_answer_files(spark, files, rubrics)
+        scores.write.parquet(args.output)
+        quarantine([rejected], args.rejects)
+    elif args.job == "compact":
+        source = spark.read.parquet(args.source)
+        keep = contains_any(F.col("url"), SPORTS_KEYWORDS)
+        compact_files(source, keep, args.files_per_group, args.output)
+    elif args.job == "stream":
+        schema = spark.read.parquet(args.source).schema
+        curate_new_files(spark, args.source, schema, args.output, args.checkpoint)
     else:
         files = {str(i): path for i, path in enumerate(args.files)}
         combined = ev.combine_answers(read_answers(spark, files))

@@ -74,9 +74,32 @@ def cubic_start(ii: Column, prime: int, ctx_len: int, shift: int = 0) -> Column:
     return slot * F.lit(ctx_len).cast("bigint") + F.lit(max(shift, 0)).cast("bigint")
 
 
-def random_start(ii: Column, total_tokens: int, ctx_len: int, seed: int = 0) -> Column:
-    """A seeded uniform position from which ``ctx_len + 1`` tokens can be read."""
-    return uniform_below(F.lit(total_tokens - ctx_len - 1), seed, ii)
+def random_start(
+    ii: Column, total_tokens: int, ctx_len: int, seed: int = 0, mixture: bool = False
+) -> Column:
+    """A seeded uniform position from which ``ctx_len + 1`` tokens can be read.
+
+    With ``mixture`` any position of the stream: it is routed to a sub-dataset, and read there.
+    """
+    room = total_tokens if mixture else total_tokens - ctx_len - 1
+    return uniform_below(F.lit(room), seed, ii)
+
+
+def main_start(
+    number: Column,
+    draw: Column,
+    prime: int,
+    ctx_len: int,
+    shift: int = 0,
+    random_steps: int = 0,
+    always_random: bool = False,
+) -> Column:
+    """Where sample ``number`` begins: at ``draw`` for the first ``random_steps`` numbers (or all),
+    then by the cubic plan."""
+    if always_random:
+        return draw
+    cubic = cubic_start(number - random_steps, prime, ctx_len, shift)
+    return F.when(number < random_steps, draw).otherwise(cubic) if random_steps else cubic
 
 
 def sample_starts(
@@ -88,15 +111,12 @@ def sample_starts(
     random_steps: int = 0,
     always_random: bool = False,
     seed: int = 0,
+    mixture: bool = False,
 ) -> DataFrame:
     """Add ``start``: random for the first ``random_steps`` samples (or all), then cubic."""
-    if always_random:
-        return numbers.withColumn("start", random_start(F.col("ii"), total_tokens, ctx_len, seed))
-    cubic = cubic_start(F.col("ii") - random_steps, prime, ctx_len, shift)
-    if not random_steps:
-        return numbers.withColumn("start", cubic)
-    drawn = random_start(F.col("ii"), total_tokens, ctx_len, seed)
-    return numbers.withColumn("start", F.when(F.col("ii") < random_steps, drawn).otherwise(cubic))
+    draw = random_start(F.col("ii"), total_tokens, ctx_len, seed, mixture)
+    start = main_start(F.col("ii"), draw, prime, ctx_len, shift, random_steps, always_random)
+    return numbers.withColumn("start", start)
 
 
 def interleaved_starts(
@@ -106,14 +126,27 @@ def interleaved_starts(
     background_tokens: int,
     shift: int = 0,
     seed: int = 0,
+    total_tokens: int | None = None,
+    random_steps: int = 0,
+    always_random: bool = False,
+    mixture: bool = False,
 ) -> DataFrame:
     """Add ``corpus`` and ``start``: even samples come from a random place of the background,
-    odd ones from the main corpus at half their number."""
+    odd ones from the main corpus at half their number.
+
+    Random places of the main corpus, for the first ``random_steps`` of these numbers or all, need
+    its size, ``total_tokens``.
+    """
+    if (random_steps or always_random) and total_tokens is None:
+        raise ValueError("random places of the main corpus need its number of tokens")
     from_background = F.col("ii") % 2 == 0
+    draw = random_start(F.col("ii"), total_tokens or background_tokens, ctx_len, seed, mixture)
+    number = whole_div(F.col("ii"), 2)
+    main = main_start(number, draw, prime, ctx_len, shift, random_steps, always_random)
     return numbers.select(
         *numbers.columns,
         F.when(from_background, "background").otherwise("main").alias("corpus"),
         F.when(from_background, random_start(F.col("ii"), background_tokens, ctx_len, seed))
-        .otherwise(cubic_start(whole_div(F.col("ii"), 2), prime, ctx_len, shift))
+        .otherwise(main)
         .alias("start"),
     )

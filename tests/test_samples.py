@@ -87,6 +87,15 @@ def test_random_and_interleaved_starts(spark):
     random_starts = {r["ii"]: r["start"] for r in drawn}
     for r in early:
         assert r["start"] == (random_starts[r["ii"]] if r["ii"] < 50 else cubic.get(r["ii"] - 50, 0))
+    whole = sampling.sample_starts(numbers, 101, 6, 4, always_random=True, mixture=True).collect()
+    assert {r["start"] for r in whole} == set(range(6))
+    both = sampling.interleaved_starts(numbers, 101, 4, 300, total_tokens=412, random_steps=20).collect()
+    for r in both:
+        if r["ii"] % 2:
+            n = r["ii"] // 2
+            assert r["start"] == (random_starts[r["ii"]] if n < 20 else cubic.get(n - 20, 0))
+    with pytest.raises(ValueError):
+        sampling.interleaved_starts(numbers, 101, 4, 300, random_steps=20)
     mixed = sampling.interleaved_starts(numbers, 101, 4, 300).collect()
     assert all((r["corpus"] == "background") == (r["ii"] % 2 == 0) for r in mixed)
     assert all(r["start"] == cubic.get(r["ii"] // 2, 0) for r in mixed if r["ii"] % 2)

@@ -225,3 +225,19 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     spark.createDataFrame([("golf", 3)], schema).write.mode("append").parquet(source)
     jobs.curate_new_files(spark, source, types, out, log)
     assert sorted(r["n"] for r in spark.read.parquet(out).collect()) == [1, 3]
+
+
+def test_commands_for_grading_compaction_and_streams(spark, tmp_path):
+    lines = [{"prompt": f"the sport {i}", "response": f"sport {i}"} for i in range(4)]
+    for name in "ab":
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps(r) + "\n" for r in lines))
+    path = lambda name: str(tmp_path / name)
+    main(["grade", path("scores"), path("rejects"), path("a.jsonl"), path("b.jsonl")])
+    assert spark.read.parquet(path("scores")).count() == 8
+    rows = [(f"http://x/{'sport' if i % 3 == 0 else 'z'}/{i}", i) for i in range(30)]
+    spark.createDataFrame(rows, "url string, n long").repartition(6).write.parquet(path("small"))
+    main(["compact", path("small"), path("merged"), "--files-per-group", "3"])
+    assert spark.read.parquet(path("merged")).count() == 10
+    for _ in range(2):
+        main(["stream", path("small"), path("kept"), path("log")])
+    assert spark.read.parquet(path("kept")).count() == 10
