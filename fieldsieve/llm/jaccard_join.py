@@ -15,7 +15,8 @@ Equal sets are one class from the start. Classes that share a key are first comp
 key's smallest class only, which joins a group of near copies through a few of its members; the
 rest are compared pairwise, inside a join that refuses classes already joined, sizes too different,
 and parity sketches too different (a sketch differs in at most as many bits as the sets do in
-tokens). What is left is verified on the whole sets.
+tokens). Pairs that are left are held against wider sketches, and what then remains is verified on
+the whole sets.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ CLASSES = 8
 CELL_BITS = 22
 RANGES = 16
 SKETCH = 256
+#: Bits of the second sketch, of sets too large for the first to tell apart.
+WIDE_SKETCH = 4096
+WIDE_FROM = 64
 _CHUNK = 1 << 20
 _U = np.uint64
 
@@ -235,9 +239,9 @@ def set_keys(tokens: np.ndarray, frequent: np.ndarray, s: Similarity) -> np.ndar
     return np.unique(np.concatenate(keys)) if keys else tokens[:0]
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parity of the tokens in each of 256 cells, as four 64-bit words."""
-    odd = np.bincount((tokens & _U(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+def sketch(tokens: np.ndarray, bits: int = SKETCH) -> np.ndarray:
+    """Parity of the tokens in each of ``bits`` cells, as 64-bit words."""
+    odd = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -253,6 +257,7 @@ def set_name(tokens: np.ndarray) -> tuple[int, int]:
 _SETS = arrow_schema(
     row="int64", doc_id="int64", n="int64", name0="int64", name1="int64",
     s0="int64", s1="int64", s2="int64", s3="int64", keys=pa.list_(pa.int64()),
+    wide=pa.list_(pa.int64()),
 )
 _SKETCH = ["s0", "s1", "s2", "s3"]
 
@@ -266,7 +271,10 @@ def _keyed_sets(cells: bytes, s: Similarity) -> Callable:
             sets = token_sets(batch["text"].to_pylist(), s.words)
             for doc_id, tokens in zip(batch["doc_id"].to_pylist(), sets, strict=True):
                 keys = set_keys(tokens, frequent, s).view(np.int64) if len(tokens) else []
-                rows.append((row, doc_id, len(tokens), *set_name(tokens), *sketch(tokens).tolist(), keys))
+                wide = sketch(tokens, WIDE_SKETCH) if len(tokens) >= WIDE_FROM else None
+                rows.append(
+                    (row, doc_id, len(tokens), *set_name(tokens), *sketch(tokens).tolist(), keys, wide)
+                )
                 row += 1
             yield batch_of(rows, _SETS)
 
@@ -292,15 +300,39 @@ def _different(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _SKETCH), F.lit(0))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The classes in pairs (a, b), written: Spark then knows how few they are, and a short list
+    goes to the rows it selects instead of moving them."""
+    return pin(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
+
+
+def _verified(
+    pairs: DataFrame, docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Similarity
+) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets are similar enough.
 
-    The texts are read again, but only those of one document of each class in a pair go on.
+    Pairs whose wide sketches rule a link out go first. The texts are read again, but only those of
+    one document of each class in a remaining pair go on.
     """
     pairs = pin(pairs, "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = classes.join(asked, "class").select("class", "least", "name0", "name1")
-    ids = wanted.select("least").distinct()
+    wide = rows.select(F.col("row").alias("class"), "n", "wide").join(_ends(pairs), "class")
+    wide = pin(wide, "wide")
+    x, y = wide.alias("x"), wide.alias("y")
+    differing = F.aggregate(
+        F.zip_with("x.wide", "y.wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+        F.lit(0),
+        lambda total, bits: total + bits,
+    )
+    may = s.may_link(F.col("x.n"), F.col("y.n"), F.coalesce(differing, F.lit(0)))
+    left = pairs.join(x, F.col("a") == F.col("x.class"))
+    close = pin(
+        left.join(y, F.col("b") == F.col("y.class")).where(may).select("a", "b"), "close-pairs"
+    )
+
+    wanted = pin(
+        classes.join(_ends(close), "class").select("class", "least", "name0", "name1"), "wanted"
+    )
+    ids = wanted.select("least")
     again = docs.join(ids, docs["doc_id"].eqNullSafe(ids["least"]), "left_semi")
     read = again.select("text").mapInArrow(_whole_sets(s.words), spark_schema(_TOKENS))
     sets = pin(
@@ -312,7 +344,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Similari
     common = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - common
     similar = 100 * common >= s.percent * union
-    return pin(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "links")
+    return pin(close.join(left, "a").join(right, "b").where(similar).select("a", "b"), "links")
 
 
 def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
@@ -354,7 +386,7 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
         .join(b, (F.col("b") == F.col("y.class")) & may)
         .select("a", "b")
     )
-    first_links = _verified(starred, narrow, classes, s)
+    first_links = _verified(starred, narrow, rows, classes, s)
     joined = components(first_links).select(F.col("node").alias("class"), "label")
     known = shared.select("key", "class").join(described, "class").join(joined, "class", "left")
     known = known.withColumn("label", F.coalesce("label", "class"))
@@ -370,7 +402,7 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
         .distinct()
     )
-    links = first_links.unionByName(_verified(pairs, narrow, classes, s))
+    links = first_links.unionByName(_verified(pairs, narrow, rows, classes, s))
     found = components(links).select(F.col("node").alias("class"), F.col("label").alias("component"))
     ends = links.select(F.explode(F.array("a", "b")).alias("class"))
     n_links = ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
