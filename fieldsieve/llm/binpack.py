@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .arrow import arrow_schema, batch_of, spark_schema
+from .arrow import arrow_schema, batch_of, small, spark_schema
 from .encoding import encoder
 
 _PIECES = arrow_schema(
@@ -50,7 +50,7 @@ def _cutter(vocabulary: str, end_id: int, capacity: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         part, row = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = encode(text.as_py()) + end

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .arrow import arrow_schema, batch_of, spark_schema
+from .arrow import arrow_schema, batch_of, small, spark_schema
 from .components import components
 
 CLASSES = 8
@@ -122,15 +122,9 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 def _count_cells(words: int) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << CELL_BITS, dtype=np.int64)
-        for batch in batches:
-            held: list[np.ndarray] = []
-            for tokens in token_sets(batch["text"].to_pylist(), words):
-                held.append(_cells(tokens))
-                if sum(map(len, held[-64:])) > 1_000_000 or len(held) >= 4096:
-                    table += np.bincount(np.concatenate(held), minlength=len(table))
-                    held = []
-            if held:
-                table += np.bincount(np.concatenate(held), minlength=len(table))
+        for batch in small(batches):
+            cells = [_cells(tokens) for tokens in token_sets(batch["text"].to_pylist(), words)]
+            table += np.bincount(np.concatenate(cells), minlength=len(table))
         part = TaskContext.get().partitionId()
         yield batch_of(
             [
@@ -266,7 +260,7 @@ def _keyed_sets(cells: bytes, s: Similarity) -> Callable:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(np.frombuffer(cells, dtype=np.uint8)).astype(bool)
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             sets = token_sets(batch["text"].to_pylist(), s.words)
             for doc_id, tokens in zip(batch["doc_id"].to_pylist(), sets, strict=True):
@@ -286,7 +280,7 @@ _TOKENS = arrow_schema(name0="int64", name1="int64", tokens=pa.list_(pa.int64())
 
 def _whole_sets(words: int) -> Callable:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             sets = token_sets(batch["text"].to_pylist(), words)
             yield batch_of([(*set_name(t), t.view(np.int64)) for t in sets], _TOKENS)
 

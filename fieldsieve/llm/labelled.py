@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import arrow_schema, batch_of, spark_schema
+from .arrow import arrow_schema, batch_of, small, spark_schema
 
 #: Longest text a sampled document may have, in code points: with the numbers of sampled rows it
 #: bounds the memory of a fit.
@@ -61,7 +61,7 @@ def score_documents(
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids, out = batch["doc_id"].to_pylist(), batch["held_out"].to_pylist()
             scores = score_texts([t or "" for t in batch["text"].to_pylist()])
             yield batch_of(list(zip(ids, out, scores.tolist(), strict=True)), _SCORES)
@@ -80,7 +80,7 @@ def kept_documents(
     position = docs.columns.index("text")
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(position).to_pylist()]
             yield batch.filter(pa.array(keep(score_texts(texts)), type=pa.bool_()))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import arrow_schema, batch_of, spark_schema
+from .arrow import arrow_schema, batch_of, small, spark_schema
 from .url_templates import host_of
 
 _MARKUP = re.compile(
@@ -197,7 +197,7 @@ _TOKENS = arrow_schema(
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens of each page: its tags with the text below them, and its blocks of text."""
-    for batch in batches:
+    for batch in small(batches):
         rows = []
         for host, page_hash, html in zip(
             batch["host"].to_pylist(), batch["page"].to_pylist(), batch["html"].to_pylist(),
@@ -292,7 +292,7 @@ _TEXTS = arrow_schema(page_id="int64", url="string", text="string")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         columns = [batch[n].to_pylist() for n in ("page_id", "url", "html", "tags", "texts")]
         yield batch_of(
             [(p, u, main_text(h, tags, texts)) for p, u, h, tags, texts in zip(*columns, strict=True)],
