@@ -33,10 +33,10 @@ class SearchSettings:
     per radius, or when ``verified`` of the block, at least ``k``, has been verified."""
 
     lines: int = 48
-    threshold: float = 0.58
+    threshold: float = 0.56
     width: float = 1.0
     ratio: float = 1.25
-    verified: float = 0.25
+    verified: float = 0.35
     block: int = 16384
     query_block: int = 512
     seed: int = 7
