@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import pin
 from .arrow import arrow_schema, batch_of, small, spark_schema
 from .url_templates import host_of
 
@@ -314,8 +315,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
         host_of(F.col("url")).alias("host"),
     )
     named = narrow.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html")
+    # Written first, so that the join stands between two tables: a short list of hosts is sent to
+    # the pages, and the pages of a hot host can be split among tasks.
+    templates = pin(host_templates(named), "templates")
     return (
-        narrow.join(host_templates(named), "host", "left")
+        narrow.join(templates, "host", "left")
         .select("page_id", "url", "html", "tags", "texts")
         .mapInArrow(_extract, spark_schema(_TEXTS))
     )
