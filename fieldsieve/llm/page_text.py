@@ -37,17 +37,24 @@ _MARKUP = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none")
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?"
+)
+_HIDDEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
 # Elements of HTML by their role.
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe svg annotation object".split())
+# Of these a missing end tag makes the rest of the page theirs, as in a browser.
+RAW_TO_THE_END = frozenset("script style textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "s samp small span strike strong sub sup time tt u var wbr "
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom "
+    "menclose mfenced msub msup msubsup munder mover munderover mmultiscripts mprescripts none "
+    "mtable mtr mlabeledtr mtd maction".split()
 )
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -66,6 +73,8 @@ ASIDE_NAMES = frozenset(
     "pagination pager footer masthead comment comments commentlist disqus respond reply replies "
     "share sharing social related recommended widget login search complementary contentinfo".split()
 )
+# Words that may stand beside these in one name, as in "comment-list".
+BESIDE_ASIDE = frozenset("area bar block bottom box form item items links list section site top".split())
 
 
 @dataclass
@@ -74,6 +83,7 @@ class _Open:
     path: str
     aside: bool
     main: bool
+    named: bool = False  # inside an element that only its name marks as an aside
 
 
 @dataclass
@@ -84,6 +94,7 @@ class Block:
     main: bool
     link_chars: int
     above: tuple[str, ...]
+    doubtful: bool = False
 
 
 @dataclass
@@ -92,21 +103,31 @@ class Page:
     tags: Counter = field(default_factory=Counter)
 
 
-def _names(attributes: str) -> tuple[str, bool, str]:
-    """Sorted class and id words of a tag, whether they are an aside's, and its role."""
-    found = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(attributes)}
+def _is_aside_name(name: str) -> bool:
+    """Whether a whole class, id or role name is an aside's: "cookie-banner", not "has-sidebar"."""
+    words = set(_NAME.findall(name))
+    return not ASIDE_NAMES.isdisjoint(words) and words <= ASIDE_NAMES | BESIDE_ASIDE
+
+
+def _names(attributes: str) -> tuple[str, bool, bool, str]:
+    """Sorted class and id words of a tag, whether its names are an aside's, whether it is hidden,
+    and its role."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        found.setdefault(name.lower(), next(filter(None, values), ""))
     role = found.get("role", "").lower()
     label = f"{found.get('class', '')} {found.get('id', '')}".lower()
-    words = _NAME.findall(label)
-    aside = not ASIDE_NAMES.isdisjoint(words) or not ASIDE_NAMES.isdisjoint(_NAME.findall(role))
-    return ".".join(sorted(set(words))), aside or bool(_HIDDEN.search(attributes)), role
+    aside = any(map(_is_aside_name, f"{label} {role}".split()))
+    hidden = "hidden" in found or bool(_HIDDEN.search(found.get("style", "")))
+    return ".".join(sorted(set(_NAME.findall(label)))), aside, hidden, role
 
 
 def read_page(html: str) -> Page:
     """Blocks of text and tag paths of a page, in order; broken markup is read as far as it goes.
 
     Unclosed elements end with the element around them, end tags without a start are skipped, a
-    ``<`` that starts no tag is text.
+    ``<`` that starts no tag is text. An article or main inside an element that only its name marks
+    as an aside is the page's article if no other one holds text.
     """
     page, stack = Page(), [_Open("", "", False, False)]
     parts: list[str] = []
@@ -119,7 +140,12 @@ def read_page(html: str) -> Page:
         if text:
             top = stack[-1]
             above = tuple(o.path for o in stack[1:])
-            page.blocks.append(Block(top.path, text, top.aside, top.main, links, above))
+            page.blocks.append(
+                Block(
+                    top.path, text, top.aside or (top.named and not top.main), top.main, links,
+                    above, top.main and top.named,
+                )
+            )
         links = 0
 
     def in_link() -> bool:
@@ -155,8 +181,11 @@ def read_page(html: str) -> Page:
                 close({tag}, frozenset())
             continue
         if tag in RAW:
+            if tag == "svg" and attributes.endswith("/"):
+                continue
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            if end or tag in RAW_TO_THE_END:
+                at = end.end() if end else len(html)
             continue
         if tag not in INLINE:
             flush()
@@ -167,21 +196,33 @@ def read_page(html: str) -> Page:
             if tag == "br":
                 add(" ")
             continue
-        names, named_aside, role = _names(attributes) if attributes.strip(" /") else ("", False, "")
+        names, named_aside, hidden, role = (
+            _names(attributes) if attributes.strip(" /") else ("", False, False, "")
+        )
         top = stack[-1]
         is_main = tag in MAIN or role == "main"
-        aside = top.aside or tag in ASIDE
-        if not is_main and tag not in ("html", "body"):
-            aside = aside or named_aside or (tag == "header" and not top.main)
-        elif is_main and tag == "article":
-            aside = aside or not {"comment", "comments", "ad"}.isdisjoint(names.split("."))
+        aside = top.aside or tag in ASIDE or hidden
+        named = top.named
+        if is_main:
+            if tag == "article":
+                aside = aside or not {"comment", "comments", "ad"}.isdisjoint(names.split("."))
+        elif tag not in ("html", "body"):
+            aside = aside or (tag == "header" and not top.main)
+            if top.main:
+                aside = aside or named_aside
+            else:
+                named = named or named_aside
         path = f"{top.path}/{tag}" + (f".{names}" if names else "")
         if tag not in INLINE:
             page.tags[path] += 1
         if not attributes.endswith("/"):
-            stack.append(_Open(tag, path, aside, (top.main or is_main) and not aside))
+            stack.append(_Open(tag, path, aside, (top.main or is_main) and not aside, named))
     add(html[at:])
     flush()
+    sure = any(b.main and not b.doubtful for b in page.blocks)
+    for block in page.blocks:
+        if block.doubtful and sure:
+            block.aside, block.main = True, False
     return page
 
 

@@ -89,6 +89,19 @@ def test_article_of_a_page():
     assert page_text.main_text("<article><p>cut <scr") == "cut <scr"
 
 
+def test_article_text_is_not_taken_for_an_aside():
+    article = "<article><p>Whole article</p></article>"
+    for wrapper in ("class='page has-sidebar'", "id='no-comments'", "class='sidebar'", "class='ad-free'"):
+        assert page_text.main_text(f"<div {wrapper}>{article}<div class='cookie-banner'>We use</div></div>") == "Whole article"
+    assert page_text.main_text(f"{article}<div class='related'><article>Teaser</article></div>") == "Whole article"
+    assert page_text.main_text(f"{article}<div id='comments'><article>Nice</article></div>") == "Whole article"
+    shown = "<p title='the hidden door'>a</p><p class='md:block hidden lg'>b</p><p data-x='display:none'>c</p>"
+    assert page_text.main_text(f"<article>{shown}<p hidden>x</p><p style='color:red; display : none'>y</p>") == "a\n\nb\n\nc"
+    drawn = "<p>one <svg viewBox='0'/>two <math/>three <svg><text>no</text></svg>four</p><p>five <object>six</p>"
+    assert page_text.main_text(f"<article>{drawn}") == "one two three four\n\nfive six"
+    assert page_text.main_text("<article><p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then") == "if x=2 then"
+
+
 def test_template_finds_the_content_without_an_article(spark):
     def page(i):
         body = "".join(f"<p>Paragraph {i} {k} has its own words and more of them.</p>" for k in range(1 + i % 3))
