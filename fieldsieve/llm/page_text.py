@@ -1,18 +1,18 @@
 """Main text of web pages, by the template that the pages of one host share.
 
 First pass: every page is read into tokens, a tag with its path of open elements or a block of
-text with its path. A token's occurrence vector (how often it stands on each page of the host) is
-kept as one hash, combined over pages without order, so Spark aggregates it before the shuffle and
-a host with a third of all pages is no hot group. Tokens with the same vector form an equivalence
-class; a class is valid when it has several tokens and stands on at least half of the host's
-pages. The valid classes, nested by path, are the host's template, whose size is at most twice the
-average number of tokens of a page.
+text with its path. A token's occurrence vector (how
+often it stands on each page of the host) is kept as one hash, combined over pages without order, so
+Spark aggregates it before the shuffle and a host with a third of all pages is no hot group. Tokens
+with the same vector form an equivalence class; a class is valid when it has several tokens and
+stands on at least half of the host's pages. The valid classes, nested by path, are the host's
+template, whose size is at most twice the average number of tokens of a page.
 
 Second pass: the text between template tokens is what the slots hold. Slots inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by
-their element or name. Of the rest a page's article is kept; where a page marks none, the deepest
-template element that holds nearly all of the host's text is, without text that belongs to the
-template.
+their element or name. Of the rest the element that holds nearly all of the host's text is the
+content, an article or main before others; its text is kept without that of the template. Pages
+without the template fall back on the article or main they mark.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,100 +234,154 @@ def _token(path: str, text: str | None = None) -> bytes:
 
 
 _TOKENS = arrow_schema(
-    host="string", page="int64", token="binary", tag="string", n="int64", chars="int64"
+    host="string", page="int64", body="int64", size="int64",
+    tokens=pa.list_(
+        pa.struct(
+            {"token": pa.binary(), "path": pa.string(), "tag": pa.bool_(), "n": pa.int64(), "chars": pa.int64()}
+        )
+    ),
 )
 
 
+def _is_text(block: Block) -> bool:
+    """Whether a block counts as a page's own text: no aside and not mostly links."""
+    return not block.aside and 2 * block.link_chars <= len(block.text)
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of each page: its tags with the text below them, and its blocks of text."""
+    """One row per page: its tags with the text below them and its blocks of text, and a hash
+    (``body``) and the length (``size``) of the page's own text."""
+    row = TaskContext.get().partitionId() << 33
     for batch in small(batches):
         rows = []
-        for host, page_hash, html in zip(
-            batch["host"].to_pylist(), batch["page"].to_pylist(), batch["html"].to_pylist(),
-            strict=True,
-        ):
+        for host, html in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
             page = read_page(html)
-            below, texts = Counter(), Counter()
+            below, texts, chars = Counter(), {}, Counter()
+            body, size = blake2b(digest_size=8), 0
             for block in page.blocks:
-                if not block.aside:
+                token = _token(block.path, block.text)
+                texts[token] = (block.path, texts.get(token, ("", 0))[1] + 1)
+                if _is_text(block):
+                    own = len(block.text) - block.link_chars
                     for path in set(block.above):
-                        below[path] += len(block.text) - block.link_chars
-                texts[_token(block.path, block.text)] += 1
-            rows += [
-                (host, page_hash, _token(path), path, n, below[path])
-                for path, n in page.tags.items()
-            ]
-            rows += [(host, page_hash, token, None, n, 0) for token, n in texts.items()]
+                        below[path] += own
+                    chars[token] += own
+                    size += own
+                    body.update(_token("", block.text))
+            found = [(_token(path), path, True, n, below[path]) for path, n in page.tags.items()]
+            found += [(token, path, False, n, chars[token]) for token, (path, n) in texts.items()]
+            names = ("token", "path", "tag", "n", "chars")
+            named = [dict(zip(names, t, strict=True)) for t in found]
+            rows.append((host, row, int.from_bytes(body.digest(), "big", signed=True), size, named))
+            row += 1
         yield batch_of(rows, _TOKENS)
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """One row per host: its template as arrays ``tags`` (path, class, once, chars) and ``texts``.
+    """One row per host with a template: its content ``slot`` and its constant ``texts``.
 
-    ``pages`` has host, page (a hash that names the page) and html without nulls. A token is in
-    the template when its class is valid: two tokens or more with one occurrence vector, on at
-    least half of the host's pages and on three or more.
+    ``pages`` has host and html without nulls. A token is in the template when its class is valid:
+    two tokens or more with one occurrence vector, on at least half of the host's pages and on three
+    or more.
     """
-    tokens = pages.mapInArrow(_tokens, spark_schema(_TOKENS))
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    read = pin(pages.mapInArrow(_tokens, spark_schema(_TOKENS)), "page-tokens")
+    sizes = read.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     vectors = (
-        tokens.groupBy("host", "token")
+        read.select("host", "page", "size", F.explode("tokens").alias("t"))
+        .select("host", "page", "size", "t.*")
+        .groupBy("host", "token")
         .agg(
             F.count(F.lit(1)).alias("pages"),
             F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
             F.sum("n").alias("n"),
             F.sum("chars").alias("chars"),
-            F.first("tag", ignorenulls=True).alias("tag"),
+            F.sum("size").alias("size"),
+            F.first("path").alias("path"),
+            F.first("tag").alias("tag"),
         )
         .join(sizes, "host")
         .where((F.col("pages") >= 3) & (2 * F.col("pages") >= F.col("host_pages")))
     )
     # Half of the host's pages hold each of these tokens, so a host has at most twice as many as
     # its pages have on average: one row per host is bounded by its largest pages.
-    tag = F.struct(
-        F.col("tag").alias("path"),
-        (F.col("n") == F.col("pages")).alias("once"),
-        "chars",
-        F.hash("vector", "pages").alias("class"),
-    )
+    tag = F.struct("path", (F.col("n") == F.col("pages")).alias("once"), "chars")
+    text = F.struct("path", "token", "chars")
     in_class = vectors.groupBy("host", "vector", "pages").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.collect_list(F.when(F.col("tag").isNotNull(), tag)).alias("tags"),
-        F.collect_list(F.when(F.col("tag").isNull(), F.col("token"))).alias("texts"),
+        F.count(F.lit(1)).alias("tokens"),
+        F.coalesce(F.sum(F.when(~F.col("tag"), F.col("chars"))), F.lit(0)).alias("chars"),
+        F.max("size").alias("size"),
+        F.collect_list(F.when(F.col("tag"), tag)).alias("tags"),
+        F.collect_list(F.when(~F.col("tag"), text)).alias("texts"),
     )
     return (
-        in_class.where(F.col("size") >= 2)
+        in_class.where(F.col("tokens") >= 2)
+        .select("host", "tags", "texts")
         .groupBy("host")
         .agg(
             F.flatten(F.collect_list("tags")).alias("tags"),
             F.flatten(F.collect_list("texts")).alias("texts"),
         )
+        .mapInArrow(_slots, spark_schema(_TEMPLATES))
     )
 
 
-def content_slot(tags: list[dict]) -> str | None:
-    """The deepest template element, once on a page, that holds most of the host's text."""
-    once = [t for t in tags if t["once"]]
-    most = max((t["chars"] for t in once), default=0)
-    if not most:
+_TEMPLATES = arrow_schema(host="string", slot="string", texts=pa.list_(pa.binary()))
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small(batches):
+        rows = zip(*(batch[n].to_pylist() for n in ("host", "tags", "texts")), strict=True)
+        yield batch_of(
+            [
+                (host, content_slot(tags, texts), [t["token"] for t in texts])
+                for host, tags, texts in rows
+            ],
+            _TEMPLATES,
+        )
+
+
+def _is_labelled(path: str) -> bool:
+    """Whether an element of the path is an article or main."""
+    return any(part.partition(".")[0] in MAIN for part in path.split("/"))
+
+
+def content_slot(tags: list[dict], texts: list[dict]) -> str | None:
+    """The template element whose slots hold the article.
+
+    Elements of the valid classes nest by their paths, and what their slots hold is the text below
+    them without the template's. An article or main with at least half of it is the content, the
+    outermost if several are; else the deepest element, once on a page, with nearly all of it.
+    """
+    constant = Counter()
+    for text in texts:
+        parts = text["path"].split("/")
+        for i in range(2, len(parts) + 1):
+            constant["/".join(parts[:i])] += text["chars"]
+    held = {t["path"]: t["chars"] - constant[t["path"]] for t in tags}
+    once = [t["path"] for t in tags if t["once"]]
+    most = max((held[p] for p in once), default=0)
+    if most <= 0:
         return None
-    holding = [t["path"] for t in once if 10 * t["chars"] >= 8 * most]
-    return max(holding, key=lambda p: (p.count("/"), p))
+    labelled = [p for p in held if _is_labelled(p) and 2 * held[p] >= most]
+    if labelled:
+        return min(labelled, key=lambda p: (p.count("/"), p))
+    return max((p for p in once if 10 * held[p] >= 8 * most), key=lambda p: (p.count("/"), p))
 
 
-def main_text(html: str, tags: list[dict] | None = None, texts: list[bytes] | None = None) -> str:
-    """The main text of a page, given its host's template; blocks are joined by two line ends."""
+def main_text(html: str, slot: str | None = None, texts: list[bytes] | None = None) -> str:
+    """The main text of a page, given its host's content slot and template texts; blocks are joined by two line ends.
+
+    On a page that has the template's content slot that slot is read, without the template's texts.
+    Inside a slot that is no article or main itself, and on other pages, an article or main with at
+    least half of the text is.
+    """
     blocks = [b for b in read_page(html).blocks if not b.aside]
-    if any(b.main for b in blocks):
-        kept = [b for b in blocks if b.main]
-    else:
-        slot, known = content_slot(tags or []), set(texts or [])
-        inside = [b for b in blocks if slot and (b.path == slot or slot in b.above)]
-        kept = [
-            b
-            for b in inside or blocks
-            if 2 * b.link_chars <= len(b.text) and _token(b.path, b.text) not in known
-        ]
+    known = set(texts or [])
+    kept = [b for b in blocks if slot and (b.path == slot or slot in b.above)] or blocks
+    kept = [b for b in kept if _token(b.path, b.text) not in known]
+    main = [b for b in kept if b.main]
+    if 2 * sum(len(b.text) for b in main) >= sum(len(b.text) for b in kept if _is_text(b)):
+        kept = main or kept
     return "\n\n".join(b.text for b in kept)
 
 
@@ -335,9 +390,9 @@ _TEXTS = arrow_schema(page_id="int64", url="string", text="string")
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small(batches):
-        columns = [batch[n].to_pylist() for n in ("page_id", "url", "html", "tags", "texts")]
+        columns = [batch[n].to_pylist() for n in ("page_id", "url", "html", "slot", "texts")]
         yield batch_of(
-            [(p, u, main_text(h, tags, texts)) for p, u, h, tags, texts in zip(*columns, strict=True)],
+            [(p, u, main_text(h, slot, texts)) for p, u, h, slot, texts in zip(*columns, strict=True)],
             _TEXTS,
         )
 
@@ -355,12 +410,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("html"),
         host_of(F.col("url")).alias("host"),
     )
-    named = narrow.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html")
     # Written first, so that the join stands between two tables: a short list of hosts is sent to
     # the pages, and the pages of a hot host can be split among tasks.
-    templates = pin(host_templates(named), "templates")
+    templates = pin(host_templates(narrow.select("host", "html")), "templates")
     return (
         narrow.join(templates, "host", "left")
-        .select("page_id", "url", "html", "tags", "texts")
+        .select("page_id", "url", "html", "slot", "texts")
         .mapInArrow(_extract, spark_schema(_TEXTS))
     )

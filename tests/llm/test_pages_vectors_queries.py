@@ -118,6 +118,27 @@ def test_template_finds_the_content_without_an_article(spark):
         assert got[i] == "\n\n".join(wanted)
 
 
+def texts_of(spark, htmls):
+    rows = [(i, f"http://h.test/{i}", h) for i, h in enumerate(htmls)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in page_text.extract_text(pages).collect()}
+
+
+def test_template_decides_on_pages_with_an_article(spark):
+    def line(i):
+        return f"Page {i} tells of its own things in a sentence of some length, as others do."
+
+    inside = [
+        f"<body><article><h1>Title {i}</h1><p>{line(i)}</p><p>Follow us here</p><div class='z'>Read on tomorrow</div></article></body>"
+        for i in range(12)
+    ]
+    teaser = [f"<body><article><p>Card {i}</p></article><div class='text'><p>{line(i)}</p></div></body>" for i in range(12)]
+    got, cards = texts_of(spark, inside), texts_of(spark, teaser)
+    for i in range(12):
+        assert got[i] == f"Title {i}\n\n{line(i)}"
+        assert cards[i] == line(i)
+
+
 def test_page_edge_cases(spark):
     rows = [(1, None, None), (None, "http://a.test/", "<p>x</p>"), (2, "http://a.test/", ""), (2, "http://a.test/", "")]
     rows += [(3, "http://a.test/l", "<article>" + "<p>word</p>" * 5000)]
