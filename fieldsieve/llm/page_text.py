@@ -1,7 +1,7 @@
 """Main text of web pages, by the template that the pages of one host share.
 
 First pass: every page is read into tokens, a tag with its path of open elements or a block of
-text with its path. A token's occurrence vector (how
+text with its path. Pages whose own text is the same count once. A token's occurrence vector (how
 often it stands on each page of the host) is kept as one hash, combined over pages without order, so
 Spark aggregates it before the shuffle and a host with a third of all pages is no hot group. Tokens
 with the same vector form an equivalence class; a class is valid when it has several tokens and
@@ -280,14 +280,27 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_templates(pages: DataFrame) -> DataFrame:
     """One row per host with a template: its content ``slot`` and its constant ``texts``.
 
-    ``pages`` has host and html without nulls. A token is in the template when its class is valid:
-    two tokens or more with one occurrence vector, on at least half of the host's pages and on three
-    or more.
+    ``pages`` has host and html without nulls. Pages of a host whose own text is the same have one
+    vote, so an article that stands on many pages is no template. A token is in the template when
+    its class is valid: two tokens or more with one occurrence vector, on at least half of the
+    host's votes and on three or more. The texts of a class are template only where the pages
+    holding them have as much other text: copies of an article that differ in a line are none.
     """
     read = pin(pages.mapInArrow(_tokens, spark_schema(_TOKENS)), "page-tokens")
-    sizes = read.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    bodies = pin(
+        read.groupBy("host", "body").agg(
+            F.min("page").alias("first"), F.count(F.lit(1)).alias("copies")
+        ),
+        "page-bodies",
+    )
+    sizes = bodies.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    # Only the groups of copies are joined: a short list, or none.
+    repeated = bodies.where(F.col("copies") > 1).select("host", "body", "first")
+    votes = read.join(repeated, ["host", "body"], "left").where(
+        F.col("first").isNull() | (F.col("page") == F.col("first"))
+    )
     vectors = (
-        read.select("host", "page", "size", F.explode("tokens").alias("t"))
+        votes.select("host", "page", "size", F.explode("tokens").alias("t"))
         .select("host", "page", "size", "t.*")
         .groupBy("host", "token")
         .agg(
@@ -313,9 +326,10 @@ def host_templates(pages: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("tag"), tag)).alias("tags"),
         F.collect_list(F.when(~F.col("tag"), text)).alias("texts"),
     )
+    constant = F.filter("texts", lambda _: 2 * F.col("chars") <= F.col("size"))
     return (
         in_class.where(F.col("tokens") >= 2)
-        .select("host", "tags", "texts")
+        .select("host", "tags", constant.alias("texts"))
         .groupBy("host")
         .agg(
             F.flatten(F.collect_list("tags")).alias("tags"),

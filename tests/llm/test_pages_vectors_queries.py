@@ -139,6 +139,20 @@ def test_template_decides_on_pages_with_an_article(spark):
         assert cards[i] == line(i)
 
 
+def test_an_article_copied_over_half_of_a_host_stays(spark):
+    copied = "".join(f"<p>Paragraph {k} of the one article that many pages hold.</p>" for k in range(5))
+    for note in ("", "<p>Note {i}.</p>"):
+        htmls = [
+            f"<body><div class='top'>Welcome to you</div><div class='text'>{copied if i % 2 else f'<p>Text {i} has words of its own, and many more of them.</p>'}"
+            f"{note.format(i=i)}<p><a href='/'>a list of links {i}</a></p></div></body>"
+            for i in range(20)
+        ]
+        got = texts_of(spark, htmls)
+        for i in range(1, 20, 2):
+            assert got[i].count("of the one article") == 5 and "Welcome" not in got[i]
+            assert f"a list of links {i}" in got[i]
+
+
 def test_page_edge_cases(spark):
     rows = [(1, None, None), (None, "http://a.test/", "<p>x</p>"), (2, "http://a.test/", ""), (2, "http://a.test/", "")]
     rows += [(3, "http://a.test/l", "<article>" + "<p>word</p>" * 5000)]
