@@ -159,9 +159,12 @@ def nearest(
         kept = df.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector"))
         return kept.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
 
-    data, asked = clean(vectors), clean(queries)
-    n_blocks = max(1, math.ceil(data.count() / settings.block))
-    n_asked = max(1, math.ceil(asked.count() / settings.query_block))
+    every_row, every_query = clean(vectors), clean(queries)
+    # Repeats go before blocks are dealt: they would fill a block's places for its nearest.
+    data, asked = (df.dropDuplicates(["vec_id", "vector"]) for df in (every_row, every_query))
+    # Counted with repeats, without a shuffle: blocks are smaller at most.
+    n_blocks = max(1, math.ceil(every_row.count() / settings.block))
+    n_asked = max(1, math.ceil(every_query.count() / settings.query_block))
     dealt = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = data.withColumn("block", dealt(n_blocks, 1)).withColumn("asked", every(n_asked))

@@ -199,6 +199,14 @@ def test_vector_edge_cases(spark):
     assert ann.nearest(df, df.where("false"), 3).count() == 0
 
 
+def test_repeated_rows_take_no_place(spark):
+    near = [(1, [1.0, 0.01])] * 25
+    rows = [(0, [1.0, 0.0])] * 3 + near + [(i, [1.0, 0.1 * i]) for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = sorted(ann.nearest(df, df.where("vec_id = 0"), 10).collect(), key=lambda r: r["rank"])
+    assert [(r["rank"], r["vec_id"]) for r in got] == [(i, i) for i in range(1, 11)]
+
+
 # --- queries and pipeline -------------------------------------------------------------------------
 
 
