@@ -341,16 +341,9 @@ def _verified(
     return pin(close.join(left, "a").join(right, "b").where(similar).select("a", "b"), "links")
 
 
-def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``found_links`` and ``component_id`` of every row.
-
-    Words are the runs of characters other than blank, tab, line feed, vertical tab, form feed and
-    return, with A–Z lower-cased. ``found_links`` counts the verified links of the row's class of equal
-    sets to others; links inside a component that is already joined are not looked for. ``component_id`` is the smallest doc_id reachable by links; a text that
-    is null or has no words has no tokens and is linked with nothing, not even its copies. Null ids
-    stay null and never name a component that has other ids; rows that repeat an id are each
-    judged by their own text. Other columns are not read; no rows give no rows.
-    """
+def _indexed(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The documents' ids and texts, their sets, the classes of equal sets, and the keys that
+    several classes share, with each of the classes and the smallest (``hub``)."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cells = frequent_cells(narrow, s.words)
     rows = pin(narrow.mapInArrow(_keyed_sets(cells, s), spark_schema(_SETS)), "sets")
@@ -369,6 +362,21 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
     keyed = first_rows.select(F.explode("keys").alias("key"), "class")
     held = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.min("class").alias("hub"))
     shared = pin(keyed.join(held.where(F.col("classes") > 1).select("key", "hub"), "key"), "shared")
+    return narrow, rows, classes, shared
+
+
+def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``found_links`` and ``component_id`` of every row.
+
+    Words are the runs of characters other than blank, tab, line feed, vertical tab, form feed and
+    return, with A–Z lower-cased. ``found_links`` counts the verified links of the row's class of equal
+    sets to others; links inside a component that is already joined are not looked for. ``component_id`` is the smallest doc_id reachable by links; a text that
+    is null or has no words has no tokens and is linked with nothing, not even its copies. Null ids
+    stay null and never name a component that has other ids; rows that repeat an id are each
+    judged by their own text. Other columns are not read; no rows give no rows.
+    """
+    narrow, rows, classes, shared = _indexed(docs, s)
+    name = ["name0", "name1", "n"]
 
     described = classes.select("class", "n", *_SKETCH)
     a, b = described.alias("x"), described.alias("y")
@@ -415,3 +423,65 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
         F.coalesce("n_links", F.lit(0)).cast("long").alias("found_links"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+#: Classes of one key that a task holds against as many others.
+KEY_PART = 512
+
+
+def similar_links(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
+    """The whole join: ``doc_id``, ``n_shingles`` and, per row, its links.
+
+    ``linked_sets`` counts the classes of equal sets similar to the row's own and not equal to it,
+    ``linked_rows`` the rows in them, ``copies`` the further rows of its own class. Every pair of
+    classes that shares a key is held against sketches and, if these allow a link, verified, also
+    inside a component; copies are counted by the sizes of classes, never paired. The pairs of a key
+    with many classes are dealt over cells of ``KEY_PART`` by ``KEY_PART`` classes. The output is one
+    row per document, but the work grows with the links, the square of a group of near copies. Nulls,
+    empty texts and repeated ids are treated as by ``similar_components``.
+    """
+    narrow, rows, classes, shared = _indexed(docs, s)
+    name = ["name0", "name1", "n"]
+    held = shared.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    parts = F.ceil(F.col("held") / KEY_PART).cast("int")
+    dealt = (
+        shared.select("key", "class")
+        .join(held, "key")
+        .withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .select(
+            "key", "class", "part", F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+        )
+        .join(classes.select("class", "n", *_SKETCH), "class")
+    )
+    x, y = dealt.alias("x"), dealt.alias("y")
+    pairs = (
+        x.join(
+            y,
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.low") == F.col("y.low"))
+            & (F.col("x.high") == F.col("y.high"))
+            & (F.col("x.class") < F.col("y.class"))
+            & ((F.col("x.low") == F.col("x.high")) | (F.col("x.part") != F.col("y.part")))
+            & s.may_link(F.col("x.n"), F.col("y.n"), _different("x", "y")),
+        )
+        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+        .distinct()
+    )
+    links = _verified(pairs, narrow, rows, classes, s)
+    sizes = rows.where(F.col("n") > 0).groupBy(*name).agg(F.count(F.lit(1)).alias("size"))
+    sized = classes.select(*name, "class").join(sizes, name)
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = (
+        both.join(sized.select(F.col("class").alias("b"), "size"), "b")
+        .groupBy(F.col("a").alias("class"))
+        .agg(F.count(F.lit(1)).alias("linked_sets"), F.sum("size").alias("linked_rows"))
+    )
+    counted = sized.join(linked, "class", "left").select(
+        *name, "linked_sets", "linked_rows", (F.col("size") - 1).alias("copies")
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return rows.select("doc_id", *name).join(counted, name, "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), zero("linked_sets"), zero("linked_rows"), zero("copies")
+    )

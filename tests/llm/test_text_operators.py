@@ -207,6 +207,27 @@ def test_components_of_paths_and_stars(spark):
     assert cc.components(df.where("false")).count() == 0
 
 
+def test_whole_join_counts_every_link(spark, edge, nothing, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "KEY_PART", 4)
+    rng, texts = random.Random(8), []
+    for _ in range(3):
+        base = sentence(rng, 60).split()
+        for k in range(14):
+            texts.append(" ".join(base[:-1] + [f"end{k % 9}"]) if k else " ".join(base))
+    texts += ["", None, "one two", sentence(rng, 40)]
+    s = Similarity(words=3, percent=90)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [frozenset(t.tolist()) for t in jaccard_join.token_sets(texts, 3)]
+    near = lambda a, b: a and b and a != b and 100 * len(a & b) >= 90 * len(a | b)
+    for r in jaccard_join.similar_links(docs, s).collect():
+        own = sets[r["doc_id"]]
+        wanted = [b for b in sets if near(own, b)]
+        assert (r["linked_rows"], r["linked_sets"]) == (len(wanted), len(set(wanted)))
+        assert r["copies"] == (sets.count(own) - 1 if own else 0)
+    assert jaccard_join.similar_links(edge, s).count() == edge.count()
+    assert jaccard_join.similar_links(nothing, s).count() == 0
+
+
 # --- classifiers --------------------------------------------------------------------------------
 
 
