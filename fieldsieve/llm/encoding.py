@@ -34,7 +34,7 @@ def _parts(text: str) -> list[str] | None:
     return parts if sum(map(len, parts)) == len(text) else None
 
 
-def _byte_alphabet() -> dict[int, str]:
+def byte_alphabet() -> dict[int, str]:
     """The printable character that stands for each byte: itself, or the next one from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in shown]
@@ -50,14 +50,11 @@ def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
 class _Pieces(dict):
     """Id bytes by piece, encoded when first asked for."""
 
-    def __init__(self, vocabulary: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
+    def __init__(self, tokenizer):
+        self._tokenizer = tokenizer
+        self._tokenizer.encode_special_tokens = True  # the added tokens are cut out before
         self._merge = self._tokenizer.model.tokenize
-        self._alphabet = _byte_alphabet()
+        self._alphabet = byte_alphabet()
 
     def __missing__(self, piece: str) -> bytes:
         if _PART.fullmatch(piece):
@@ -76,15 +73,32 @@ class _Pieces(dict):
 class TextEncoder:
     """Encodes texts to id bytes with one vocabulary file of the tokenizers library.
 
-    Strings of special tokens inside a text are ordinary text. None is an empty text.
+    None is an empty text. The strings of added tokens give their ids, as in the library, or with
+    ``plain`` are ordinary text. Added tokens that take in the white space or words about them are
+    not provided for.
     """
 
-    def __init__(self, vocabulary: str):
-        self._pieces = _Pieces(vocabulary)
+    def __init__(self, vocabulary: str, plain: bool = False):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(vocabulary)
+        added = tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens must stand for their own string only")
+        self._added = {} if plain else {t.content: struct.pack("<I", i) for i, t in added.items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self._added else None
+        self._pieces = _Pieces(tokenizer)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self._cut is None or not self._cut.search(text):
+            return self._ordinary(text)
+        return b"".join(self._added.get(t) or self._ordinary(t) for t in self._cut.split(text) if t)
+
+    def _ordinary(self, text: str) -> bytes:
         parts = _parts(text)
         if parts is None:
             parts = []
@@ -93,11 +107,12 @@ class TextEncoder:
         return b"".join(map(self._pieces.__getitem__, parts))
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
 
 
-def encoder(vocabulary: str) -> Callable[[str | None], bytes]:
+def encoder(vocabulary: str, plain: bool = False) -> Callable[[str | None], bytes]:
     """The worker's encoder for a vocabulary file; it lives as long as the worker."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = TextEncoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    key = vocabulary, plain
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TextEncoder(*key)
+    return _ENCODERS[key]

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    align,
     binpack,
     bitplanes,
     collision_ann,
     jaccard_join,
     labelled,
+    lexical_search,
     mixing,
     page_text,
+    pieces,
     quality,
     simhash,
     toxicity,
@@ -256,3 +259,50 @@ def mixture(docs: DataFrame) -> DataFrame:
 def op3_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document is taken to meet the mixture's weights."""
     return mixture(table(spark, folder, "documents"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's aligned tokens under two vocabularies, and how common their pairs are."""
+    docs = table(spark, folder, "documents")
+    found = align.align_documents(docs, public_vocabulary(), pieces.public_model(), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query()
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's piece ids and the text they decode to, as checksums."""
+    return pieces.encode_documents(table(spark, folder, "documents"), pieces.public_model(), digests=True)
+
+
+_TERMS_SQL = r"""list_filter(regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')"""
+
+SEARCH_SQL = f"""WITH docs AS (
+  SELECT doc_id, terms, len(terms) AS n FROM (SELECT doc_id, {_TERMS_SQL} AS terms FROM documents)
+  WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+held AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM docs)
+  GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, corpus GROUP BY term),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) //
+    (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term), corpus GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scores WHERE score > 0) WHERE rank <= 10"""
+
+
+@query(SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 documents that rank highest for each benchmark item."""
+    index = lexical_search.build_index(table(spark, folder, "documents"))
+    return lexical_search.search(index, table(spark, folder, "benchmark"), k=10)
