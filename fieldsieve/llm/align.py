@@ -1,8 +1,8 @@
 """Alignment of two tokenizers' tokens, and how common each linked pair of ids is in the corpus.
 
 A byte-level vocabulary (A) and a merge-type piece vocabulary (B) encode the same bytes. Offsets
-where tokens of both end cut a text into groups; the tokens of a group are linked. A first pass over
-the documents counts, task by task, in how many documents each linked id pair occurs. The distinct
+where tokens of both end cut a text into groups; the tokens of a group are linked. Every text is
+encoded once, and its ids are written. A first pass over the documents aligns them and counts, task by task, in how many documents each linked id pair occurs. The distinct
 pairs are dealt to shards by their A id, and each shard gets a minimal perfect hash of its pairs: a
 count is then a place in a dense vector. Partial counts become such vectors, which are added in a
 tree. The second pass aligns the documents again, sends each document's pairs to their shards, and
@@ -14,8 +14,6 @@ Shards and the groups dealt to tasks have fixed sizes; only their number grows w
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .arrow import arrow_schema, small, spark_schema
+from .arrow import arrow_schema, batch_of, small, spark_schema
 from .encoding import byte_alphabet, encoder
 from .perfect_hash import PerfectHash
-from .pieces import SPACE, vocabulary
+from .pieces import vocabulary
 
 #: Pairs of a shard, partial counts of a leaf of the tree, vectors added at once, and links of
 #: documents that one group looks up. They bound a task's memory.
@@ -38,128 +36,114 @@ FAN = 16
 GROUP_LINKS = 1 << 21
 #: Pairs that a task gathers before it counts them.
 GATHERED = 1 << 20
-CACHED_SEGMENTS = 300_000
-CACHED_LENGTH = 48
+#: Links up to which the tokens of a group are paired one by one.
+PAIRED_OUT = 1024
 
-_BORDER = re.compile(r"(?<=\S)(?= )")
 _NONE = np.zeros(0, dtype=np.int64)
 
 
-class Segment:
-    """The aligned tokens of a text part that both vocabularies treat by itself."""
-
-    __slots__ = ("groups", "n_a", "n_b", "n_groups", "pairs", "times")
-
-    def __init__(self, a: list[int], b: list[int], ends_a: np.ndarray, ends_b: np.ndarray, size_b: int):
-        borders = np.intersect1d(ends_a, ends_b)
-        cuts_a = np.searchsorted(ends_a, borders, side="right").tolist()
-        cuts_b = np.searchsorted(ends_b, borders, side="right").tolist()
-        links: Counter[int] = Counter()
-        shown = []
-        from_a = from_b = 0
-        for to_a, to_b in zip(cuts_a, cuts_b, strict=True):
-            own_a, own_b = a[from_a:to_a], b[from_b:to_b]
-            shown.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            # Equal ids of a long group are multiplied, not paired one by one.
-            of_b = Counter(own_b).items()
-            for x, times in Counter(own_a).items():
-                for y, more in of_b:
-                    links[x * size_b + y] += times * more
-            from_a, from_b = to_a, to_b
-        self.n_a, self.n_b, self.n_groups = len(a), len(b), len(borders)
-        self.groups = ";".join(shown)
-        self.pairs = np.fromiter(links, dtype=np.int64, count=len(links))
-        self.times = np.fromiter(links.values(), dtype=np.int64, count=len(links))
-
-
-class Aligner(dict):
-    """Segments by text part; None for a part whose tokens do not spell it."""
+class Vocabularies:
+    """The two vocabularies in a worker: encoding of whole texts, and the bytes of their tokens."""
 
     def __init__(self, byte_vocabulary: str, piece_model: str):
         from tokenizers import Tokenizer
 
-        self._ids_of = encoder(byte_vocabulary, plain=True)
-        self._pieces = vocabulary(piece_model)
-        self.size_b = len(self._pieces.bytes)
+        self._encode_a = encoder(byte_vocabulary, plain=True)
+        self._encode_b = vocabulary(piece_model).library.encode
         byte_of = {shown: b for b, shown in byte_alphabet().items()}
-        tokens = Tokenizer.from_file(byte_vocabulary).get_vocab(with_added_tokens=False)
-        self._bytes_a = {
-            i: bytes(byte_of[c] for c in token) for token, i in tokens.items() if set(token) <= byte_of.keys()
-        }
-
-    def __missing__(self, part: str) -> Segment | None:
-        found = self._aligned(part)
-        if len(part) <= CACHED_LENGTH:
-            if len(self) >= CACHED_SEGMENTS:
-                self.clear()
-            self[part] = found
+        tokens = Tokenizer.from_file(byte_vocabulary).get_vocab(with_added_tokens=True)
+        self._bytes_a = [b""] * (1 + max(tokens.values()))
+        for token, i in tokens.items():
+            if set(token) <= byte_of.keys():
+                self._bytes_a[i] = bytes(byte_of[c] for c in token)
+        self._bytes_b = vocabulary(piece_model).bytes
+        self.sizes_a = np.array(list(map(len, self._bytes_a)), dtype=np.int64)
+        self.sizes_b = np.array(list(map(len, self._bytes_b)), dtype=np.int64)
+        self.size_b = len(self._bytes_b)
+        # Ids as text with the mark that follows inside and at the end of a group's half.
+        self.shown_a = [np.array([f"{i}{m}" for i in range(len(self._bytes_a))], dtype=object) for m in ",|"]
+        self.shown_b = [np.array([f"{i}{m}" for i in range(self.size_b)], dtype=object) for m in ",;"]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both vocabularies; none for texts that are null, empty or not spelt by the tokens."""
+        found = []
+        for text, b in zip(texts, self._encode_b([t or "" for t in texts], num_threads=1), strict=True):
+            a = np.frombuffer(self._encode_a(" " + text), dtype="<u4") if text else _NONE
+            raw = (" " + text).encode() if text else b""
+            spelt = b"".join([self._bytes_a[i] for i in a.tolist()]), b"".join([self._bytes_b[i] for i in b])
+            found.append((a, np.array(b, dtype=np.int64)) if text and spelt == (raw, raw) else (_NONE, _NONE))
         return found
 
-    def _aligned(self, part: str) -> Segment | None:
-        a = np.frombuffer(self._ids_of(part), dtype="<u4").tolist()
-        # The piece vocabulary puts its own blank in front.
-        b = self._pieces.encode(part[1:]).tolist() if len(part) > 1 else self._lone_blank()
-        bytes_a = [self._bytes_a.get(i, b"") for i in a]
-        bytes_b = [self._pieces.bytes[i] for i in b]
-        raw = part.encode()
-        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-            return None
-        ends = [np.cumsum([len(t) for t in tokens]) for tokens in (bytes_a, bytes_b)]
-        return Segment(a, b, *ends, self.size_b)
-
-    def _lone_blank(self) -> list[int]:
-        return np.frombuffer(self._pieces[SPACE], dtype="<u4").tolist()
-
-    def align(self, text: str | None) -> Alignment:
-        """The alignment of a whole text; null and empty texts, and texts that the tokens do not
-        spell, have no tokens."""
-        if not text:
-            return Alignment([])
-        segments = []
-        for part in _BORDER.split(" " + text):
-            segment = self[part]
-            if segment is None:
-                return Alignment([])
-            segments.append(segment)
-        return Alignment(segments)
 
+_LOADED: dict[tuple[str, str], Vocabularies] = {}
 
-class Alignment:
-    def __init__(self, segments: list[Segment]):
-        self.n_a = sum(s.n_a for s in segments)
-        self.n_b = sum(s.n_b for s in segments)
-        self.n_groups = sum(s.n_groups for s in segments)
-        self._segments = segments
 
-    def groups(self) -> str:
-        """Ids of A and B by group: ``a1,a2|b1;a3|b2``."""
-        return ";".join(s.groups for s in self._segments)
+def vocabularies(byte_vocabulary: str, piece_model: str) -> Vocabularies:
+    """The worker's pair of vocabularies; it lives as long as the worker."""
+    key = byte_vocabulary, piece_model
+    if key not in _LOADED:
+        _LOADED[key] = Vocabularies(*key)
+    return _LOADED[key]
 
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct linked id pairs as numbers, in order, and how often each is linked."""
-        if not self._segments:
-            return _NONE, _NONE
-        repeated = Counter(self._segments)
-        pairs, place = np.unique(np.concatenate([s.pairs for s in repeated]), return_inverse=True)
-        times = np.concatenate([s.times * n for s, n in repeated.items()])
-        added = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(added, place, times)
-        return pairs, added
 
+class Alignment:
+    """The ids of both vocabularies, and how many of each lie before the end of each group."""
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+    def __init__(self, own: Vocabularies, a: np.ndarray, b: np.ndarray):
+        self._own = own
+        self.a, self.b = a.astype(np.int64), b.astype(np.int64)
+        ends_a, ends_b = np.cumsum(own.sizes_a[self.a]), np.cumsum(own.sizes_b[self.b])
+        borders = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self._cuts_a = np.searchsorted(ends_a, borders, side="right")
+        self._cuts_b = np.searchsorted(ends_b, borders, side="right")
 
+    @property
+    def n_groups(self) -> int:
+        return len(self._cuts_a)
 
-def aligner(byte_vocabulary: str, piece_model: str) -> Aligner:
-    """The worker's aligner for two vocabulary files."""
-    key = byte_vocabulary, piece_model
-    if key not in _ALIGNERS:
-        _ALIGNERS[key] = Aligner(*key)
-    return _ALIGNERS[key]
+    def groups(self) -> str:
+        """Ids of A and B by group: ``a1,a2|b1;a3|b2``."""
+        n_a, n_b = np.diff(self._cuts_a, prepend=0), np.diff(self._cuts_b, prepend=0)
+        place_a = np.arange(len(self.a)) + np.repeat(self._cuts_b - n_b, n_a)
+        place_b = np.arange(len(self.b)) + np.repeat(self._cuts_a, n_b)
+        last_a, last_b = self._cuts_a - 1, self._cuts_b - 1
+        parts = np.empty(len(self.a) + len(self.b), dtype=object)
+        parts[place_a], parts[place_b] = self._own.shown_a[0][self.a], self._own.shown_b[0][self.b]
+        parts[place_a[last_a]] = self._own.shown_a[1][self.a[last_a]]
+        parts[place_b[last_b]] = self._own.shown_b[1][self.b[last_b]]
+        return "".join(parts.tolist())[:-1]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct linked id pairs as numbers, in order, and how often each is linked.
+
+        Small groups are paired out; equal ids of a large group are multiplied, not paired one by one.
+        """
+        size_b = self._own.size_b
+        n_a, n_b = np.diff(self._cuts_a, prepend=0), np.diff(self._cuts_b, prepend=0)
+        start_a, start_b = self._cuts_a - n_a, self._cuts_b - n_b
+        large = np.flatnonzero(n_a * n_b > PAIRED_OUT)
+        partners = n_b.copy()
+        partners[large] = 0
+        each = np.repeat(partners, n_a)
+        before = np.cumsum(each) - each
+        place = np.arange(int(each.sum())) + np.repeat(np.repeat(start_b, n_a) - before, each)
+        pairs = [np.repeat(self.a, each) * size_b + self.b[place]]
+        times = [np.ones(len(place), dtype=np.int64)]
+        for g in large.tolist():
+            x, times_x = np.unique(self.a[start_a[g] : self._cuts_a[g]], return_counts=True)
+            y, times_y = np.unique(self.b[start_b[g] : self._cuts_b[g]], return_counts=True)
+            pairs.append((x[:, None] * size_b + y).ravel())
+            times.append((times_x[:, None] * times_y).ravel())
+        every, times = np.concatenate(pairs), np.concatenate(times)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        starts = np.flatnonzero(np.diff(every, prepend=-1))
+        return every[starts], np.add.reduceat(times[order], starts) if len(starts) else times
 
 
 # --- first pass: counts ------------------------------------------------------------------------
 
+_ENCODED = arrow_schema(doc_id="int64", text_md5="binary", a="binary", b="binary")
 _PARTIAL = arrow_schema(pair="int64", n="int64", task="int64")
 _INDEX = arrow_schema(shard="int64", hash="binary", pairs="binary")
 _VECTOR = arrow_schema(shard="int64", branch="int64", counts="binary")
@@ -180,7 +164,24 @@ def _numbers(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, dtype=_WIDTHS[raw[0]], offset=1).astype(np.int64)
 
 
-def partial_counts(docs: DataFrame, byte_vocabulary: str, piece_model: str) -> DataFrame:
+def encoded(docs: DataFrame, byte_vocabulary: str, piece_model: str) -> DataFrame:
+    """``doc_id``, ``text_md5`` and the ids ``a`` and ``b`` of every row, written once."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = vocabularies(byte_vocabulary, piece_model)
+        for batch in small(batches):
+            ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
+            names = [hashlib.md5((text or "").encode()).digest() for text in texts]
+            yield batch_of(
+                [(i, name, _raw(a), _raw(b)) for i, name, (a, b) in zip(ids, names, own.encode(texts), strict=True)],
+                _ENCODED,
+            )
+
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return pin(narrow.mapInArrow(encode, spark_schema(_ENCODED)), "two-encodings")
+
+
+def partial_counts(ids: DataFrame, byte_vocabulary: str, piece_model: str) -> DataFrame:
     """``pair``, ``n``, ``task``: in how many documents of a stretch of rows a pair is linked."""
 
     def counted(gathered: list[np.ndarray]) -> pa.RecordBatch:
@@ -189,18 +190,18 @@ def partial_counts(docs: DataFrame, byte_vocabulary: str, piece_model: str) -> D
         return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n), pa.array(task)], schema=_PARTIAL)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(byte_vocabulary, piece_model)
+        own = vocabularies(byte_vocabulary, piece_model)
         gathered, size = [], 0
-        for batch in small(batches):
-            for text in batch["text"].to_pylist():
-                gathered.append(own.align(text).links()[0])
+        for batch in batches:
+            for a, b in zip(batch["a"], batch["b"], strict=True):
+                gathered.append(Alignment(own, _numbers(a.as_py()), _numbers(b.as_py())).links()[0])
                 size += len(gathered[-1])
                 if size >= GATHERED:
                     yield counted(gathered)
                     gathered, size = [], 0
         yield counted(gathered)
 
-    return docs.select("text").mapInArrow(count, spark_schema(_PARTIAL))
+    return ids.select("a", "b").mapInArrow(count, spark_schema(_PARTIAL))
 
 
 def _indexed_shard(rows: pa.Table) -> pa.Table:
@@ -273,33 +274,31 @@ _LOOKED_UP = arrow_schema(
 )
 
 
-def _links(docs: DataFrame, byte_vocabulary: str, piece_model: str, shards: int, digest: bool) -> DataFrame:
+def _links(ids: DataFrame, byte_vocabulary: str, piece_model: str, shards: int, digest: bool) -> DataFrame:
     """One row per document and shard with its links, or one without links in the first shard."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(byte_vocabulary, piece_model)
+        own = vocabularies(byte_vocabulary, piece_model)
         for batch in small(batches):
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                found = own.align(text)
+            for doc_id, name, a, b in zip(*(batch[c].to_pylist() for c in _ENCODED.names), strict=True):
+                found = Alignment(own, _numbers(a), _numbers(b))
                 pairs, times = found.links()
                 groups = found.groups()
-                if digest and found.n_a:
+                if digest and groups:
                     groups = hashlib.sha256(groups.encode()).hexdigest()
-                name = hashlib.md5((text or "").encode()).digest()
-                figures = (found.n_a, found.n_b, found.n_groups, int(times.sum()), groups)
+                whole = (1, len(found.a), len(found.b), found.n_groups, int(times.sum()), groups)
                 of = pairs // own.size_b % shards
                 for k, shard in enumerate(np.unique(of).tolist() or [0]):
                     here = of == shard
-                    whole = (1, *figures) if k == 0 else (0, None, None, None, None, None)
-                    rows.append((doc_id, name, shard, *whole, _raw(pairs[here]), _raw(times[here])))
+                    figures = whole if k == 0 else (0, *[None] * 5)
+                    rows.append((doc_id, name, shard, *figures, _raw(pairs[here]), _raw(times[here])))
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(_LINKS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(columns, _LINKS, strict=True)], schema=_LINKS
             )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(align, spark_schema(_LINKS))
+    return ids.mapInArrow(align, spark_schema(_LINKS))
 
 
 def _looked_up(size_b: int):
@@ -344,11 +343,12 @@ def align_documents(
     not read; no rows give no rows.
     """
     size_b = len(vocabulary(piece_model).bytes)
-    partial = partial_counts(docs, byte_vocabulary, piece_model)
+    ids = encoded(docs, byte_vocabulary, piece_model)
+    partial = partial_counts(ids, byte_vocabulary, piece_model)
     # A pair's count is also the number of documents that will ask for it.
     table, shards, asked = pair_table(partial, size_b)
     branches = max(1, -(-asked // (shards * GROUP_LINKS)))
-    links = _links(docs, byte_vocabulary, piece_model, shards, digest)
+    links = _links(ids, byte_vocabulary, piece_model, shards, digest)
     links = links.withColumn("branch", F.pmod(F.xxhash64("doc_id", "text_md5"), F.lit(branches)))
     found = (
         _spread(table, branches)

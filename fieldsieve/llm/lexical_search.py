@@ -20,7 +20,6 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -121,9 +120,16 @@ class _Shard:
         ordinal = np.array(self.ordinal, dtype=np.int64)[order]
         tf = np.array(self.tf, dtype=np.int64)[order]
         cuts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(self.numbers)))]).tolist()
-        for word, number in self.numbers.items():
-            start, end = cuts[number], cuts[number + 1]
-            yield (shard, word, end - start, 0, *_blocks(ordinal[start:end], tf[start:end], lengths))
+        # Most terms have one block, which is kept as it is: a slice of these pairs.
+        pairs = np.column_stack([ordinal, tf]).astype("<u4").tobytes()
+        for word, start, end in zip(self.numbers, cuts, cuts[1:], strict=True):
+            if end - start <= BLOCK:
+                yield (shard, word, end - start, 0, *_NO_BLOCKS, pairs[8 * start : 8 * end])
+            else:
+                yield (shard, word, end - start, 0, *_blocks(ordinal[start:end], tf[start:end], lengths))
+
+
+_NO_BLOCKS = (None,) * 6
 
 
 def _blocks(ordinal: np.ndarray, tf: np.ndarray, lengths: np.ndarray) -> tuple[bytes, ...]:
@@ -180,24 +186,17 @@ def build_index(docs: DataFrame) -> DataFrame:
 # --- search ------------------------------------------------------------------------------------
 
 
-@dataclass
 class Corpus:
     """What a shard's lists share: the statistics of the corpus and the shard's documents."""
 
-    denominator: np.ndarray
-    doc_ids: np.ndarray
-
-    @classmethod
-    def of(cls, documents: dict, n_docs: int, n_terms: int) -> Corpus:
-        lengths = _wide(documents["postings"])
-        known = np.frombuffer(documents["first"], dtype=bool)
-        ids = np.frombuffer(documents["last"], dtype="<i8")
-        # Ranked by id, rows without one last.
-        rank = np.empty(len(ids), dtype=np.int64)
-        rank[np.lexsort((ids, ~known))] = np.arange(len(ids))
-        made = cls(_shares(lengths, n_docs, n_terms), rank)
-        made.known, made.ids, made.n_docs, made.n_terms = known, ids, n_docs, n_terms
-        return made
+    def __init__(self, documents: dict, n_docs: int, n_terms: int):
+        self.n_docs, self.n_terms = n_docs, n_terms
+        self.shares = _shares(_wide(documents["postings"]), n_docs, n_terms)
+        self.known = np.frombuffer(documents["first"], dtype=bool)
+        self.ids = np.frombuffer(documents["last"], dtype="<i8")
+        # By id, documents without one last.
+        self.rank = np.empty(len(self.ids), dtype=np.int64)
+        self.rank[np.lexsort((self.ids, ~self.known))] = np.arange(len(self.ids))
 
 
 def _shares(lengths: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
@@ -213,15 +212,20 @@ class PostingList:
     """A term's blocks in one shard; blocks are unpacked when first needed."""
 
     def __init__(self, row: dict, corpus: Corpus):
-        self.first, self.last = _wide(row["first"]), _wide(row["last"])
-        self._at, self._raw, self._df = _wide(row["at"]), row["postings"], row["df"]
-        shares = _shares(_wide(row["outline_n"]), corpus.n_docs, corpus.n_terms)
-        outlined = _impacts(_wide(row["outline_tf"]), shares)
-        self.peaks = np.maximum.reduceat(outlined, _wide(row["outline_at"]))
+        self._raw, self._df, self._shares = row["postings"], row["df"], corpus.shares
+        self._unpacked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        if row["at"] is None:  # a single block, not packed
+            found, tf = np.frombuffer(self._raw, dtype="<u4").astype(np.int64).reshape(-1, 2).T
+            self._unpacked[0] = found, _impacts(tf, self._shares[found])
+            self.first, self.last = found[:1], found[-1:]
+            self.peaks = self._unpacked[0][1].max(keepdims=True)
+        else:
+            self.first, self.last, self._at = _wide(row["first"]), _wide(row["last"]), _wide(row["at"])
+            shares = _shares(_wide(row["outline_n"]), corpus.n_docs, corpus.n_terms)
+            outlined = _impacts(_wide(row["outline_tf"]), shares)
+            self.peaks = np.maximum.reduceat(outlined, _wide(row["outline_at"]))
         self.peak = int(self.peaks.max())
         self.weight = term_weight(corpus.n_docs, row["total_df"])
-        self._shares = corpus.denominator
-        self._unpacked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     @property
     def unpacked(self) -> int:
@@ -326,7 +330,7 @@ def _search_shard(n_docs: int, n_terms: int, k: int):
     def search(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         documents = [r for r in rows if r["term"] is None]
-        corpus = Corpus.of(documents[0], n_docs, n_terms)
+        corpus = Corpus(documents[0], n_docs, n_terms)
         items: dict[tuple, list] = {}
         for row in rows:
             if row["term"] is not None:
@@ -335,7 +339,7 @@ def _search_shard(n_docs: int, n_terms: int, k: int):
                     items.setdefault((item["item"], item["item_id"]), []).append((postings, item["times"]))
         found = []
         for (item, item_id), terms in items.items():
-            top, scores = best_documents(terms, len(corpus.doc_ids), corpus.doc_ids, k)
+            top, scores = best_documents(terms, len(corpus.ids), corpus.rank, k)
             for at, score in zip(top.tolist(), scores.tolist(), strict=True):
                 doc_id = int(corpus.ids[at]) if corpus.known[at] else None
                 found.append((item, item_id, doc_id, score))

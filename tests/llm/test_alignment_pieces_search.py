@@ -39,7 +39,7 @@ def sha256(text):
 def test_pieces_are_the_librarys(text):
     ids = OWN.encode(text)
     assert ids.tolist() == LIBRARY.encode(text)
-    assert OWN.decode(ids) == LIBRARY.decode(ids.tolist())
+    assert OWN.decode(ids.tolist()) == LIBRARY.decode(ids.tolist())
 
 
 @pytest.mark.parametrize("text", ["thein" * 30_000, " " * 5_001, "日本語" * 20_000, "", " ", "<s></s><unk>"])
@@ -48,15 +48,30 @@ def test_long_and_empty_texts(text):
 
 
 def test_bytes_that_are_no_character_are_replaced():
-    ids = np.array([LIBRARY.piece_to_id("▁a"), LIBRARY.piece_to_id("<0xE6>"), LIBRARY.piece_to_id("b")])
-    assert OWN.decode(ids) == LIBRARY.decode(ids.tolist()) == "a�b"
+    ids = [LIBRARY.piece_to_id("▁a"), LIBRARY.piece_to_id("<0xE6>"), LIBRARY.piece_to_id("b")]
+    assert OWN.decode(ids) == LIBRARY.decode(ids) == "a�b"
+
+
+def test_words_are_held_against_the_library():
+    own = pieces.MergeVocabulary(MODEL)
+    own.encode("some words, and  some more")
+    own.confirm()
+    assert own.unlike == set()
+    own._pairs.order.clear()
+    own.encode("others")
+    own.confirm()
+    assert own.unlike == {"▁others"}
 
 
 def test_joins_take_the_best_score_then_the_left():
-    scores = {"ab": 1.0, "bc": 2.0, "aa": 0.0}
-    assert pieces.merged(list("abc"), scores) == ["a", "bc"]
-    assert pieces.merged(list("aaa"), scores) == ["aa", "a"]
-    assert pieces.merged([], scores) == []
+    scores = {"a": 0.0, "b": 0.0, "c": 0.0, "ab": 1.0, "bc": 2.0, "aa": 0.0}
+    numbers = {piece: i for i, piece in enumerate(scores)}
+    pairs = pieces.Pairs(scores, numbers, len(numbers))
+
+    def merged(text):
+        return [list(scores)[i] for i in pairs.merge([numbers[c] for c in text])]
+
+    assert merged("abc") == ["a", "bc"] and merged("aaa") == ["aa", "a"] and merged("") == []
 
 
 def test_forgotten_words_change_nothing(monkeypatch):
@@ -166,10 +181,20 @@ def in_order(rows):
 @settings(max_examples=200, deadline=None)
 @given(ODD)
 def test_groups_of_a_text(text):
-    own = align.aligner(VOCABULARY, MODEL).align(text)
+    own = align.vocabularies(VOCABULARY, MODEL)
+    found = align.Alignment(own, *own.encode([text])[0])
     groups = brute_groups(text)
-    assert own.groups() == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-    assert int(own.links()[1].sum()) == sum(len(a) * len(b) for a, b in groups)
+    assert found.groups() == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+    links = Counter(x * own.size_b + y for a, b in groups for x in a for y in b)
+    assert dict(zip(*(c.tolist() for c in found.links()), strict=True)) == links
+
+
+def test_large_groups_are_multiplied(monkeypatch):
+    own = align.vocabularies(VOCABULARY, MODEL)
+    whole = align.Alignment(own, *own.encode(["strange worrrds thththeinein, " * 3])[0])
+    expected = [c.tolist() for c in whole.links()]
+    monkeypatch.setattr(align, "PAIRED_OUT", 1)
+    assert [c.tolist() for c in whole.links()] == expected
 
 
 def test_aligned_edge_cases(edge, nothing):
@@ -257,10 +282,10 @@ def test_blocks_are_rejected_unread():
         shard.add(i, lexical_search.terms_of(text))
     names = lexical_search._INDEX.names
     rows = [dict(zip(names, r, strict=True)) for r in shard.rows(0)]
-    corpus = lexical_search.Corpus.of(rows[0], 4096, sum(shard.lengths))
+    corpus = lexical_search.Corpus(rows[0], 4096, sum(shard.lengths))
     lists = {r["term"]: lexical_search.PostingList(r | {"total_df": r["df"]}, corpus) for r in rows[1:]}
     asked = [(lists["often"], 1), (lists["rare"], 1)]
-    top, scores = lexical_search.best_documents(asked, 4096, corpus.doc_ids, 10)
+    top, scores = lexical_search.best_documents(asked, 4096, corpus.rank, 10)
     expected = brute_search(docs, [(0, "often rare")], 10)
     assert list(zip(top.tolist(), scores.tolist(), strict=True)) == [(r[2], r[3]) for r in expected]
     assert lists["often"].unpacked < len(lists["often"].peaks)

@@ -14,7 +14,6 @@ from fieldsieve.llm.encoding import TextEncoder, public_vocabulary
 
 VOCABULARY = public_vocabulary()
 PLAIN = Tokenizer.from_file(VOCABULARY)
-PLAIN.encode_special_tokens = True
 ENCODER = TextEncoder(VOCABULARY)
 
 
@@ -32,6 +31,14 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     assert numbers(ENCODER(text)) == ids_of(text)
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> \n", "<|endoftext"])
+def test_added_tokens_are_the_librarys(text):
+    assert numbers(ENCODER(text)) == ids_of(text)
+    plain = Tokenizer.from_file(VOCABULARY)
+    plain.encode_special_tokens = True
+    assert numbers(TextEncoder(VOCABULARY, plain=True)(text)) == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr("fieldsieve.llm.encoding.CACHED_PIECES", 3)
     small = TextEncoder(VOCABULARY)
