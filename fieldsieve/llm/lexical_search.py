@@ -20,6 +20,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -122,7 +123,7 @@ class _Shard:
         cuts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(self.numbers)))]).tolist()
         # Most terms have one block, which is kept as it is: a slice of these pairs.
         pairs = np.column_stack([ordinal, tf]).astype("<u4").tobytes()
-        for word, start, end in zip(self.numbers, cuts, cuts[1:], strict=True):
+        for word, (start, end) in zip(self.numbers, pairwise(cuts), strict=True):
             if end - start <= BLOCK:
                 yield (shard, word, end - start, 0, *_NO_BLOCKS, pairs[8 * start : 8 * end])
             else:
