@@ -116,6 +116,18 @@ def positional_select(spark, folder):
     return joins.keep_positions(docs, wanted, ["doc_id"])
 
 
+@query("""WITH r AS (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY md5('8:' || n_chars), n_chars) AS rank,
+  count(*) OVER (PARTITION BY lang) AS n FROM documents)
+SELECT lang, n_chars, count(*) AS n_rows, count(*) FILTER (WHERE rank <= (n * 9 + 9) // 10) AS n_train FROM r GROUP BY 1, 2""")
+def stratified_split_repeats(spark, folder):
+    """A split whose key, the length of a text, repeats: every row is placed once."""
+    docs = table(spark, folder, "documents").select("n_chars", "lang")
+    split = classify.stratified_split(docs, "n_chars", "lang")
+    return split.groupBy("lang", "n_chars").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("is_train").alias("n_train")
+    )
+
+
 @query("""WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality
   ORDER BY md5('8:' || doc_id), doc_id) AS rank, count(*) OVER (PARTITION BY quality) AS n FROM labels)
 SELECT doc_id, quality, rank <= (n * 9 + 9) // 10 AS is_train FROM r""")
@@ -180,7 +192,7 @@ def classification_report(spark, folder):
     return report.select("class", *ratios, "support")
 
 
-@query("""SELECT CAST(day(ts) AS INTEGER) AS epoch, count(*) AS n_steps,
+@query("""SELECT CAST(day(ts) AS INTEGER) AS epoch, count(value) AS n_steps,
   round(avg(value), 6) AS mean_loss,
   arg_max(user_id, event_id) AS last_rate,
   round(exp(avg(value) / 100), 6) AS exp_loss

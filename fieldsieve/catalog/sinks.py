@@ -44,6 +44,19 @@ def compact_files(spark, folder):
     return spark.read.parquet(merged).select("page_id", "url")
 
 
+@query(f"SELECT page_id % 2 AS part, page_id, url FROM pages WHERE {ANY}")
+def compact_dumps(spark, folder):
+    """Two dumps whose files bear the same names, merged into one output by two calls."""
+    merged = scratch_path(spark, "merged-dumps")
+    keep = kw.contains_any(F.col("url"), PAGE_KEYWORDS)
+    pages = table(spark, folder, "pages").select((F.col("page_id") % 2).alias("part"), "page_id", "url")
+    for part in (0, 1):
+        dump = scratch_path(spark, f"dump-{part}")
+        pages.where(F.col("part") == part).coalesce(1).write.parquet(dump)
+        tb.compact_files(spark.read.schema(pages.schema).parquet(dump), keep, 3, merged)
+    return spark.read.parquet(merged).select("part", "page_id", "url")
+
+
 @query(f"WITH {CRAWL} SELECT dump AS name, count(*) FILTER (WHERE {ANY}) AS rows FROM crawl GROUP BY 1")
 def commit_manifest(spark, folder):
     """The dump folders filtered in two runs; the second finds nothing to do."""

@@ -23,19 +23,15 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_train``: per label, the first nine tenths (rounded up) in a seeded random order.
 
-    The order is numbered over hash slices, so a label with most of the rows is no hot spot.
+    The order is numbered over hash slices, so a label with most of the rows is no hot spot. Whole rows
+    are numbered: rows that repeat a key stay as many as they are, each with a place of its own.
     """
-    narrow = df.select(key, label)
-    ranked = number_by_hash(narrow, seed, [key], "_rank", by=[label])
-    counts = narrow.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = number_by_hash(df, seed, [key], "_rank", by=[label])
+    counts = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
     # Any number of labels: a join that Spark broadcasts only if the counts are small.
-    chosen = ranked.join(counts, F.col(label).eqNullSafe(F.col("_label"))).select(
-        F.col(key).alias("_key"),
-        (F.col("_rank") < whole_div(F.col("_n") * train_tenths + 9, 10)).alias("is_train"),
+    return ranked.join(counts, F.col(label).eqNullSafe(F.col("_label"))).select(
+        *df.columns, (F.col("_rank") < whole_div(F.col("_n") * train_tenths + 9, 10)).alias("is_train")
     )
-    if set(df.columns) == {key, label}:
-        return chosen.join(narrow, F.col(key).eqNullSafe(F.col("_key"))).select(*df.columns, "is_train")
-    return df.join(chosen, F.col(key).eqNullSafe(F.col("_key"))).select(*df.columns, "is_train")
 
 
 def embedding_pipeline(label: str = "label") -> Pipeline:

@@ -75,7 +75,8 @@ def route_to_mixture(
     """Send each global position to the sub-dataset that covers it, with its local position.
 
     A sub-dataset covers ``prev <= position < cutoff`` and the local position is
-    ``(position - prev) % count``; ``key`` names a position's row. Positions and beginnings of
+    ``(position - prev) % count``; ``key`` orders equal positions, and rows that repeat it stay as many
+    as they are, because the whole row goes with its position. Positions and beginnings of
     sub-datasets are merged in one order, cut into even slices: inside a slice the last beginning
     is carried forward, and a slice's first rows take the last beginning of the slices before it,
     one row per slice. No position meets more than one sub-dataset, however many there are and
@@ -86,12 +87,14 @@ def route_to_mixture(
         F.col("prev").cast("bigint").alias("_at"),
         F.lit(0).alias("_kind"),
         F.lit(None).cast(positions.schema[key].dataType).alias("_key"),
+        F.lit(None).cast(positions.schema).alias("_row"),
         part.alias("_part"),
     )
     asked = positions.select(
         F.col(position).cast("bigint").alias("_at"),
         F.lit(1).alias("_kind"),
         F.col(key).alias("_key"),
+        F.struct(*positions.columns).alias("_row"),
         F.lit(None).cast(begins.schema["_part"].dataType).alias("_part"),
     )
     merged = ordered_slices(begins.unionByName(asked), ["_at", "_kind", "_key"])
@@ -109,9 +112,9 @@ def route_to_mixture(
         .withColumn("_found", F.coalesce("_own", "_before"))
         .where(F.col("_at") < F.col("_found.cutoff"))
         .select(
-            F.col("_key").alias(key),
+            "_row.*",
             F.col("_found.part").alias("part"),
             ((F.col("_at") - F.col("_found.prev")) % F.col("_found.count")).alias("local_position"),
         )
     )
-    return positions.join(routed, key)
+    return routed

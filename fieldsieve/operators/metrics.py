@@ -113,7 +113,7 @@ def metric_log_rollup(
     return (
         log.groupBy(epoch)
         .agg(
-            F.count(F.lit(1)).alias("n_steps"),
+            F.count(loss).alias("n_steps"),
             F.avg(F.col(loss).cast("double")).alias("mean_loss"),
             F.max_by(rate, step).alias("last_rate"),
         )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ast
-import re
 from collections.abc import Mapping
 from functools import lru_cache
 
@@ -19,6 +18,7 @@ from ..functions.tables import CODE_POINTS, bounded_rows, literal_array
 from ..functions.text import characters
 from ..session import pin
 from .numbering import running_offsets
+from .trie import Trie
 
 END_OF_DOCUMENT = 0
 MAX_VOCABULARY = 65536
@@ -71,46 +71,46 @@ def read_vocabulary(lines: DataFrame) -> dict[bytes, int]:
 # --- encoding -----------------------------------------------------------------------------
 
 
-def _branches(tokens: list[bytes]) -> bytes:
-    """A byte pattern that matches the longest of ``tokens``, shared prefixes factored out."""
-    by_first: dict[int, list[bytes]] = {}
-    for token in tokens:
-        if token:
-            by_first.setdefault(token[0], []).append(token[1:])
-    if not by_first:
-        return b""
-    options = [re.escape(bytes([first])) + _branches(rest) for first, rest in by_first.items()]
-    body = options[0] if len(options) == 1 else b"|".join(options)
-    return b"(?:" + body + b")" + (b"?" if b"" in tokens else b"")
+#: Bytes of text that a task walks together: they bound its memory, not a text's length.
+WALKED = 1 << 21
 
 
 @lru_cache(maxsize=4)
-def _longest_match(entries: tuple[tuple[bytes, int], ...]) -> tuple[re.Pattern, dict[bytes, int]]:
-    return re.compile(_branches([t for t, _ in entries]), re.DOTALL), dict(entries)
+def _trie(entries: tuple[tuple[bytes, int], ...]) -> Trie:
+    return Trie(dict(entries))
 
 
 def tokenizer(vocabulary: Mapping[bytes, int], end: int | None = END_OF_DOCUMENT):
     """A vectorized function text → ids: greedy longest match over the UTF-8 bytes.
 
-    ``end`` is appended to every text. Bytes that no token covers fail the task.
+    The texts of an Arrow batch are walked together through a trie that a worker builds once.
+    ``end`` is appended to every text; a null text has no ids. Bytes that no token covers fail the
+    task.
     """
     entries = tuple(sorted(vocabulary.items()))
     tail = [] if end is None else [end]
 
-    @F.pandas_udf(TOKENS)
-    def encode(texts: pd.Series) -> pd.Series:
-        pattern, ids = _longest_match(entries)
-
-        def one(text: str | None):
-            if text is None:
-                return None
-            data = text.encode("utf-8")
-            pieces = pattern.findall(data)
-            if b"".join(pieces) != data:
-                raise ValueError("the vocabulary does not cover a text")
-            return np.array([*map(ids.__getitem__, pieces), *tail], dtype=np.int32)
-
-        return texts.map(one)
+    @F.arrow_udf(TOKENS)
+    def encode(texts: pa.Array) -> pa.Array:
+        trie = _trie(entries)
+        data = [t.encode() if t is not None else None for t in texts.to_pylist()]
+        sizes, parts, at = np.zeros(len(data), dtype=np.int64), [np.zeros(0, dtype=np.int32)], 0
+        while at < len(data):
+            last, size = at, 0
+            while last < len(data) and (last == at or size < WALKED):
+                size += len(data[last] or b"")
+                last += 1
+            known = [i for i in range(at, last) if data[i] is not None]
+            if known:
+                ids, sizes[known] = trie.encode([data[i] for i in known], tail)
+                parts.append(ids)
+            at = last
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        if offsets[-1] >= 1 << 31:
+            raise ValueError("a batch holds more tokens than a list can; lower its number of records")
+        missing = np.array([t is None for t in data], dtype=bool)
+        borders = pa.array(offsets.astype(np.int32), mask=np.append(missing, False))
+        return pa.ListArray.from_arrays(borders, pa.array(np.concatenate(parts)))
 
     return encode
 
@@ -160,19 +160,42 @@ def byte_token_count(text: Column) -> Column:
 
 
 def char_tokens(text: Column, vocab: list[str]) -> Column:
-    """Character ids by one table lookup per character; one not in ``vocab`` fails the job."""
-    table = [None] * (max(map(ord, vocab)) + 1)
-    for number, ch in enumerate(vocab):
-        table[ord(ch)] = number
-    lookup = literal_array(table, "int")
-    unknown = F.raise_error(F.lit("a character is not in the vocabulary")).cast("int")
-    return F.transform(characters(text), lambda c: F.coalesce(F.get(lookup, F.ascii(c)), unknown))
+    """Character ids by one table look-up over a batch's code points.
+
+    A null text has no ids; a character that is not in ``vocab`` fails the job.
+    """
+    table = np.full(max(map(ord, vocab), default=0) + 1, -1, dtype=np.int32)
+    table[[ord(ch) for ch in vocab]] = np.arange(len(vocab))
+
+    @F.arrow_udf(TOKENS)
+    def encode(texts: pa.Array) -> pa.Array:
+        data = texts.to_pylist()
+        points = np.frombuffer("".join([t for t in data if t]).encode("utf-32-le"), dtype="<u4")
+        ids = np.append(table, -1)[np.minimum(points, len(table))]
+        if len(ids) and ids.min() < 0:
+            raise ValueError("a character is not in the vocabulary")
+        sizes = [len(t) if t else 0 for t in data]
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        missing = np.array([t is None for t in data], dtype=bool)
+        borders = pa.array(offsets, mask=np.append(missing, False))
+        return pa.ListArray.from_arrays(borders, pa.array(ids.astype(np.int32)))
+
+    return encode(text)
 
 
 def char_decode(tokens: Column, vocab: list[str]) -> Column:
-    """Text of character ids, again by one table lookup per id."""
-    lookup = literal_array(vocab, "string")
-    return F.array_join(F.transform(tokens, lambda t: F.get(lookup, t)), "")
+    """Text of character ids by one table look-up over a batch's ids; a null list has no text."""
+    table = np.array([ord(ch) for ch in vocab], dtype="<u4")
+
+    @F.arrow_udf("string")
+    def decode(ids: pa.Array) -> pa.Array:
+        whole = table[ids.flatten().to_numpy(zero_copy_only=False)].tobytes().decode("utf-32-le")
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        texts = [whole[end - size : end] for size, end in zip(sizes.tolist(), ends.tolist(), strict=True)]
+        return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), pa.array(texts, pa.string()))
+
+    return decode(tokens)
 
 
 def round_trip_report(df: DataFrame, text: str, decoded: str) -> DataFrame:

@@ -84,11 +84,15 @@ def group_names(groups: DataFrame, path: str = "path", by_folder: bool = False)
 def compact_files(source: DataFrame, kept: Column, per_group: int, path: str) -> None:
     """Filter ``source`` and write one output folder per ``per_group`` of its input files.
 
-    Inputs stay where they are. A group larger than a shard is written as several files.
+    Inputs stay where they are. A group larger than a shard is written as several files. A folder's
+    name ends in a hash of the paths of its inputs: files of one name in several folders, merged by
+    several calls into one output, replace nothing but the same group of an earlier call.
     """
     file = F.col("_metadata.file_path")
     groups = file_groups(source.select(file.alias("path")).distinct(), per_group)
-    names = group_names(groups).select("grp", F.col("name").alias("file_group"))
+    members = groups.groupBy("grp").agg(F.md5(F.concat_ws("\n", F.sort_array(F.collect_list("path")))).alias("members"))
+    name = F.concat_ws("-", "name", F.left("members", F.lit(12)))
+    names = group_names(groups).join(members, "grp").select("grp", name.alias("file_group"))
     rows = source.select(*source.columns, file.alias("path")).where(kept)
     grouped = rows.join(groups, "path").join(names, "grp").drop("path", "grp")
     write_dumps(grouped, path, "file_group")

@@ -171,3 +171,18 @@ def test_log_rollup(spark):
     got = {r["epoch"]: r for r in metrics.metric_log_rollup(log).collect()}
     assert (got[0]["mean_loss"], got[0]["last_rate"], got[0]["n_steps"]) == (2.0, 0.05, 2)
     assert got[1]["exp_loss"] == pytest.approx(1.6487212707)
+
+
+def test_split_keeps_repeated_rows(spark):
+    rows = [("same", 1)] * 20 + [(f"t{i}", 1) for i in range(30)] + [(f"u{i}", 0) for i in range(10)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    split = classify.stratified_split(df, "text")
+    assert split.count() == 60
+    assert split.where("is_train and label = 1").count() == 45 and split.where("is_train and label = 0").count() == 9
+    assert sum(r["support"] for r in train_classifier(df).report.where("class in ('0', '1')").collect()) == 6
+
+
+def test_null_losses_are_no_steps(spark):
+    log = spark.createDataFrame([(1, 2.0, 1, 0.1), (1, None, 2, 0.2)], "epoch int, loss double, step int, lr double")
+    row = metrics.metric_log_rollup(log).first()
+    assert (row["n_steps"], row["mean_loss"], row["last_rate"]) == (1, 2.0, 0.2)

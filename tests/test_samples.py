@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldsieve.functions.numbers import product_mod, sampler_prime, whole_div
-from fieldsieve.operators import sampling
+from fieldsieve.operators import joins, sampling
 from fieldsieve.plans import tokens as token_plans
 
 
@@ -99,3 +99,13 @@ def test_random_and_interleaved_starts(spark):
     mixed = sampling.interleaved_starts(numbers, 101, 4, 300).collect()
     assert all((r["corpus"] == "background") == (r["ii"] % 2 == 0) for r in mixed)
     assert all(r["start"] == cubic.get(r["ii"] // 2, 0) for r in mixed if r["ii"] % 2)
+
+
+def test_routing_keeps_repeated_keys(spark):
+    parts = spark.createDataFrame([("a", 4, 8), ("b", 2, 2)], "source string, n long, width long")
+    mixture = joins.mixture_table(parts, "source", "n", "width")
+    positions = spark.createDataFrame([(1, 0), (1, 9), (1, 9), (2, 5), (None, 3)], "k long, position long")
+    found = [tuple(r) for r in joins.route_to_mixture(positions, mixture, "k").collect()]
+    assert sorted(found, key=str) == sorted(
+        [(1, 0, "a", 0), (1, 9, "b", 1), (1, 9, "b", 1), (2, 5, "a", 1), (None, 3, "a", 3)], key=str
+    )

@@ -2,11 +2,14 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fieldsieve.functions.hashing import uniform_below
 from fieldsieve.operators import tokens as tk
 from fieldsieve.operators import windows as wn
+from fieldsieve.operators.trie import Trie
 from fieldsieve.sources.token_files import read_token_rows
 
 TEXTS = ["", "a", "héllo wörld\n", "\U0001f600 x\U0001f600", "abcabcab" * 40, "\x00z"]
@@ -198,3 +201,40 @@ def test_answer_mask(spark):
             drawn = flat[starts[k] : starts[k] + ctx + 1]
             assert (got[k]["tokens"], got[k]["z"], got[k]["replaced"]) == (drawn, [1] * ctx, True)
     assert 0 < replaced < 300
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.dictionaries(st.binary(min_size=1, max_size=4), st.integers(1, 500), max_size=30),
+    st.lists(st.binary(max_size=30), min_size=1, max_size=4),
+)
+def test_trie_matches_the_longest_token(more, texts):
+    vocabulary = tk.byte_vocabulary() | {t: i + 1000 for t, i in more.items() if len(t) > 1}
+    longest = max(map(len, vocabulary))
+    expected = []
+    for text in texts:
+        at = 0
+        while at < len(text):
+            size = next(n for n in range(longest, 0, -1) if text[at : at + n] in vocabulary and at + n <= len(text))
+            expected.append(vocabulary[text[at : at + size]])
+            at += size
+        expected.append(0)
+    ids, sizes = Trie(vocabulary).encode(texts, [0])
+    assert ids.tolist() == expected and sizes.sum() == len(expected)
+    without, fewer = Trie(vocabulary).encode(texts, [])
+    assert without.tolist() == [i for i in expected if i] and (fewer == sizes - 1).all()
+
+
+def test_a_large_vocabulary_and_nulls(spark):
+    rng = random.Random(5)
+    words = {bytes(rng.choices(b"abcdefgh ", k=rng.randint(2, 9))) for _ in range(60_000)}
+    vocabulary = tk.byte_vocabulary() | {w: 300 + i for i, w in enumerate(sorted(words))}
+    texts = [None, "", "abc" * 40_000, *("".join(rng.choices("abcdefgh é", k=300)) for _ in range(50))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    rows = docs.select("text", tk.tokenizer(vocabulary)("text").alias("ids")).collect()
+    token_of = {i: t for t, i in vocabulary.items()}
+    for text, ids in rows:
+        assert ids is None if text is None else b"".join(token_of[i] for i in ids[:-1]) == text.encode()
+        for first, second in zip(ids[:-1] if ids else [], ids[1:-1] if ids else []):
+            # A greedy token cannot be lengthened by what follows.
+            assert token_of[first] + token_of[second][:1] not in vocabulary
