@@ -98,6 +98,34 @@ def token_shards(spark, folder):
     return read_token_shards(spark, path).select("item", joined("tokens").alias("tokens"))
 
 
+@query(f"""WITH {SQL_TOKENS}, n AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS item, ids FROM tok)
+SELECT item, array_to_string(ids[4:43], ' ') AS part FROM n WHERE item BETWEEN 100 AND 180 OR item = 7""")
+def item_span_from_shards(spark, folder):
+    """Forty tokens from the fourth on, of some items, read through the index: the feature is the range."""
+    path = scratch_path(spark, "indexed")
+    write_token_shards(documents(spark, folder), path, "doc_id", tk.byte_tokens("text"))
+    wanted = [7, *range(100, 181)]
+    spans = read_token_shards(spark, path, tokens_per_read=50_000, items=wanted, offset=3, length=40)
+    return spans.select("item", joined("tokens").alias("part"))
+
+
+@query("""WITH t AS (SELECT conv_id, turn, list_transform(regexp_extract_all(hex(encode(text)), '..'),
+  lambda h: CAST('0x' || h AS INTEGER) + 1) || [0] AS ids FROM conversations)
+SELECT dense_rank() OVER (ORDER BY conv_id % 2, conv_id) - 1 AS document,
+  row_number() OVER (ORDER BY conv_id % 2, conv_id, turn) - 1 AS item, array_to_string(ids, ' ') AS tokens FROM t""")
+def shard_documents(spark, folder):
+    """Conversations as documents whose items are their turns; the odd ones are appended."""
+    path = scratch_path(spark, "conversations")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    turns = turns.withColumn("ids", tk.byte_tokens("text"))
+    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "ids"))).alias("turns"))
+    for odd in (0, 1):
+        part = whole.where(F.col("conv_id") % 2 == odd)
+        write_token_shards(part, path, "conv_id", F.col("turns.ids"), shards=3, append=odd == 1)
+    stored = read_token_shards(spark, path)
+    return stored.select("document", "item", joined("tokens").alias("tokens"))
+
+
 @query("""SELECT 'parse_json' AS stage, md5('{"text": ' || doc_id) AS key, 'not JSON' AS reason FROM documents WHERE n_chars > 2000
 UNION ALL SELECT 'judge', CAST(doc_id AS VARCHAR), 'no answer' FROM documents WHERE n_chars < 500""")
 def quarantine(spark, folder):

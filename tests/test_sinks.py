@@ -14,7 +14,7 @@ from fieldsieve.operators import tokens as tk
 from fieldsieve.plans import crawl as plans
 from fieldsieve.plans import tokens as token_plans
 from fieldsieve.sinks import tables as tb
-from fieldsieve.sinks.token_shards import LISTING, read_token_shards, write_token_shards
+from fieldsieve.sinks.token_shards import LISTING, ShardReader, item_runs, read_token_shards, write_token_shards
 from fieldsieve.sources import crawl as dumps
 from fieldsieve.streaming import jobs
 
@@ -199,6 +199,41 @@ def test_token_shards(spark, tmp_path):
     assert not os.path.exists(str(tmp_path / "bad" / LISTING))
 
 
+def test_only_ranges_of_chosen_items_are_opened(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    rows = [(i, [i % 7] * (i % 9 + 1)) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<int>")
+    write_token_shards(df, path, "doc_id", F.col("tokens"), shards=4)
+
+    def opened(items):
+        ranges = ShardReader(path, 20, item_runs(items)).partitions()
+        return [i for r in ranges for i in range(r.items_before + r.first, r.items_before + r.last)]
+
+    assert item_runs([5, 3, 4, 4, 9]) == [(3, 6), (9, 10)] and item_runs(range(3, 6)) == [(3, 6)]
+    assert len(ShardReader(path, 20).partitions()) > 8
+    assert opened([42]) == [42] and opened(range(10, 13)) == [10, 11, 12]
+    assert opened([99, 3, 4, 500]) == [3, 4, 99] and opened([]) == [] and opened(range(100, 200)) == []
+    one = read_token_shards(spark, path, tokens_per_read=20, items=[42])
+    assert one.rdd.getNumPartitions() == 1 and one.first()["tokens"] == rows[42][1]
+    found = read_token_shards(spark, path, items=[5, 50, 51]).orderBy("item").collect()
+    assert [(r["item"], r["tokens"]) for r in found] == [rows[5], rows[50], rows[51]]
+    spans = read_token_shards(spark, path, tokens_per_read=20, offset=2, length=3).orderBy("item").collect()
+    assert [r["tokens"] for r in spans] == [t[2:5] for _, t in rows]
+
+
+def test_documents_of_several_items(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    docs = [(i, [[i, j] * (j + 1) for j in range(i % 6)]) for i in range(40)]  # some hold no item
+    df = spark.createDataFrame(docs, "doc_id long, items array<array<int>>")
+    write_token_shards(df.where("doc_id < 25"), path, "doc_id", F.col("items"), shards=3)
+    write_token_shards(df.where("doc_id >= 25"), path, "doc_id", F.col("items"), shards=2, append=True)
+    expected = [(i, t) for i, items in docs for t in items]
+    for per_read in (3, 1 << 20):
+        rows = read_token_shards(spark, path, tokens_per_read=per_read).orderBy("item").collect()
+        assert [r["item"] for r in rows] == list(range(len(expected)))
+        assert [(r["document"], r["tokens"]) for r in rows] == expected
+
+
 def test_epochs_as_shards(spark, tmp_path):
     (tmp_path / "docs.jsonl").write_text('{"text":"aa"}\n\n{"text":"bb"}\n{"text":"aa"}\n{"text":"dd"}\n')
     main(["tokens", str(tmp_path / "docs.jsonl"), str(tmp_path / "tok"), "3"])
