@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import vectors
 from ..operators import classify, filters, joins, labels, metrics
 from ..operators.numbering import number_rows
+from ..session import pin, scratch_path
+from ..sinks import tables as tb
 from .registry import CRAWL, PAGE_KEYWORDS, TOPIC, crawl, query, sql_any, table
 
 ANY = sql_any("url", PAGE_KEYWORDS)
@@ -303,18 +305,30 @@ def predicted_positive(spark, folder):
 def _service(text: str) -> str:
     """Stands for an outside judge: it fails on long texts and adds white space to its answers."""
     if len(text) > 3000:
-        raise TimeoutError
+        raise TimeoutError("too long")
     return " sports-related\n" if "th" in text else "not-sports-related "
 
 
 @query("""SELECT doc_id, CASE WHEN n_chars <= 3000 THEN
-  CASE WHEN contains(text, 'th') THEN 'sports-related' ELSE 'not-sports-related' END END AS response FROM documents""")
+  CASE WHEN contains(text, 'th') THEN 'sports-related' ELSE 'not-sports-related' END END AS response,
+  CASE WHEN n_chars > 3000 THEN 'TimeoutError: too long' END AS failure FROM documents""")
 def judge_with_function(spark, folder):
-    """Documents judged by a user's function; a call that fails has no answer."""
+    """Documents judged by a user's function; a call that fails has no answer but a reason."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return labels.judge_documents(docs, labels.python_judge(_service))
 
 
+@query("""SELECT 'judge' AS stage, CAST(doc_id AS VARCHAR) AS key, 'TimeoutError: too long' AS reason
+FROM documents WHERE n_chars > 3000""")
+def judge_failures(spark, folder):
+    """What goes to quarantine of the judged documents, with the reason of each failed call."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = labels.judge_documents(docs, labels.python_judge(_service))
+    path = scratch_path(spark, "judge-quarantine")
+    tb.quarantine([tb.rejected_answers(judged, "doc_id")], path)
+    return spark.read.parquet(path)
+
+
 @query("SELECT doc_id, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS pred FROM documents")
 def score_with_function(spark, folder):
     """Documents scored by a user's batch function, one list of scores per text."""
@@ -323,6 +337,45 @@ def score_with_function(spark, folder):
     return scored.select("doc_id", "pred")
 
 
+def _letter_scores():
+    """Stands for loading an encoder with a two-class head: scores are shares of letters."""
+
+    def scores(texts):
+        return [(2.0 * t.count("e"), float(t.count("a") + t.count("o"))) for t in texts]
+
+    return scores
+
+
+@query("""SELECT doc_id, CASE WHEN n_a > 2 * n_e THEN 1 ELSE 0 END AS pred FROM (SELECT doc_id,
+  length(text) - length(replace(text, 'e', '')) AS n_e,
+  length(text) - length(replace(replace(text, 'a', ''), 'o', '')) AS n_a FROM documents)""")
+def score_with_loaded_model(spark, folder):
+    """Documents scored by a model that each worker loads once, in batches of like lengths."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return classify.score_with_loaded(docs, _letter_scores).select("doc_id", "pred")
+
+
+@query("""WITH t AS (SELECT CASE WHEN 2 * (length(text) - length(replace(text, 'e', ''))) <
+    length(text) - length(replace(replace(text, 'a', ''), 'o', '')) THEN 1 ELSE 0 END AS label FROM documents)
+SELECT label, count(*) AS n_rows, (count(*) * 9 + 9) // 10 AS n_train, true AS above_chance FROM t GROUP BY 1""")
+def train_on_encoded(spark, folder):
+    """From texts to a trained head: each distinct text is encoded once, the split is by the text's
+    hash, and the held-out rows of each class are classified better than by chance."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    vectors_of = classify.encoded_once(docs, _letter_scores)
+    rows = docs.select("doc_id", F.sha2("text", 256).alias("text_sha256")).join(vectors_of, "text_sha256")
+    label = F.when(F.get("embedding", 0) < F.get("embedding", 1), 1).otherwise(0)
+    split = pin(classify.stratified_split(rows.withColumn("label", label), "doc_id"), "split")
+    featured = classify.with_features(split)
+    model = classify.embedding_pipeline().fit(featured.where("is_train"))
+    scored = classify.score_with_model(featured, model)
+    right = F.avg(F.when(~F.col("is_train"), (F.col("pred") == F.col("label")).cast("int")))
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("is_train").alias("n_train"),
+        F.coalesce(right > 0.5, F.lit(True)).alias("above_chance"),
+    )
+
+
 @query("SELECT event_id, CAST(round_even(value, 0) AS INTEGER) AS label FROM events")
 def rounded_label(spark, folder):
     events = table(spark, folder, "events")

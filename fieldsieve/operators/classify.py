@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import whole_div
 from ..functions.vectors import argmax, squared_distance
+from ..session import pin
 from .numbering import number_by_hash
 
 
@@ -79,6 +81,70 @@ def score_with_function(
     return scored.withColumn("pred", argmax(F.col("_scores"))).drop("_scores")
 
 
+_LOADED: dict[str, Callable] = {}
+
+
+def _loaded(name: str, load: Callable[[], Callable]) -> Callable:
+    """The worker's model of this name; a module's own function, so that workers share its table."""
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
+
+
+def loaded_scores(
+    load: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]], batch: int = 512
+) -> Callable[[Column], Column]:
+    """A column function text → scores by a model that a worker process loads once.
+
+    ``load`` gives a function from texts to one list of numbers per text: class scores, or an encoder's
+    vectors. Each Arrow batch is taken in order of length, ``batch`` texts at a time, so texts that
+    share a call need little padding; the results go back to their rows. A null text has none.
+    """
+    name = uuid.uuid4().hex
+
+    @F.pandas_udf("array<double>")
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        score = _loaded(name, load)
+        for series in texts:
+            found: list[list[float] | None] = [None] * len(series)
+            values = series.tolist()
+            order = sorted((i for i, t in enumerate(values) if t is not None), key=lambda i: len(values[i]))
+            for at in range(0, len(order), batch):
+                rows = order[at : at + batch]
+                for i, given in zip(rows, score([values[i] for i in rows]), strict=True):
+                    found[i] = [float(v) for v in given]
+            yield pd.Series(found, dtype=object)
+
+    return scores.asNondeterministic()
+
+
+def score_with_loaded(
+    df: DataFrame,
+    load: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]],
+    text: str = "text",
+    batch: int = 512,
+) -> DataFrame:
+    """Add ``pred``: the class of the largest score of a model loaded once per worker."""
+    scored = df.withColumn("_scores", loaded_scores(load, batch)(F.col(text)))
+    return scored.withColumn("pred", argmax(F.col("_scores"))).drop("_scores")
+
+
+def encoded_once(
+    df: DataFrame,
+    load: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]],
+    text: str = "text",
+    batch: int = 512,
+) -> DataFrame:
+    """(``text_sha256``, ``embedding``): the encoder's vector of every distinct text, written once.
+
+    Equal texts are one before the encoder sees them. Join it by the hash of a text
+    (``F.sha2(text, 256)``) to train a head on vectors of a frozen encoder.
+    """
+    narrow = df.where(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias("text_sha256"), text)
+    distinct = narrow.groupBy("text_sha256").agg(F.first(text).alias(text))
+    return pin(distinct.select("text_sha256", loaded_scores(load, batch)(F.col(text)).alias("embedding")), "encoded")
+
+
 def class_centers(df: DataFrame, embedding: str, label: str) -> list[tuple[int, list[float]]]:
     """Mean vector per class, as (class, vector) in class order.
 

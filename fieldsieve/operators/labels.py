@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import keywords as kw
 from ..functions.numbers import whole_div
@@ -66,30 +67,38 @@ def majority_judge(topic: Iterable[str]) -> Judge:
 def python_judge(answer: Callable[[str], str]) -> Judge:
     """A judge from a plain function, such as a call to an outside service.
 
-    Called once per text in Arrow batches; a failing call gives a null answer, not a failed job.
-    Spark is told that answers may vary, so it neither repeats nor moves the call.
+    Called once per text in Arrow batches; a failing call gives no answer, not a failed job, and
+    ``failure`` says why: the exception's class and text. Spark is told that answers may vary, so it
+    neither repeats nor moves the call.
     """
 
-    def one(text: str | None) -> str | None:
+    def one(text: str | None) -> tuple[str | None, str | None]:
+        if text is None:
+            return None, "no text"
         try:
-            return None if text is None else answer(text).strip()
-        except Exception:
-            return None
+            return answer(text).strip(), None
+        except Exception as error:  # noqa: BLE001 - whatever an outside call raises is its reason
+            return None, f"{type(error).__name__}: {error}"
 
-    @F.pandas_udf("string")
-    def judge(texts: pd.Series) -> pd.Series:
-        return texts.map(one).astype(object)
+    @F.pandas_udf("answer string, failure string")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(list(map(one, texts)), columns=["answer", "failure"], dtype=object)
 
     return judge.asNondeterministic()
 
 
 def judge_documents(df: DataFrame, judge: Judge, text: str = "text", keep: bool = True) -> DataFrame:
-    """Add ``response``.
+    """Add ``response``, and ``failure`` where the judge says why it has no answer.
 
     The answers are written once, without the texts, and read from there by everything that
     follows; ``keep=False`` is for rule judges, which may be asked again.
     """
     judged = df.withColumn("response", judge(F.col(text)))
+    if isinstance(judged.schema["response"].dataType, T.StructType):
+        said = {"response": F.col("response.answer"), "failure": F.col("response.failure")}
+        # A struct is taken apart after it is written: the judge is asked once for both fields.
+        judged = pin(judged.drop(text) if keep else judged, "judged").withColumns(said)
+        return judged
     return pin(judged.drop(text), "judged") if keep else judged
 
 

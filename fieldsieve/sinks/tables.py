@@ -178,7 +178,8 @@ def quarantine(rejected: Sequence[DataFrame], path: str) -> None:
 
 
 def rejected_answers(judged: DataFrame, key: str) -> DataFrame:
-    """Judged rows without an answer, as quarantine rows."""
+    """Judged rows without an answer, as quarantine rows with the judge's ``failure`` if it gave one."""
+    reason = F.coalesce("failure", F.lit("no answer")) if "failure" in judged.columns else F.lit("no answer")
     return judged.where(F.col("response").isNull()).select(
-        F.lit("judge").alias("stage"), F.col(key).cast("string").alias("key"), F.lit("no answer").alias("reason")
+        F.lit("judge").alias("stage"), F.col(key).cast("string").alias("key"), reason.alias("reason")
     )

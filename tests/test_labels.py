@@ -7,6 +7,7 @@ from fieldsieve.operators import classify, labels, metrics
 from fieldsieve.operators.numbering import number_rows
 from fieldsieve.plans.classifier import train_classifier
 from fieldsieve.plans.labels import label_set
+from fieldsieve.sinks.tables import rejected_answers
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +60,8 @@ def test_python_judge_turns_errors_into_null(spark):
     df = spark.createDataFrame([("ok",), ("bad",), (None,)], "text string")
     judged = labels.judge_documents(df.withColumn("id", F.col("text")), labels.python_judge(answer), keep=True)
     assert {r["id"]: r["response"] for r in judged.collect()} == {"ok": "sports-related", "bad": None, None: None}
+    reasons = {r["key"]: r["reason"] for r in rejected_answers(judged, "id").collect()}
+    assert reasons == {"bad": "RuntimeError: service down", None: "no text"}
 
 
 def test_label_set(spark):
@@ -186,3 +189,34 @@ def test_null_losses_are_no_steps(spark):
     log = spark.createDataFrame([(1, 2.0, 1, 0.1), (1, None, 2, 0.2)], "epoch int, loss double, step int, lr double")
     row = metrics.metric_log_rollup(log).first()
     assert (row["n_steps"], row["mean_loss"], row["last_rate"]) == (1, 2.0, 0.2)
+
+
+def test_a_worker_loads_its_model_once(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{seen}/load-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+        def scores(texts):
+            assert [len(t) for t in texts] == sorted(len(t) for t in texts) and len(texts) <= 3
+            open(f"{seen}/call-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+            return [(2.0, float(len(t))) for t in texts]
+
+        return scores
+
+    rows = [(i, None if i % 10 == 0 else "x" * (i % 6)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(16)
+    scored = classify.score_with_loaded(df, load, batch=3).collect()
+    assert len(scored) == 200
+    assert all(r["pred"] == int(len(r["text"]) > 2) for r in scored if r["text"] is not None)
+    loads = [f.name.split("-")[1] for f in tmp_path.glob("load-*")]
+    assert len(loads) == len(set(loads)) and len(list(tmp_path.glob("call-*"))) >= 60
+
+
+def test_equal_texts_are_encoded_once(spark):
+    df = spark.createDataFrame([("a",), ("bb",), ("a",), (None,)], "text string")
+    found = classify.encoded_once(df, lambda: lambda texts: [[float(len(t))] for t in texts]).collect()
+    assert sorted(r["embedding"] for r in found) == [[1.0], [2.0]]
