@@ -28,7 +28,7 @@ from .remembered import Remembered
 
 SPACE = "▁"
 #: Words, and parts of words, in a generation of those a worker remembers, and the longest kept.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 CACHED_LENGTH = 48
 
 
@@ -134,8 +134,10 @@ class MergeVocabulary:
     def _word_ids(self, word: str) -> bytes:
         cuts = [i for i, pair in enumerate(map(str.__add__, word, word[1:]), 1) if pair not in self._together]
         if not cuts:
-            return self._parts[word]
-        return b"".join(self._parts[word[a:b]] for a, b in pairwise([0, *cuts, len(word)]))
+            return self._part(word)
+        first, *rest = (word[a:b] for a, b in pairwise([0, *cuts, len(word)]))
+        # The first part is a word too: it has the blank in front.
+        return b"".join([self._words[first], *map(self._parts.__getitem__, rest)])
 
     def _word(self, word: str) -> bytes:
         found = self._unconfirmed[word] = self._word_ids(word)
