@@ -11,6 +11,13 @@ prefix is extended until rare tokens and classes together count for one more tha
 tokens a similar set may lack. Two similar sets then share a key. Sets too small for that are
 indexed by single tokens, in a key space of their own with the sets similar to them in size.
 
+Sets with enough rare tokens extend their prefix by ``EXTRA - 1`` more of them. When the holders of
+each key have been counted, such a set gives up its ``EXTRA - 1`` most widely held keys again. So a
+passage that many long documents share is no key of theirs as long as they have words of their own.
+No link is lost: two extended prefixes share ``EXTRA`` tokens, and of the keys of one prefix that
+come before the least held of these, none is in the other set, so at most as many as a similar
+set may lack. A set that cannot extend its prefix keeps all its rare tokens, for which the same holds.
+
 Equal sets are one class from the start. Classes that share a key are first compared with the
 key's smallest class only, which joins a group of near copies through a few of its members; the
 rest are compared pairwise, inside a join that refuses classes already joined, sizes too different,
@@ -29,14 +36,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import pin
 from .arrow import arrow_schema, batch_of, small, spark_schema
 from .components import components
+from .labelled import unused_name
 
 CLASSES = 8
+#: Rare tokens two extended prefixes of similar sets share.
+EXTRA = 64
 CELL_BITS = 22
 RANGES = 16
 SKETCH = 256
@@ -202,21 +212,23 @@ class Similarity:
         return sizes & ((100 + p) * difference <= (100 - p) * (n + m))
 
 
-def set_keys(tokens: np.ndarray, frequent: np.ndarray, s: Similarity) -> np.ndarray:
-    """The index keys of one set, given which cells are frequent."""
+def set_keys(tokens: np.ndarray, frequent: np.ndarray, s: Similarity) -> tuple[np.ndarray, int]:
+    """The index keys of one set, given which cells are frequent, and how many of them, those with
+    the most holders, it gives up once holders are counted."""
     n = len(tokens)
     often = frequent[_cells(tokens)]
     ordered = np.concatenate([tokens[~often], tokens[often]])
     rare = int(n - often.sum())
     need = s.lacking(n) + 1
     keys = []
+    spare = 0
     if n <= 100 * (s.combining - 1) // s.percent:
         keys.append(_mix(ordered[:need] ^ _U(0x5BD1E995)))
     if n >= s.combining:
-        if rare >= need:
-            keys.append(ordered[:need])
-        else:
-            keys.append(ordered[:rare])
+        keys.append(ordered[: min(rare, need + EXTRA - 1)])
+        if rare >= need + EXTRA - 1:
+            spare = EXTRA - 1
+        if rare < need:
             classes: list[list[int]] = [[] for _ in range(CLASSES)]
             counted = rare
             for token in ordered[rare:].tolist():
@@ -230,7 +242,7 @@ def set_keys(tokens: np.ndarray, frequent: np.ndarray, s: Similarity) -> np.ndar
                     i, j = np.triu_indices(len(own), 1)
                     t = np.array(own, dtype=np.uint64)
                     keys.append(_mix(t[i] * _U(0x9E3779B97F4A7C15) + _mix(t[j])))
-    return np.unique(np.concatenate(keys)) if keys else tokens[:0]
+    return (np.unique(np.concatenate(keys)) if keys else tokens[:0]), spare
 
 
 def sketch(tokens: np.ndarray, bits: int = SKETCH) -> np.ndarray:
@@ -249,9 +261,9 @@ def set_name(tokens: np.ndarray) -> tuple[int, int]:
 
 
 _SETS = arrow_schema(
-    row="int64", doc_id="int64", n="int64", name0="int64", name1="int64",
+    row="int64", doc_id="int64", text_key="string", n="int64", name0="int64", name1="int64",
     s0="int64", s1="int64", s2="int64", s3="int64", keys=pa.list_(pa.int64()),
-    wide=pa.list_(pa.int64()),
+    spare="int32", wide=pa.list_(pa.int64()),
 )
 _SKETCH = ["s0", "s1", "s2", "s3"]
 
@@ -263,11 +275,13 @@ def _keyed_sets(cells: bytes, s: Similarity) -> Callable:
         for batch in small(batches):
             rows = []
             sets = token_sets(batch["text"].to_pylist(), s.words)
-            for doc_id, tokens in zip(batch["doc_id"].to_pylist(), sets, strict=True):
-                keys = set_keys(tokens, frequent, s).view(np.int64) if len(tokens) else []
+            ids, text_keys = batch["doc_id"].to_pylist(), batch["text_key"].to_pylist()
+            for doc_id, text_key, tokens in zip(ids, text_keys, sets, strict=True):
+                keys, spare = set_keys(tokens, frequent, s)
                 wide = sketch(tokens, WIDE_SKETCH) if len(tokens) >= WIDE_FROM else None
                 rows.append(
-                    (row, doc_id, len(tokens), *set_name(tokens), *sketch(tokens).tolist(), keys, wide)
+                    (row, doc_id, text_key, len(tokens), *set_name(tokens), *sketch(tokens).tolist(),
+                     keys.view(np.int64), spare, wide)
                 )
                 row += 1
             yield batch_of(rows, _SETS)
@@ -341,10 +355,18 @@ def _verified(
     return pin(close.join(left, "a").join(right, "b").where(similar).select("a", "b"), "links")
 
 
+def _place() -> Column:
+    """What orders rows: id, those without one last, then the text's checksum."""
+    return F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+
+
 def _indexed(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The documents' ids and texts, their sets, the classes of equal sets, and the keys that
-    several classes share, with each of the classes and the smallest (``hub``)."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    several classes keep, with each of the classes, their number (``held``) and the smallest of
+    them (``hub``)."""
+    narrow = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5("text").alias("text_key")
+    )
     cells = frequent_cells(narrow, s.words)
     rows = pin(narrow.mapInArrow(_keyed_sets(cells, s), spark_schema(_SETS)), "sets")
     name = ["name0", "name1", "n"]
@@ -353,16 +375,66 @@ def _indexed(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame, Data
         .groupBy(*name)
         .agg(
             F.min("row").alias("class"),
-            F.min("doc_id").alias("least"),
+            F.min(_place()).alias("first"),
             *[F.first(c).alias(c) for c in _SKETCH],
-        ),
+        )
+        .withColumn("least", F.col("first.doc_id")),
         "classes",
     )
     first_rows = rows.withColumnRenamed("row", "class").join(classes.select("class"), "class", "left_semi")
-    keyed = first_rows.select(F.explode("keys").alias("key"), "class")
-    held = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.min("class").alias("hub"))
-    shared = pin(keyed.join(held.where(F.col("classes") > 1).select("key", "hub"), "key"), "shared")
-    return narrow, rows, classes, shared
+    keyed = first_rows.select(F.explode("keys").alias("key"), "class", "spare")
+    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("holders"))
+    most_held = Window.partitionBy("class").orderBy(F.desc("holders"), F.desc("key"))
+    kept = pin(
+        keyed.join(counted.where("holders > 1"), "key")
+        .withColumn("place", F.row_number().over(most_held))
+        .where("place > spare")
+        .select("key", "class"),
+        "kept-keys",
+    )
+    held = kept.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("class").alias("hub"))
+    return narrow, rows, classes, pin(kept.join(held.where("held > 1"), "key"), "shared")
+
+
+#: Classes of one key that a task holds against as many others.
+KEY_PART = 512
+FIRST_KEYS = 8
+
+
+def _key_pairs(shared: DataFrame, described: DataFrame, allowed: Column) -> DataFrame:
+    """The pairs (a, b) of classes that share a key, where ``allowed`` holds for their columns of
+    ``described``, as x and y. The pairs of a key with many classes are dealt over cells of
+    ``KEY_PART`` by ``KEY_PART`` classes. Two classes that share one of their ``FIRST_KEYS`` smallest
+    keys meet under the smallest such key only."""
+    first = F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_KEYS).alias("first")
+    described = described.join(shared.groupBy("class").agg(first), "class")
+    common = F.array_intersect("x.first", "y.first")
+    once = (F.size(common) == 0) | (F.col("x.key") == F.array_min(common))
+    parts = F.ceil(F.col("held") / KEY_PART).cast("int")
+    dealt = (
+        shared.withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .select(
+            "key", "class", "part", F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+        )
+        .join(described, "class")
+    )
+    x, y = dealt.alias("x"), dealt.alias("y")
+    return (
+        x.join(
+            y,
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.low") == F.col("y.low"))
+            & (F.col("x.high") == F.col("y.high"))
+            & (F.col("x.class") < F.col("y.class"))
+            & ((F.col("x.low") == F.col("x.high")) | (F.col("x.part") != F.col("y.part")))
+            & allowed
+            & once,
+        )
+        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+        .distinct()
+    )
 
 
 def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
@@ -375,6 +447,33 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
     stay null and never name a component that has other ids; rows that repeat an id are each
     judged by their own text. Other columns are not read; no rows give no rows.
     """
+    return _joined(docs, s).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("found_links"),
+        F.coalesce("first.doc_id", "doc_id").alias("component_id"),
+    )
+
+
+def without_copies(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs`` of which one stays of each component, with all their columns.
+
+    The row with the smallest id stays, rows without an id coming last, then the smallest checksum
+    of the text; of rows equal in id and text one stays. Rows are told apart by id and text, so a
+    copy takes no other text of its id with it. Texts that are null or have no words are nobody's copies.
+    """
+    joined = _joined(docs, s).where(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(_place()))
+    gone = joined.select("doc_id", "text_key").distinct()
+    key = unused_name(docs, "text_key")
+    keyed = docs.withColumn(key, F.md5("text"))
+    copy = keyed["doc_id"].eqNullSafe(gone["doc_id"]) & (keyed[key] == gone["text_key"])
+    left = keyed.join(gone, copy, "left_anti")
+    return left.dropDuplicates(["doc_id", key]).select(*docs.columns)
+
+
+def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
+    """Every row's id, text checksum, number of tokens, links and ``first``, the place of the first
+    row of its component (null for a row without tokens)."""
     narrow, rows, classes, shared = _indexed(docs, s)
     name = ["name0", "name1", "n"]
 
@@ -390,20 +489,9 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
     )
     first_links = _verified(starred, narrow, rows, classes, s)
     joined = components(first_links).select(F.col("node").alias("class"), "label")
-    known = shared.select("key", "class").join(described, "class").join(joined, "class", "left")
-    known = known.withColumn("label", F.coalesce("label", "class"))
-    x, y = known.alias("x"), known.alias("y")
-    pairs = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.class") < F.col("y.class"))
-            & (F.col("x.label") != F.col("y.label"))
-            & may,
-        )
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
-    )
+    known = described.join(joined, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    apart = F.col("x.label") != F.col("y.label")
+    pairs = _key_pairs(shared, known, apart & may)
     links = first_links.unionByName(_verified(pairs, narrow, rows, classes, s))
     found = components(links).select(F.col("node").alias("class"), F.col("label").alias("component"))
     ends = links.select(F.explode(F.array("a", "b")).alias("class"))
@@ -411,22 +499,13 @@ def similar_components(docs: DataFrame, s: Similarity = Similarity()) -> DataFra
 
     # Of a component every class's smallest id, of which the smallest is the component's.
     placed = classes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    ids = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    ids = placed.groupBy("component").agg(F.min("first").alias("first"))
     named = (
-        placed.join(ids, "component")
+        placed.drop("first").join(ids, "component")
         .join(n_links, "class", "left")
-        .select(*name, F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id")
+        .select(*name, "n_links", "first")
     )
-    return rows.select("doc_id", *name).join(named, name, "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("found_links"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    )
-
-
-#: Classes of one key that a task holds against as many others.
-KEY_PART = 512
+    return rows.select("doc_id", "text_key", *name).join(named, name, "left")
 
 
 def similar_links(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
@@ -442,33 +521,9 @@ def similar_links(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
     """
     narrow, rows, classes, shared = _indexed(docs, s)
     name = ["name0", "name1", "n"]
-    held = shared.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
-    parts = F.ceil(F.col("held") / KEY_PART).cast("int")
-    dealt = (
-        shared.select("key", "class")
-        .join(held, "key")
-        .withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(
-            "key", "class", "part", F.least("part", "other").alias("low"),
-            F.greatest("part", "other").alias("high"),
-        )
-        .join(classes.select("class", "n", *_SKETCH), "class")
-    )
-    x, y = dealt.alias("x"), dealt.alias("y")
-    pairs = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.low") == F.col("y.low"))
-            & (F.col("x.high") == F.col("y.high"))
-            & (F.col("x.class") < F.col("y.class"))
-            & ((F.col("x.low") == F.col("x.high")) | (F.col("x.part") != F.col("y.part")))
-            & s.may_link(F.col("x.n"), F.col("y.n"), _different("x", "y")),
-        )
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
-    )
+    described = classes.select("class", "n", *_SKETCH)
+    may = s.may_link(F.col("x.n"), F.col("y.n"), _different("x", "y"))
+    pairs = _key_pairs(shared, described, may)
     links = _verified(pairs, narrow, rows, classes, s)
     sizes = rows.where(F.col("n") > 0).groupBy(*name).agg(F.count(F.lit(1)).alias("size"))
     sized = classes.select(*name, "class").join(sizes, name)

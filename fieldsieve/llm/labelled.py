@@ -85,3 +85,11 @@ def kept_documents(
             yield batch.filter(pa.array(keep(score_texts(texts)), type=pa.bool_()))
 
     return docs.mapInArrow(filtered, docs.schema)
+
+
+def unused_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many lines before it as make it no column of ``docs`` in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

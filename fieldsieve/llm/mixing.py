@@ -15,13 +15,14 @@ All sums are whole numbers, so any engine gets the same budgets.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import order_key
 from ..session import pin
+from .labelled import unused_name
 
 LEVELS = ("domain", "lang", "source")
 #: Weight of a child that has no weight of its own.
@@ -134,8 +135,10 @@ def mix(
     key: str = "doc_id",
     text: str = "text",
     digits: int = 3,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """``key``, the levels, ``n_tokens`` and ``copies`` of every row that is taken at least once.
+    """``key``, the levels, the columns named in ``carried``, ``n_tokens`` and ``copies`` of every
+    row that is taken at least once.
 
     The corpus's budget is ``share[0] / share[1]`` of its tokens, and no document is taken more
     than ``epochs`` times. ``docs`` has the level columns; null levels are values of their own.
@@ -146,7 +149,7 @@ def mix(
     same = [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in levels]
     rows = pin(
         docs.select(
-            key, *levels, token_count(F.col(text)).alias("n_tokens"), F.xxhash64(text).alias("tie")
+            key, *levels, *carried, token_count(F.col(text)).alias("n_tokens"), F.xxhash64(text).alias("tie")
         ),
         "mix-rows",
     )
@@ -186,5 +189,21 @@ def mix(
         .withColumn("at", at)
         .withColumn("copies", F.col("whole") + F.when(F.col("at") < F.col("prefix"), 1).otherwise(0))
         .where(F.col("copies") > 0)
-        .select(key, *levels, "n_tokens", "copies")
+        .select(key, *levels, *carried, "n_tokens", "copies")
     )
+
+
+def mixed_documents(docs: DataFrame, mixed: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of ``docs``, each as often as it is taken, with all their columns.
+
+    ``mixed`` is called with ``docs`` and the name of a key added to them; it gives that key and
+    ``copies`` of the rows that are taken. Rows equal in id, language, source and text are given out
+    as one of them, as often as all are taken, so repeated or null ids cost no more than the
+    budget allows.
+    """
+    key = unused_name(docs, "row_key")
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("doc_id", "lang", "source", "text")]
+    keyed = docs.withColumn(key, F.md5(F.concat_ws("\x1f", *parts)))
+    copies = mixed(keyed, key).groupBy(key).agg(F.sum("copies").cast("long").alias("copies"))
+    each = copies.select(key, F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(key)
+    return keyed.dropDuplicates([key]).join(each, key).select(*docs.columns)

@@ -249,9 +249,9 @@ SELECT doc_id, domain, lang, source, n_tokens,
 FROM placed WHERE whole > 0 OR place < prefix"""
 
 
-def mixture(docs: DataFrame) -> DataFrame:
+def mixture(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     return mixing.mix(
-        with_domain(docs), MIXTURE, MIXTURE_SHARE, MIXTURE_EPOCHS, MIXTURE_SEED
+        with_domain(docs), MIXTURE, MIXTURE_SHARE, MIXTURE_EPOCHS, MIXTURE_SEED, carried=carried
     )
 
 
