@@ -6,10 +6,10 @@ repeat, and an empty table goes through all stages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fieldsieve.llm import jaccard_join, labelled, queries
+from fieldsieve.llm import mixing as mixtures
 from fieldsieve.session import pin
 
 
@@ -28,31 +28,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose 5-word shingles are linked at a similarity of 0.8 or more.
 
-    The smallest id stays. Of rows equal in id and text one stays; a row without an id is never
-    another's copy. Rows of one id with different texts go together.
+    The smallest id stays, rows without an id come last. Rows are told apart by id and text: a copy
+    takes no other text of its id with it, and of rows equal in both one stays.
     """
-    found = jaccard_join.similar_components(docs, jaccard_join.Similarity(words=5, percent=80))
-    copies = found.where("doc_id != component_id").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
-    return (
-        docs.join(copies, "doc_id", "left_anti")
-        .withColumn("_text", F.xxhash64("text"))
-        .withColumn("_copy", F.row_number().over(same))
-        .where(F.col("_copy") == 1)
-        .select(docs.columns)
-    )
+    return jaccard_join.without_copies(docs, jaccard_join.Similarity(words=5, percent=80))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mixture, each as often as it is taken."""
-    copies = (
-        queries.mixture(docs)
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.max("copies").alias("_copies"))
-    )
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")
-    ).drop("_copy")
+    return mixtures.mixed_documents(docs, lambda keyed, key: queries.mixture(keyed, carried=(key,)))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
