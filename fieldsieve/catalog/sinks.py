@@ -154,8 +154,65 @@ def stream_metric_rollup(spark, folder):
         .select("ts", F.col("value").alias("loss"))
     )
     jobs.run_to_table(jobs.windowed_metrics(log), output, checkpoint)
-    return spark.read.parquet(output).select(
+    return jobs.current_table(spark, output).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "n_steps",
         F.round("mean_loss", 6).alias("mean_loss"),
     )
+
+
+# The second arrival brings times of all days; windows over ten days before the latest time of the
+# first are closed by then.
+SECOND_ARRIVAL = "user_id % 7 = 0"
+
+
+@query(f"""WITH e AS (SELECT date_trunc('day', ts) AS window_start, ts, value, {SECOND_ARRIVAL} AS second FROM events),
+m AS (SELECT max(ts) - INTERVAL 10 DAY AS seen FROM e WHERE NOT second),
+k AS (SELECT window_start, value, NOT second OR window_start + INTERVAL 1 DAY > seen AS counted FROM e, m)
+SELECT window_start, count(value) FILTER (counted) AS n_steps, round(avg(value) FILTER (counted), 6) AS mean_loss,
+  count(value) FILTER (NOT counted) AS n_late FROM k GROUP BY 1""")
+def stream_closed_metrics(spark, folder):
+    """The event log in two arrivals and its end; windows are given out as they close."""
+    source, output = scratch_path(spark, "log"), scratch_path(spark, "closed")
+    checkpoint = scratch_path(spark, "closed-log")
+    events = table(spark, folder, "events").select("ts", F.col("value").alias("loss"), "user_id")
+
+    def arrivals():
+        yield lambda: events.where(f"NOT {SECOND_ARRIVAL}").write.parquet(source)
+        yield lambda: events.where(SECOND_ARRIVAL).write.mode("append").parquet(source)
+        yield lambda: jobs.close_log(spark, source, events.schema)
+
+    for arrive in arrivals():
+        arrive()
+        log = spark.readStream.schema(events.schema).parquet(source)
+        jobs.run_appending(jobs.closed_windows(log, delay="10 days"), output, checkpoint)
+    closed = spark.read.parquet(output)
+    late = jobs.late_rows(spark.read.schema(events.schema).parquet(source), closed)
+    return late.join(closed, "window_start", "left").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.coalesce("n_steps", F.lit(0)).alias("n_steps"),
+        F.round("mean_loss", 6).alias("mean_loss"),
+        "n_late",
+    )
+
+
+@query(f"""SELECT page_id, url, 8 AS n_files, count(*) OVER () AS n_kept FROM pages WHERE {ANY}""")
+def stream_merged_files(spark, folder):
+    """Pages arriving as two times four files, merged by threes; the manifest names the files."""
+    source, output, manifest, checkpoint = (
+        scratch_path(spark, name) for name in ("small", "groups", "names", "groups-log")
+    )
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    keep = kw.contains_any(F.col("url"), PAGE_KEYWORDS)
+    for odd in (0, 1):
+        part = pages.where(F.col("page_id") % 2 == odd)
+        part.repartition(4, "page_id").write.mode("append").parquet(source)
+        jobs.merge_new_files(
+            spark, source, pages.schema, keep, output, manifest, checkpoint, files_per_group=3
+        )
+    named = tb.read_manifest(spark, manifest).agg(
+        F.count_distinct("name").cast("int").alias("n_files"), F.sum("rows").alias("n_kept")
+    )
+    merged = spark.read.parquet(output).select("page_id", "url")
+    # One row of totals goes to every row.
+    return merged.join(F.broadcast(named))

@@ -113,13 +113,19 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def commit_manifest(finished: DataFrame, path: str, name: str = "name", rows: str = "rows") -> None:
-    """Append finished names. Call it after their output has been written."""
+def commit_manifest(
+    finished: DataFrame, path: str, name: str = "name", rows: str = "rows", mode: str = "append"
+) -> None:
+    """Append finished names. Call it after their output has been written.
+
+    With ``mode="overwrite"`` the path is the part of a manifest that belongs to one step, which a
+    repeated step replaces.
+    """
     finished.select(
         F.col(name).alias("name"),
         F.col(rows).cast("bigint").alias("rows"),
         F.current_timestamp().alias("finished_at"),
-    ).write.mode("append").parquet(path)
+    ).write.mode(mode).parquet(path)
 
 
 def pending_folders(spark: SparkSession, source: str, manifest: str, by: str = "dump") -> list[str]:

@@ -1,3 +1,4 @@
+import datetime
 import glob
 import json
 import os
@@ -6,6 +7,7 @@ import struct
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldsieve.__main__ import main
 from fieldsieve.functions import keywords as kw
@@ -262,6 +264,89 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     assert sorted(r["n"] for r in spark.read.parquet(out).collect()) == [1, 3]
 
 
+def test_merged_files_survive_a_break_between_rows_and_names(spark, tmp_path, monkeypatch):
+    source, out, names, log = (str(tmp_path / n) for n in ("in", "out", "names", "log"))
+    rows = [(f"http://x/{'sport' if i % 3 else 'z'}", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "url string, n long")
+    df.repartition(5, "n").write.parquet(source)
+    call = lambda: jobs.merge_new_files(
+        spark, source, df.schema, F.col("url").contains("sport"), out, names, log, files_per_group=2
+    )
+    name_files, calls = jobs._name_files, []
+
+    def breaks_on_the_second(files, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("lost driver")
+        name_files(files, path)
+
+    monkeypatch.setattr(jobs, "_name_files", breaks_on_the_second)
+    with pytest.raises(Exception, match="lost driver"):
+        call()
+    assert len(set(r["batch"] for r in tb.read_manifest(spark, names).collect())) == 1
+    call()
+    call()
+    merged = spark.read.parquet(out).collect()
+    assert sorted(r["n"] for r in merged) == [i for i in range(60) if i % 3]
+    assert len({r["file_group"] for r in merged}) == 3
+    files = tb.read_manifest(spark, names).collect()
+    assert len(files) == len({r["name"] for r in files}) == 5 and sum(r["rows"] for r in files) == 40
+
+
+def test_closed_windows_leave_the_state(spark, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("loss", T.DoubleType())])
+
+    def arrive(*steps):
+        days = [(datetime.datetime(2024, 1, day, 6), loss) for day, loss in steps]
+        spark.createDataFrame(days, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = jobs.closed_windows(spark.readStream.schema(schema).parquet(source), delay="1 day")
+        jobs.run_appending(stream, out, log)
+        rows = spark.read.schema("window_start timestamp, n_steps long, mean_loss double").parquet(out).collect()
+        return sorted((r["window_start"].day, r["n_steps"], r["mean_loss"]) for r in rows)
+
+    arrive((1, 1.0), (1, 3.0), (2, None), (2, 5.0), (5, 7.0))
+    assert run() == [(1, 2, 2.0), (2, 1, 5.0)]
+    arrive((1, 9.0), (4, 1.0), (5, 9.0))
+    assert run() == [(1, 2, 2.0), (2, 1, 5.0)]
+    assert run() == [(1, 2, 2.0), (2, 1, 5.0)]
+    jobs.close_log(spark, source, schema)
+    whole = [(1, 2, 2.0), (2, 1, 5.0), (4, 1, 1.0), (5, 2, 8.0)]
+    assert run() == whole
+    jobs.close_log(spark, source, schema)
+    assert run() == whole
+    late = jobs.late_rows(spark.read.schema(schema).parquet(source), spark.read.parquet(out)).collect()
+    assert {r["window_start"].day: r["n_late"] for r in late} == {1: 1, 2: 0, 4: 0, 5: 0}
+
+
+def test_a_table_version_counts_once_it_is_named(spark, tmp_path, monkeypatch):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    schema = "ts timestamp, loss double"
+
+    def run(loss):
+        row = [(datetime.datetime(2024, 1, 1), loss)]
+        spark.createDataFrame(row, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.run_to_table(jobs.windowed_metrics(stream), out, log)
+
+    run(1.0)
+    run(2.0)
+    assert jobs.current_table(spark, out).first()["n_steps"] == 2
+
+    def lost(*_, **__):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "commit_manifest", lost)
+        with pytest.raises(Exception, match="lost driver"):
+            run(3.0)
+    assert jobs.current_table(spark, out).first()["n_steps"] == 2
+    run(4.0)
+    assert jobs.current_table(spark, out).first()["n_steps"] == 4
+
+
 def test_commands_for_grading_compaction_and_streams(spark, tmp_path):
     lines = [{"prompt": f"the sport {i}", "response": f"sport {i}"} for i in range(4)]
     for name in "ab":
