@@ -111,8 +111,7 @@ def random_training_samples(spark, folder):
         F.col("doc_id").alias("ii"),
         sampling.random_start(F.col("doc_id"), total, CTX, seed=9).alias("start"),
     )
-    blocks = wn.pack_windows(stream(spark, folder), CTX, extra=CTX, keep_tail=True)
-    spans = wn.read_spans(plan, blocks, CTX)
+    spans = wn.read_spans(plan, stream(spark, folder), CTX)
     return spans.select("ii", "start", joined("tokens").alias("tokens"))
 
 
@@ -158,7 +157,7 @@ def interleaved_samples(spark, folder):
         sampling.sample_numbers(spark, prime - 1), prime, CTX, _total(spark, folder, other), seed=4
     ).select("ii", "corpus", "start")
     main = wn.pack_windows(stream(spark, folder), CTX)
-    background = wn.pack_windows(stream(spark, folder, other), CTX, extra=CTX, keep_tail=True)
+    background = stream(spark, folder, other)
     samples = wn.interleaved_samples(plan, main, background, CTX, PATTERN)
     return samples.select("ii", "corpus", *[joined(c).alias(c) for c in ("x", "y", "z")])
 

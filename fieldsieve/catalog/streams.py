@@ -205,9 +205,8 @@ FROM out GROUP BY 1, 2""")
 def answer_span_mask(spark, folder):
     samples = wn.pack_windows(stream(spark, folder, "lang = 'en'"), MASK_CTX)
     other = "lang <> 'en'"
-    blocks = wn.pack_windows(stream(spark, folder, other), MASK_CTX, extra=MASK_CTX, keep_tail=True)
     size = documents(spark, folder, other).agg(F.sum(tk.byte_token_count(F.col("text")))).first()[0]
-    masked = wn.masked_samples(samples, blocks, size, MASK_CTX, PATTERN, seed=5)
+    masked = wn.masked_samples(samples, stream(spark, folder, other), size, MASK_CTX, PATTERN, seed=5)
     return wn.inputs_and_targets(masked).select(
         F.col("window").alias("window_id"),
         "replaced",

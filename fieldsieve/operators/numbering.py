@@ -15,16 +15,21 @@ Two ways to cut the slices:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import order_key
 from ..session import pin
 
 SLICE = "_slice"
 PLACE = "_place"
+SUM = "_sum"
 GROUP = "_group"
 
 
@@ -38,13 +43,17 @@ def _slice_count(df: DataFrame, n_slices: int | None) -> int:
 
 
 def ordered_slices(
-    df: DataFrame, order_by: Sequence[str], by: Sequence[str] = (), n_slices: int | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    by: Sequence[str] = (),
+    n_slices: int | None = None,
+    size: str | None = None,
 ) -> DataFrame:
     """``df`` written in slices ordered by ``by`` + ``order_by``, which must identify a row.
 
-    Adds the slice number and the row's place in its slice. Because the sort key includes the
-    unique ``order_by``, a group that holds a third of the rows is spread over a third of the
-    slices.
+    Adds the slice number and the row's place in its slice and, with ``size``, the sum of that
+    column over the slice's rows up to and with this one. Because the sort key includes the unique
+    ``order_by``, a group that holds a third of the rows is spread over a third of the slices.
     """
     keys = [*by, *order_by]
     laid_out = (
@@ -53,7 +62,21 @@ def ordered_slices(
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(PLACE, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    return pin(laid_out, "slices")
+    return pin(_with_sums(laid_out, size) if size else laid_out, "slices")
+
+
+def _with_sums(slices: DataFrame, size: str) -> DataFrame:
+    """Add the running sum of ``size`` in each task's rows as they pass; a null counts as 0."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            sizes = pc.fill_null(batch.column(size).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+            sums = np.cumsum(sizes) + total
+            total = int(sums[-1]) if len(sums) else total
+            yield batch.append_column(SUM, pa.array(sums, pa.int64()))
+
+    return slices.mapInArrow(add, T.StructType([*slices.schema.fields, T.StructField(SUM, T.LongType())]))
 
 
 def hash_slices(df: DataFrame, key: str, digits: int | None = None) -> DataFrame:
@@ -127,14 +150,15 @@ def running_offsets(
     row: str = "item",
     n_slices: int | None = None,
 ) -> DataFrame:
-    """Add ``row`` (dense position) and ``name`` (sum of ``size`` over all earlier rows)."""
-    sliced = _grouped(ordered_slices(df, order_by, (), n_slices), ())
-    earlier = (
-        Window.partitionBy(SLICE).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = F.coalesce(F.sum(size).over(earlier), F.lit(0))
+    """Add ``row`` (dense position) and ``name`` (sum of ``size`` over all earlier rows).
+
+    The rows are shuffled and written once: sums inside a slice are taken while it is written, and
+    what lies before a slice comes from one row per slice. Sizes are whole numbers.
+    """
+    sliced = _grouped(ordered_slices(df, order_by, (), n_slices, size), ())
+    inside = F.col(SUM) - F.coalesce(F.col(size), F.lit(0))
     return (
-        _shifted(sliced, (), _before=_row_count(), _sizes=F.sum(size))
+        _shifted(sliced, (), _before=_row_count(), _sizes=F.max(SUM))
         .withColumn(row, F.col("_before") + F.col(PLACE))
         .withColumn(name, (F.col("_sizes") + inside).cast("bigint"))
         .select(*df.columns, row, name)

@@ -51,6 +51,28 @@ def documents_in_windows(
     )
 
 
+def _pieces(
+    stream: DataFrame, ctx_len: int, start: str = "start", tokens: str = "tokens", extra: int = 0
+) -> DataFrame:
+    """(window, at, part): the documents cut at block borders, before any row is multiplied."""
+    begin = F.col(start)
+    end = begin + F.size(tokens)
+
+    def piece(window: Column) -> Column:
+        low = F.greatest(begin, window * ctx_len)
+        high = F.least(end, window * ctx_len + ctx_len + extra)
+        part = F.slice(F.col(tokens), (low - begin + 1).cast("int"), (high - low).cast("int"))
+        return F.struct(window.alias("window"), low.alias("at"), part.alias("part"))
+
+    return stream.select(F.inline(F.transform(_touched(begin, end, ctx_len, extra), piece)))
+
+
+def _in_order(at: Column, part: Column) -> Column:
+    """Aggregate: the parts of one window joined in the order of their places."""
+    parts = F.array_sort(F.collect_list(F.when(F.size(part) > 0, F.struct(at.alias("at"), part.alias("part")))))
+    return F.flatten(F.transform(parts, lambda p: p["part"]))
+
+
 def pack_windows(
     stream: DataFrame,
     ctx_len: int,
@@ -63,20 +85,8 @@ def pack_windows(
 
     ``keep_tail`` also returns the last, shorter ones.
     """
-    begin = F.col(start)
-    end = begin + F.size(tokens)
-
-    def piece(window: Column) -> Column:
-        low = F.greatest(begin, window * ctx_len)
-        high = F.least(end, window * ctx_len + ctx_len + extra)
-        part = F.slice(F.col(tokens), (low - begin + 1).cast("int"), (high - low).cast("int"))
-        return F.struct(window.alias("window"), low.alias("at"), part.alias("part"))
-
-    # Cut before the rows are multiplied: only pieces leave a document's row.
-    pieces = stream.select(F.inline(F.transform(_touched(begin, end, ctx_len, extra), piece)))
-    in_order = F.array_sort(F.collect_list(F.struct("at", "part")))
-    joined = F.flatten(F.transform(in_order, lambda p: p["part"]))
-    packed = pieces.groupBy("window").agg(joined.alias("tokens"))
+    pieces = _pieces(stream, ctx_len, start, tokens, extra)
+    packed = pieces.groupBy("window").agg(_in_order(F.col("at"), F.col("part")).alias("tokens"))
     return packed if keep_tail else packed.where(F.size("tokens") == ctx_len + extra)
 
 
@@ -100,20 +110,37 @@ def _found(rows: DataFrame, size: Column, needed: Column | int, what: str) -> Da
     return rows.where(F.when(F.coalesce(size, F.lit(0)) >= needed, True).otherwise(short))
 
 
-def read_spans(plan: DataFrame, blocks: DataFrame, ctx_len: int, start: str = "start") -> DataFrame:
+def read_spans(
+    plan: DataFrame, stream: DataFrame, ctx_len: int, start: str = "start", at: str = "start", tokens: str = "tokens"
+) -> DataFrame:
     """Windows that begin anywhere: ``plan`` rows with their ``ctx_len + 1`` ``tokens``.
 
-    ``blocks`` is :func:`pack_windows` with ``extra=ctx_len`` and ``keep_tail=True``: a span lies
-    whole in the block it begins in, so one equi-join by block number finds it. A span beyond the
-    end of the stream fails the job.
+    A span touches at most two blocks. The documents of ``stream`` (places in ``at``) are cut at
+    block borders, each piece meets the spans of its block by an equi-join and leaves them only the
+    tokens they ask for, and these meet in their span. So no token of the stream travels twice,
+    and where Spark finds the plan small enough to send around, only asked tokens travel. Equal
+    plan rows are read once and given out as often as they came. A span beyond the end of the
+    stream, or at no place, fails the job.
     """
-    shift = (F.col(start) % ctx_len).cast("int")
-    rows = plan.withColumn("_block", whole_div(F.col(start), ctx_len)).join(
-        blocks.select(F.col("window").alias("_block"), "tokens"), "_block", "left"
+    begin = F.col("_start")
+    asked = (
+        plan.groupBy(*plan.columns)
+        .agg(F.count(F.lit(1)).cast("int").alias("_times"))
+        .withColumn("_start", F.col(start).cast("bigint"))
+        .withColumn("_end", begin + ctx_len + 1)
+        .withColumn("_block", F.explode_outer(_touched(begin, F.col("_end"), ctx_len, 0)))
+    )
+    pieces = _pieces(stream, ctx_len, at, tokens).toDF("_block", "_at", "_part")
+    low = F.greatest("_at", "_start")
+    high = F.least(F.col("_at") + F.size("_part"), F.col("_end"))
+    share = F.slice("_part", (low - F.col("_at") + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int"))
+    shares = asked.join(pieces, "_block", "left").select(
+        *plan.columns, "_times", low.alias("_low"), share.alias("_share")
     )
-    part = F.slice(F.col("tokens"), shift + 1, F.lit(ctx_len + 1))
-    sound = _found(rows, F.size("tokens") - shift, ctx_len + 1, "a span")
-    return sound.select(*plan.columns, part.alias("tokens"))
+    spans = shares.groupBy(*plan.columns, "_times").agg(_in_order(F.col("_low"), F.col("_share")).alias("_tokens"))
+    sound = _found(spans, F.size("_tokens"), ctx_len + 1, "a span")
+    again = F.explode(F.array_repeat("_tokens", F.col("_times")))
+    return sound.select(*plan.columns, again.alias("tokens"))
 
 
 def read_blocks(plan: DataFrame, windows: DataFrame, ctx_len: int, start: str = "start") -> DataFrame:
@@ -169,7 +196,7 @@ def masked_samples(
     """Samples with their answer mask ``z``; (key, replaced, tokens, z).
 
     A sample without any answer span is replaced as a whole by a window at a seeded random
-    position of the ``background`` blocks (see :func:`read_spans`), all of it counted. A background
+    position of the ``background`` stream (see :func:`read_spans`), all of it counted. A background
     that holds no window fails the job once a sample needs it.
     """
     marked = samples.select(key, "tokens", span_mask("tokens", ctx_len, pattern).alias("z"))

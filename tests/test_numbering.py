@@ -80,3 +80,16 @@ def test_owned_tables_are_removed(spark):
         assert outer.count() == 5
         assert not os.path.exists(inner.inputFiles()[0].removeprefix("file://"))
     assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_offsets_shuffle_the_rows_once(spark):
+    rows = [(i, None if i % 9 == 0 else i % 13) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, size int").repartition(5)
+    placed = running_offsets(df, ["id"], "size", n_slices=16)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_slice" not in plan.split("BroadcastExchange")[0] and "Window" not in plan.split("BroadcastExchange")[0]
+    start = 0
+    for i, r in enumerate(placed.orderBy("id").collect()):
+        assert (r["id"], r["item"], r["start"]) == (i, i, start)
+        start += r["size"] or 0
+    assert running_offsets(df.where("false"), ["id"], "size").count() == 0

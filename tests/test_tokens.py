@@ -153,12 +153,16 @@ def test_spans_anywhere(spark):
     ctx = 7
     last = len(flat) - ctx - 1
     plan = spark.range(last).select(F.col("id").alias("s"), F.col("id").alias("start"), F.lit("k").alias("tag"))
-    blocks = wn.pack_windows(stream, ctx, extra=ctx, keep_tail=True)
-    got = {r["s"]: r["tokens"] for r in wn.read_spans(plan, blocks, ctx).collect()}
-    assert got == {s: flat[s : s + ctx + 1] for s in range(last)}
-    beyond = spark.range(1).select(F.lit(last + 1).alias("start"))
-    with pytest.raises(Exception, match="beyond the stream"):
-        wn.read_spans(beyond, blocks, ctx).collect()
+    twice = plan.unionByName(plan.where("s % 5 = 2"))
+    rows = wn.read_spans(twice, stream, ctx).collect()
+    assert len(rows) == twice.count() and {r["tag"] for r in rows} == {"k"}
+    assert {r["s"]: r["tokens"] for r in rows} == {s: flat[s : s + ctx + 1] for s in range(last)}
+    for start in (last + 1, len(flat) + 100, None):
+        beyond = spark.range(1).select(F.lit(start).cast("long").alias("start"))
+        with pytest.raises(Exception, match="beyond the stream"):
+            wn.read_spans(beyond, stream, ctx).collect()
+    assert wn.read_spans(plan.where("false"), stream, ctx).count() == 0
+    blocks = wn.pack_windows(stream, ctx)
     with pytest.raises(Exception, match="block border"):
         wn.read_blocks(spark.range(1).select(F.lit(3).alias("start")), blocks, ctx).collect()
 
@@ -186,8 +190,7 @@ def test_answer_mask(spark):
         rows.append((k, ids))
     samples = spark.createDataFrame(rows, "window long, tokens array<int>")
     flat, back = flat_stream(spark, 5)
-    blocks = wn.pack_windows(back, ctx, extra=ctx, keep_tail=True)
-    got = {r["window"]: r for r in wn.masked_samples(samples, blocks, len(flat), ctx, pattern, seed=1).collect()}
+    got = {r["window"]: r for r in wn.masked_samples(samples, back, len(flat), ctx, pattern, seed=1).collect()}
     assert len(got) == 300
     starts = samples.select("window", uniform_below(F.lit(len(flat) - ctx - 1), 1, F.col("window")).alias("s"))
     starts = {r["window"]: r["s"] for r in starts.collect()}
