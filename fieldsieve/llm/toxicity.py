@@ -1,13 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one on the toxic passages of toxic
+Two zstandard dictionaries are made, one of ordinary text and one of the toxic passages of toxic
 documents. A text is cut into windows of a few words, and each window is compressed with the
 ordinary dictionary and with the same dictionary continued by the toxic one. The bytes that the
 toxic part saves are the window's distance; the shares of windows at or above several distances
 are the text's features, and a logistic curve calibrates them to a probability.
 
 Toxic documents are mostly ordinary text. The passages that make them toxic are found by contrast:
-short character sequences inside words that many more toxic than ordinary documents have.
+short character sequences of words that many more toxic than ordinary documents have. Words are
+compressed with their first letters in capitals and all others small, so what begins a word is
+never saved by ordinary text that has the same letters inside a word.
 """
 
 from __future__ import annotations
@@ -26,20 +28,31 @@ from .labelled import sigmoid
 TOXIC_SAMPLE = 2_000
 ORDINARY_SAMPLE = 4_000
 
+#: Bound of the ordinary windows that the ordinary dictionary is trained on.
+ORDINARY_WINDOWS = 20_000
+
 GRAM = 5
-WINDOW_WORDS = 8
+HEAD = 4
+MARKING_Z = 6.0
+WINDOW_WORDS = 4
 LEVEL = 3
 ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 1_024
+TOXIC_BYTES = 4_096
 DISTANCES = (2, 3, 4, 5, 6, 8)
+FOLDS = 3
+
+
+def headed(text: str) -> list[str]:
+    """The words of a text, their first ``HEAD`` letters capital and all others small."""
+    return [w[:HEAD].upper() + w[HEAD:] for w in text.lower().split()]
 
 
 def windows(text: str, words: int = WINDOW_WORDS) -> list[bytes]:
-    """Windows of ``words`` words in lower case, blanks around each; a text without words has none.
+    """Windows of ``words`` :func:`headed` words, blanks around each; a text without words has none.
 
     A word longer than 512 characters is cut, so no window is large, however long the text.
     """
-    found = text.lower().split()
+    found = headed(text)
     if any(len(w) > 512 for w in found):
         found = [w[i : i + 512] for w in found for i in range(0, len(w), 512)]
     return [
@@ -48,41 +61,49 @@ def windows(text: str, words: int = WINDOW_WORDS) -> list[bytes]:
     ]
 
 
-def _grams(text: str) -> set[str]:
-    return {w[i : i + GRAM] for w in set(text.lower().split()) for i in range(len(w) - GRAM + 1)}
+def _grams(word: str) -> list[str]:
+    """Sequences of a headed word and the blank after it."""
+    word += " "
+    return [word[i : i + GRAM] for i in range(len(word) - GRAM + 1)]
+
+
+def gram_counts(texts: Sequence[str]) -> Counter:
+    """How many of the texts hold each sequence."""
+    counts = Counter()
+    for text in texts:
+        counts.update({g for w in set(headed(text)) for g in _grams(w)})
+    return counts
 
 
-def marking_grams(toxic: Sequence[str], ordinary: Sequence[str]) -> set[str]:
-    """Sequences whose share of toxic documents exceeds that of ordinary ones by a large z-score:
-    4 or more, and a quarter of the largest."""
-    in_toxic, in_ordinary = Counter(), Counter()
-    for text in toxic:
-        in_toxic.update(_grams(text))
-    for text in ordinary:
-        in_ordinary.update(_grams(text))
-    n, m = len(toxic), max(1, len(ordinary))
-    score = {}
+def marking_grams(in_toxic: Counter, n: int, in_ordinary: Counter, m: int) -> set[str]:
+    """Sequences whose share of ``n`` toxic documents exceeds that of ``m`` ordinary ones by a
+    z-score of at least ``MARKING_Z``: a fixed one, so markers of a rare language need not match
+    those of the commonest."""
+    found = set()
     for gram, a in in_toxic.items():
         b = in_ordinary[gram]
         p = (a + b) / (n + m)
-        score[gram] = (a / n - b / m) / math.sqrt(p * (1 - p) * (1 / n + 1 / m) + 1e-12)
-    least = max(4.0, max(score.values(), default=0.0) / 4)
-    return {g for g, z in score.items() if z >= least}
-
-
-def marked_spans(text: str, grams: set[str]) -> list[str]:
-    """The parts of words that marking sequences cover."""
-    spans = []
-    for word in text.lower().split():
-        end = -1
-        for i in range(len(word) - GRAM + 1):
-            if word[i : i + GRAM] in grams:
-                if i <= end:
-                    spans[-1] += word[end : i + GRAM]
-                else:
-                    spans.append(word[i : i + GRAM])
-                end = i + GRAM
-    return spans
+        if (a / n - b / m) / math.sqrt(p * (1 - p) * (1 / n + 1 / m) + 1e-12) >= MARKING_Z:
+            found.add(gram)
+    return found
+
+
+def marked_spans(text: str, grams: set[str]) -> set[str]:
+    """The parts of headed words that marking sequences cover."""
+    spans = set()
+    for word in set(headed(text)):
+        span, end = "", -1
+        for i, gram in enumerate(_grams(word)):
+            if gram not in grams:
+                continue
+            if i <= end:
+                span += gram[end - i :]
+            else:
+                spans.add(span)
+                span = gram
+            end = i + GRAM
+        spans.add(span)
+    return spans - {""}
 
 
 def _dictionary(size: int, samples: list[bytes]) -> bytes:
@@ -167,34 +188,60 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+Part = tuple[list[str], list[str], Counter, Counter]
+
+
+def _part(examples: Sequence[tuple[str, int]]) -> Part:
+    """Ordinary and toxic texts and the documents of either that hold each sequence."""
+    texts = [[t for t, y in examples if y == label] for label in (0, 1)]
+    return *texts, *map(gram_counts, texts)
+
+
+def _untrained(parts: Sequence[Part], rng: random.Random) -> ToxicityModel:
+    """A model with its two dictionaries and no calibration yet.
+
+    The toxic dictionary is every marked passage once, the commonest last and so nearest; a trainer
+    keeps only what repeats often and would lose the passages of rarer languages.
+    """
+    ordinary, toxic = ([t for part in parts for t in part[label]] for label in (0, 1))
+    in_ordinary, in_toxic = (sum((part[2 + label] for part in parts), Counter()) for label in (0, 1))
+    grams = marking_grams(in_toxic, len(toxic), in_ordinary, len(ordinary))
+    held = Counter(span for text in toxic for span in marked_spans(text, grams))
+    passages = "".join(f" {span} " for span in sorted(held, key=lambda span: (held[span], span)))
+    plain = [w for text in ordinary for w in windows(text)]
+    rng.shuffle(plain)
+    n = len(DISTANCES) + 2
+    return ToxicityModel(
+        _dictionary(ORDINARY_BYTES, plain[:ORDINARY_WINDOWS]),
+        passages.encode("utf-8", "replace")[-TOXIC_BYTES:],
+        np.zeros(n + 1), np.zeros(n), np.ones(n),
+    )
+
+
 def fit(examples: Sequence[tuple[str, int]], seed: int = 3) -> ToxicityModel:
-    """Train the dictionaries on one half of the examples and calibrate on the other, unseen half."""
+    """Dictionaries from all examples, calibrated on features of examples not seen.
+
+    For the calibration each of ``FOLDS`` parts of the examples is scored by dictionaries made from
+    the other parts. Fewer than two examples of a label give the toxic share for every text.
+    """
     rng = random.Random(seed)
     examples = sorted(examples)
     rng.shuffle(examples)
-    learn, calibrate = examples[::2], examples[1::2]
-    toxic = [t for t, y in learn if y]
-    ordinary = [t for t, y in learn if not y]
-    y = np.array([y for _, y in calibrate], dtype=float)
-    n_features = len(DISTANCES) + 2
-    if not toxic or not ordinary or len(set(y)) < 2:
-        share = (sum(y for _, y in examples) + 0.5) / (len(examples) + 1)
-        weights = np.zeros(n_features + 1)
+    by_label = [[e for e in examples if e[1] == y] for y in (0, 1)]
+    if min(map(len, by_label)) < 2:
+        n = len(DISTANCES) + 2
+        share = (len(by_label[1]) + 0.5) / (len(examples) + 1)
+        weights = np.zeros(n + 1)
         weights[-1] = math.log(share / (1 - share))
-        return ToxicityModel(b"", b"", weights, np.zeros(n_features), np.ones(n_features))
-
-    grams = marking_grams(toxic, ordinary)
-    spans = [s for t in toxic for s in sorted(set(marked_spans(t, grams)))]
-    rng.shuffle(spans)
-    joined = [f" {' '.join(spans[i : i + 4])} ".encode() for i in range(0, len(spans), 4)]
-    plain = [w for t in ordinary for w in windows(t)]
-    rng.shuffle(plain)
-    model = ToxicityModel(
-        _dictionary(ORDINARY_BYTES, plain[:60_000]),
-        _dictionary(TOXIC_BYTES, joined),
-        np.zeros(n_features + 1), np.zeros(n_features), np.ones(n_features),
-    )
-    x = model.features([t for t, _ in calibrate])
+        return ToxicityModel(b"", b"", weights, np.zeros(n), np.ones(n))
+
+    parts = [_part(by_label[0][k::FOLDS] + by_label[1][k::FOLDS]) for k in range(FOLDS)]
+    unseen, y = [], []
+    for k, (ordinary, toxic, *_) in enumerate(parts):
+        unseen.append(_untrained(parts[:k] + parts[k + 1 :], rng).features(ordinary + toxic))
+        y += [0.0] * len(ordinary) + [1.0] * len(toxic)
+    x, y = np.vstack(unseen), np.array(y)
+    model = _untrained(parts, rng)
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     model.weights = _logistic((x - model.mean) / model.scale, y)
     return model

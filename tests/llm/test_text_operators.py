@@ -280,6 +280,27 @@ def labelled_texts(seed, n):
     return rows
 
 
+def test_toxicity_finds_the_roots_of_a_rare_language():
+    rng, rows = random.Random(4), []
+    syllables = ["ach", "lich", *(a + b for a in ("sch", "v", "k", "b", "g", "m") for b in ("ung", "eit", "er", "a"))]
+    for i in range(2400):
+        toxic, rare = int(i % 6 == 0), i % 5 == 0
+        words = ["".join(rng.choices(syllables if rare else ["tion", "ing", "the", "re", "al"], k=3)) for _ in range(60)]
+        if toxic:
+            for at in rng.sample(range(60), 6):
+                words[at] = "achlich" + rng.choice(syllables) if rare else rng.choice(["moron", "scum", "idiot"])
+        rows.append((" ".join(words), toxic, rare))
+    model = toxicity.fit([(t, y) for t, y, _ in rows[:1800]])
+    score = model.score([t for t, _, _ in rows[1800:]])
+    found = {(y, rare): [] for y in (0, 1) for rare in (False, True)}
+    for s, (_, y, rare) in zip(score, rows[1800:], strict=True):
+        found[y, rare].append(s >= 0.5)
+    share = {key: np.mean(hits) for key, hits in found.items()}
+    assert share[1, False] >= 0.8 and share[1, True] >= 0.5, share
+    # One root by chance is common in clean texts of the rare language, and a sixth of all texts is toxic.
+    assert share[0, False] < 0.06 and share[0, True] < 0.15, share
+
+
 def test_toxicity_learns_and_leaves_clean_texts():
     rows = labelled_texts(1, 600)
     model = toxicity.fit([(t, y) for _, t, y, _ in rows[:400]])
