@@ -22,8 +22,8 @@ Equal sets are one class from the start. Classes that share a key are first comp
 key's smallest class only, which joins a group of near copies through a few of its members; the
 rest are compared pairwise, inside a join that refuses classes already joined, sizes too different,
 and parity sketches too different (a sketch differs in at most as many bits as the sets do in
-tokens). Pairs that are left are held against wider sketches, and what then remains is verified on
-the whole sets.
+tokens), first narrow ones, then wide ones. Of keys that the same classes keep, as those of a shared
+passage often are, one stands for all in both. What then remains is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -314,29 +314,32 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pin(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
 
 
-def _verified(
-    pairs: DataFrame, docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Similarity
-) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar enough.
-
-    Pairs whose wide sketches rule a link out go first. The texts are read again, but only those of
-    one document of each class in a remaining pair go on.
-    """
-    pairs = pin(pairs, "pairs")
-    wide = rows.select(F.col("row").alias("class"), "n", "wide").join(_ends(pairs), "class")
-    wide = pin(wide, "wide")
-    x, y = wide.alias("x"), wide.alias("y")
+def _may_link_wide(s: Similarity) -> Column:
+    """False only where the wide sketches of x and y rule a link out; small sets have none."""
     differing = F.aggregate(
         F.zip_with("x.wide", "y.wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))),
         F.lit(0),
         lambda total, bits: total + bits,
     )
-    may = s.may_link(F.col("x.n"), F.col("y.n"), F.coalesce(differing, F.lit(0)))
-    left = pairs.join(x, F.col("a") == F.col("x.class"))
-    close = pin(
-        left.join(y, F.col("b") == F.col("y.class")).where(may).select("a", "b"), "close-pairs"
-    )
+    return s.may_link(F.col("x.n"), F.col("y.n"), F.coalesce(differing, F.lit(0)))
+
+
+def _close(pairs: DataFrame, rows: DataFrame, s: Similarity) -> DataFrame:
+    """The pairs (a, b) of classes whose wide sketches do not rule a link out."""
+    pairs = pin(pairs, "pairs")
+    wide = rows.select(F.col("row").alias("class"), "n", "wide").join(_ends(pairs), "class")
+    wide = pin(wide, "wide")
+    left = pairs.join(wide.alias("x"), F.col("a") == F.col("x.class"))
+    both = left.join(wide.alias("y"), F.col("b") == F.col("y.class"))
+    return both.where(_may_link_wide(s)).select("a", "b")
+
+
+def _verified(close: DataFrame, docs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets are similar enough.
 
+    The texts are read again, but only those of one document of each class in a pair go on.
+    """
+    close = pin(close, "close-pairs")
     wanted = pin(
         classes.join(_ends(close), "class").select("class", "least", "name0", "name1"), "wanted"
     )
@@ -363,7 +366,10 @@ def _place() -> Column:
 def _indexed(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The documents' ids and texts, their sets, the classes of equal sets, and the keys that
     several classes keep, with each of the classes, their number (``held``) and the smallest of
-    them (``hub``)."""
+    them (``hub``).
+
+    Of keys with the same classes, told by number, smallest and two 64-bit sums, only the smallest is
+    given: the others lead to the same pairs."""
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5("text").alias("text_key")
     )
@@ -392,22 +398,31 @@ def _indexed(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame, Data
         .select("key", "class"),
         "kept-keys",
     )
-    held = kept.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("class").alias("hub"))
-    return narrow, rows, classes, pin(kept.join(held.where("held > 1"), "key"), "shared")
+    sums = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"sum{i}") for i in range(2)]
+    held = kept.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("class").alias("hub"), *sums)
+    same = held.where("held > 1").groupBy("held", "hub", "sum0", "sum1").agg(F.min("key").alias("key"))
+    return narrow, rows, classes, pin(kept.join(same.select("key", "held", "hub"), "key"), "shared")
 
 
 #: Classes of one key that a task holds against as many others.
 KEY_PART = 512
-FIRST_KEYS = 8
+FIRST_KEYS = 16
 
 
-def _key_pairs(shared: DataFrame, described: DataFrame, allowed: Column) -> DataFrame:
+def _key_pairs(
+    shared: DataFrame, described: DataFrame, rows: DataFrame, allowed: Column, s: Similarity
+) -> DataFrame:
     """The pairs (a, b) of classes that share a key, where ``allowed`` holds for their columns of
-    ``described``, as x and y. The pairs of a key with many classes are dealt over cells of
-    ``KEY_PART`` by ``KEY_PART`` classes. Two classes that share one of their ``FIRST_KEYS`` smallest
-    keys meet under the smallest such key only."""
+    ``described``, as x and y, and their wide sketches do not rule a link out. The pairs of a key with
+    many classes are dealt over cells of ``KEY_PART`` by ``KEY_PART`` classes. Two classes that share
+    one of their ``FIRST_KEYS`` smallest keys meet under the smallest such key only.
+
+    The wide sketches travel with the keys, so a group of near copies, each of which shares many keys
+    with the others, leaves the join only the pairs that may be links."""
     first = F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_KEYS).alias("first")
-    described = described.join(shared.groupBy("class").agg(first), "class")
+    firsts = pin(shared.groupBy("class").agg(first), "first-keys")
+    wide = rows.select(F.col("row").alias("class"), "wide").join(firsts, "class")
+    described = pin(described.join(wide, "class"), "described")
     common = F.array_intersect("x.first", "y.first")
     once = (F.size(common) == 0) | (F.col("x.key") == F.array_min(common))
     parts = F.ceil(F.col("held") / KEY_PART).cast("int")
@@ -430,7 +445,8 @@ def _key_pairs(shared: DataFrame, described: DataFrame, allowed: Column) -> Data
             & (F.col("x.class") < F.col("y.class"))
             & ((F.col("x.low") == F.col("x.high")) | (F.col("x.part") != F.col("y.part")))
             & allowed
-            & once,
+            & once
+            & _may_link_wide(s),
         )
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
         .distinct()
@@ -487,12 +503,12 @@ def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
         .join(b, (F.col("b") == F.col("y.class")) & may)
         .select("a", "b")
     )
-    first_links = _verified(starred, narrow, rows, classes, s)
+    first_links = _verified(_close(starred, rows, s), narrow, classes, s)
     joined = components(first_links).select(F.col("node").alias("class"), "label")
     known = described.join(joined, "class", "left").withColumn("label", F.coalesce("label", "class"))
     apart = F.col("x.label") != F.col("y.label")
-    pairs = _key_pairs(shared, known, apart & may)
-    links = first_links.unionByName(_verified(pairs, narrow, rows, classes, s))
+    pairs = _key_pairs(shared, known, rows, apart & may, s)
+    links = first_links.unionByName(_verified(pairs, narrow, classes, s))
     found = components(links).select(F.col("node").alias("class"), F.col("label").alias("component"))
     ends = links.select(F.explode(F.array("a", "b")).alias("class"))
     n_links = ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
@@ -523,8 +539,8 @@ def similar_links(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
     name = ["name0", "name1", "n"]
     described = classes.select("class", "n", *_SKETCH)
     may = s.may_link(F.col("x.n"), F.col("y.n"), _different("x", "y"))
-    pairs = _key_pairs(shared, described, may)
-    links = _verified(pairs, narrow, rows, classes, s)
+    pairs = _key_pairs(shared, described, rows, may, s)
+    links = _verified(pairs, narrow, classes, s)
     sizes = rows.where(F.col("n") > 0).groupBy(*name).agg(F.count(F.lit(1)).alias("size"))
     sized = classes.select(*name, "class").join(sizes, name)
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

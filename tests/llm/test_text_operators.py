@@ -261,6 +261,25 @@ def test_whole_join_counts_every_link(spark, edge, nothing, monkeypatch):
     assert jaccard_join.similar_links(nothing, s).count() == 0
 
 
+def test_pairs_of_shared_passages_are_few(spark):
+    """Keys that the same classes keep are one key, and the join leaves no pair that wide sketches rule out."""
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage = words(700)
+    texts = [f"{passage} {words(500)}" for _ in range(12)]
+    texts += [f"{texts[0]} more", f"{texts[5]} more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    s = Similarity(3, 80)
+    narrow, rows, classes, shared = jaccard_join._indexed(docs, s)
+    lists = shared.groupBy("key").agg(F.sort_array(F.collect_list("class")).alias("of"))
+    assert lists.count() == lists.select("of").distinct().count() > 0
+    described = classes.select("class", "n", *jaccard_join._SKETCH)
+    sketches = s.may_link(F.col("x.n"), F.col("y.n"), jaccard_join._different("x", "y"))
+    assert jaccard_join._key_pairs(shared, described, rows, sketches, s).count() == 2
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_components(docs, s).collect()}
+    assert got == {i: {12: 0, 13: 5}.get(i, i) for i in range(14)}
+
+
 # --- classifiers --------------------------------------------------------------------------------
 
 
