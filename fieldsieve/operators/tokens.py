@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import ast
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -71,8 +70,19 @@ def read_vocabulary(lines: DataFrame) -> dict[bytes, int]:
 # --- encoding -----------------------------------------------------------------------------
 
 
-#: Bytes of text that a task walks together: they bound its memory, not a text's length.
-WALKED = 1 << 21
+#: Bytes of text, or ids, that a worker holds at once beside its Arrow batch: they bound its
+#: memory, not a text's length.
+WALKED = 1 << 18
+
+
+def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Borders of runs of rows that hold at most ``WALKED`` together, or are one row."""
+    total, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + WALKED, "right")))
+        yield at, end
+        at = end
 
 
 @lru_cache(maxsize=4)
@@ -83,54 +93,72 @@ def _trie(entries: tuple[tuple[bytes, int], ...]) -> Trie:
 def tokenizer(vocabulary: Mapping[bytes, int], end: int | None = END_OF_DOCUMENT):
     """A vectorized function text → ids: greedy longest match over the UTF-8 bytes.
 
-    The texts of an Arrow batch are walked together through a trie that a worker builds once.
-    ``end`` is appended to every text; a null text has no ids. Bytes that no token covers fail the
-    task.
+    Runs of texts of an Arrow batch are walked together through a trie that a worker builds once,
+    and given out run by run. ``end`` is appended to every text; a null text has no ids. Bytes that
+    no token covers fail the task.
     """
     entries = tuple(sorted(vocabulary.items()))
     tail = [] if end is None else [end]
 
-    @F.arrow_udf(TOKENS)
-    def encode(texts: pa.Array) -> pa.Array:
-        trie = _trie(entries)
+    def walk(texts: pa.Array) -> pa.Array:
         data = [t.encode() if t is not None else None for t in texts.to_pylist()]
-        sizes, parts, at = np.zeros(len(data), dtype=np.int64), [np.zeros(0, dtype=np.int32)], 0
-        while at < len(data):
-            last, size = at, 0
-            while last < len(data) and (last == at or size < WALKED):
-                size += len(data[last] or b"")
-                last += 1
-            known = [i for i in range(at, last) if data[i] is not None]
-            if known:
-                ids, sizes[known] = trie.encode([data[i] for i in known], tail)
-                parts.append(ids)
-            at = last
+        sizes, ids = np.zeros(len(data), dtype=np.int64), np.zeros(0, dtype=np.int32)
+        known = [i for i, t in enumerate(data) if t is not None]
+        if known:
+            ids, sizes[known] = _trie(entries).encode([data[i] for i in known], tail)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         if offsets[-1] >= 1 << 31:
-            raise ValueError("a batch holds more tokens than a list can; lower its number of records")
+            raise ValueError("a text holds more tokens than a list can")
         missing = np.array([t is None for t in data], dtype=bool)
         borders = pa.array(offsets.astype(np.int32), mask=np.append(missing, False))
-        return pa.ListArray.from_arrays(borders, pa.array(np.concatenate(parts)))
+        return pa.ListArray.from_arrays(borders, pa.array(ids, pa.int32()))
+
+    @F.arrow_udf(TOKENS)
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for a, b in _runs(sizes.astype(np.int64)):
+                yield walk(texts[a:b])
 
     return encode
 
 
 def decoder(vocabulary: Mapping[bytes, int]):
-    """A vectorized function ids → text without the end mark; bad UTF-8 becomes U+FFFD."""
-    texts = {i: t for t, i in vocabulary.items()}
-
-    @F.pandas_udf("string")
-    def decode(tokens: pd.Series) -> pd.Series:
-        def one(ids) -> str | None:
-            if ids is None:
-                return None
-            data = b"".join([texts[i] for i in ids if i != END_OF_DOCUMENT])
-            try:
-                return data.decode("utf-8")
-            except UnicodeDecodeError:
-                return "\ufffd"
-
-        return tokens.map(one)
+    """A vectorized function ids → text without the end mark; bad UTF-8 becomes U+FFFD.
+
+    An id that the vocabulary lacks fails the task."""
+    texts = {i: t for t, i in vocabulary.items()} | {END_OF_DOCUMENT: b""}
+    known = np.array(sorted(texts), dtype=np.int64)
+
+    def joined(data: bytes) -> str:
+        try:
+            return data.decode("utf-8")
+        except UnicodeDecodeError:
+            return "\ufffd"
+
+    def texts_of(lists: pa.Array, parts: pa.Array) -> pa.Array:
+        borders = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = lists.values[borders[0] : borders[-1]]
+        if ids.null_count:
+            raise ValueError("an id is null")
+        numbers = ids.to_numpy(zero_copy_only=False)
+        places = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
+        if (known[places] != numbers).any():
+            raise ValueError("an id is not in the vocabulary")
+        _, ends, blob = parts.take(pa.array(places)).buffers()
+        ends = np.frombuffer(ends, np.int64)[borders - borders[0]].tolist()
+        data = blob.to_pybytes() if blob else b""
+        missing = lists.is_null().to_pylist()
+        rows = zip(missing, ends, ends[1:], strict=False)
+        return pa.array([None if m else joined(data[a:b]) for m, a, b in rows], pa.string())
+
+    @F.arrow_udf("string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        parts = pa.array([texts[i] for i in known.tolist()], pa.large_binary())
+        for lists in batches:
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            for a, b in _runs(sizes.astype(np.int64)):
+                yield texts_of(lists[a:b], parts)
 
     return decode
 

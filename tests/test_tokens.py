@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -241,3 +242,23 @@ def test_a_large_vocabulary_and_nulls(spark):
         for first, second in zip(ids[:-1] if ids else [], ids[1:-1] if ids else []):
             # A greedy token cannot be lengthened by what follows.
             assert token_of[first] + token_of[second][:1] not in vocabulary
+
+
+def test_texts_are_walked_and_given_out_in_runs(spark, monkeypatch):
+    """A worker's arrays hold one run of texts, however many texts an Arrow batch has."""
+    held = []
+    monkeypatch.setattr(tk, "WALKED", 64)
+    trie = Trie(tk.byte_vocabulary())
+    walked = trie.encode
+    monkeypatch.setattr(trie, "encode", lambda t, tail: held.append(sum(map(len, t))) or walked(t, tail))
+    monkeypatch.setattr(tk, "_trie", lambda entries: trie)
+    texts = [None, "", *("é" * (k % 9) for k in range(200)), "z" * 500, None]
+    encode, decode = tk.tokenizer(tk.byte_vocabulary()).func, tk.decoder(tk.byte_vocabulary()).func
+    ids = list(encode(iter([pa.array(texts, pa.string()), pa.array([], pa.string())])))
+    assert len(held) > 10 and sorted(held)[-2] <= 64 and max(held) == 500
+    lists = [row for part in ids for row in part.to_pylist()]
+    assert lists == [None if t is None else [b + 1 for b in t.encode()] + [0] for t in texts]
+    back = list(decode(iter([pa.chunked_array(ids).combine_chunks()[1:]])))
+    assert len(back) > 10 and [t for part in back for t in part.to_pylist()] == texts[1:]
+    with pytest.raises(ValueError, match="not in the vocabulary"):
+        list(decode(iter([pa.array([[1, 999]], pa.list_(pa.int32()))])))
