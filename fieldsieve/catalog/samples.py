@@ -186,11 +186,11 @@ def mixture_tokens(spark, folder):
     # A sub-dataset's tokens lie where its documents lie in the order of source and id.
     placed = tk.stream_offsets(sizes, ["source", "doc_id"], "n").select("doc_id", "start")
     ids = docs.select("doc_id", "text").join(placed, "doc_id")
-    flat = ids.select("start", tk.byte_tokens("text").alias("tokens"))
+    flat = ids.select("start", tk.narrow_byte_tokens("text").alias("tokens"))
     plan = routed.join(mixture.select("part", "prev"), "part").select(
         "doc_id", "part", (F.col("prev") + F.col("local_position")).alias("start")
     )
     blocks = wn.pack_windows(flat, CTX, extra=0, keep_tail=True)
     at = plan.withColumn("window", whole_div(F.col("start"), CTX)).join(blocks, "window")
     token = F.get("tokens", (F.col("start") % CTX).cast("int"))
-    return at.select("doc_id", "part", token.alias("token"))
+    return at.select("doc_id", "part", token.cast("int").alias("token"))

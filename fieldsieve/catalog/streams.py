@@ -25,12 +25,13 @@ def offsets(spark, folder, where: str = "true"):
 
 
 def stream(spark, folder, where: str = "true"):
-    """(doc_id, start, tokens): ids are made after the join, so texts travel and not arrays."""
+    """(doc_id, start, tokens): ids are made after the join, so texts travel and not arrays; the pieces
+    that windows shuffle have 16 bits a token."""
     placed = offsets(spark, folder, where).select("doc_id", "start")
     return (
         documents(spark, folder, where)
         .join(placed, "doc_id")
-        .select("doc_id", "start", tk.byte_tokens("text").alias("tokens"))
+        .select("doc_id", "start", tk.narrow_byte_tokens("text").alias("tokens"))
     )
 
 

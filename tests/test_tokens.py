@@ -262,3 +262,15 @@ def test_texts_are_walked_and_given_out_in_runs(spark, monkeypatch):
     assert len(back) > 10 and [t for part in back for t in part.to_pylist()] == texts[1:]
     with pytest.raises(ValueError, match="not in the vocabulary"):
         list(decode(iter([pa.array([[1, 999]], pa.list_(pa.int32()))])))
+
+
+def test_narrow_tokens_are_the_same_in_16_bits(docs):
+    both = docs.select("doc_id", tk.byte_tokens("text").alias("tokens"), tk.narrow_byte_tokens("text").alias("narrow"))
+    assert both.schema["narrow"].dataType.elementType.simpleString() == "smallint"
+    assert column(both) == column(both, "narrow")
+
+
+def test_streams_shuffle_narrow_tokens(spark, small):
+    from fieldsieve.catalog import streams
+
+    assert dict(streams.stream(spark, small).dtypes)["tokens"] == "array<smallint>"
